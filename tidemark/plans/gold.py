@@ -11,6 +11,7 @@ from tidemark.functions import dates, money
 from tidemark.operators.keys import surrogate_key
 from tidemark.operators.lookup import left_lookup
 from tidemark.operators.merge import OPEN_END
+from tidemark.sinks.files import Store, leave
 
 # The calendar's default span, the first day of a customer's first version, and the key of
 # an unknown customer or product.
@@ -144,17 +145,19 @@ def fact_orders(
     )
 
 
-def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The dimensions there is data for, and the fact once orders and both dimensions are there."""
-    gold = {"dim_date": dim_date(spark)}
+def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], store: Store = leave) -> dict[str, DataFrame]:
+    """The dimensions there is data for, and the fact once orders and both dimensions are there.
+
+    With a ``store`` that writes, the fact looks its keys up in dimensions read from files.
+    """
+    gold = {"dim_date": store("dim_date", dim_date(spark))}
     if "customers" in silver:
-        gold["dim_customer"] = dim_customer(silver["customers"])
+        gold["dim_customer"] = store("dim_customer", dim_customer(silver["customers"]))
     if "products" in silver:
-        gold["dim_product"] = dim_product(silver["products"])
+        gold["dim_product"] = store("dim_product", dim_product(silver["products"]))
     if "orders" in silver and "dim_customer" in gold and "dim_product" in gold:
-        gold["fact_orders"] = fact_orders(
-            silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"]
-        )
+        fact = fact_orders(silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"])
+        gold["fact_orders"] = store("fact_orders", fact)
     return gold
 
 

@@ -8,13 +8,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas
-from tidemark.plans.gold import build_gold, fact_orders
-from tidemark.plans.silver import silver_customers, silver_orders, silver_products, valid_orders
+from tidemark.plans.gold import build_gold
+from tidemark.plans.silver import build_silver
 from tidemark.quality.checks import run_suite
 from tidemark.quality.report import dq_gate, report_text
 from tidemark.quality.suites import SUITES
-from tidemark.sinks import files, warehouse
-from tidemark.sources.layers import read_layer
+from tidemark.sinks import warehouse
+from tidemark.sinks.files import layer_store
 
 log = logging.getLogger(__name__)
 
@@ -42,16 +42,13 @@ def run_medallion(
 ) -> dict[str, DataFrame]:
     """Write silver, check it, write gold, and optionally upsert gold into catalogue tables.
 
-    Each table is written before the next step reads it: a step then starts from files, reads only the
-    columns it needs, and knows the size of a dimension before broadcasting it.
+    A critical check that fails stops the run before gold.
     """
-    silver = _write_silver(spark, bronze, base, order_by, now)
-    results = check_layer(silver, suites, now).coalesce(1)
-    files.write_layer({"results": results}, base, "quality")
-    results = read_layer(spark, base, "quality", ["results"])["results"]
+    silver = build_silver(bronze, order_by, now, store=layer_store(base, "silver"))
+    results = layer_store(base, "quality")("results", check_layer(silver, suites, now).coalesce(1))
     log.info(report_text(results))
     dq_gate(results)
-    gold = _write_gold(spark, silver, base)
+    gold = build_gold(spark, silver, store=layer_store(base, "gold"))
     if warehouse_database:
         root = f"{base.rstrip('/')}/warehouse"
         warehouse.create_star_schema(spark, warehouse_database, root)
@@ -59,30 +56,3 @@ def run_medallion(
             target = f"{warehouse_database}.{name}"
             warehouse.upsert_table(warehouse.conformed(df, name), target, schemas.NATURAL_KEYS[name], root)
     return gold
-
-
-def _write_silver(spark, bronze, base, order_by, now) -> dict[str, DataFrame]:
-    silver: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> None:
-        files.write_layer({name: df}, base, "silver")
-        silver.update(read_layer(spark, base, "silver", [name]))
-
-    if "customers" in bronze:
-        keep("customers", silver_customers(bronze["customers"], order_by["customers"], now))
-    if "products" in bronze:
-        keep("products", silver_products(bronze["products"], order_by["products"], now))
-    if "orders" in bronze:
-        keep("orders", silver_orders(valid_orders(bronze["orders"], silver), order_by["orders"], now))
-    return silver
-
-
-def _write_gold(spark, silver, base) -> dict[str, DataFrame]:
-    dimensions = build_gold(spark, {k: v for k, v in silver.items() if k != "orders"})
-    files.write_layer(dimensions, base, "gold")
-    gold = read_layer(spark, base, "gold", dimensions)
-    if "orders" in silver and "dim_customer" in gold and "dim_product" in gold:
-        fact = fact_orders(silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"])
-        files.write_layer({"fact_orders": fact}, base, "gold")
-        gold.update(read_layer(spark, base, "gold", ["fact_orders"]))
-    return gold

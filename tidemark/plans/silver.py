@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import labels, money
 from tidemark.functions.dates import as_moment
 from tidemark.operators import cleaning, dedup, filters, lookup, nulls
+from tidemark.sinks.files import Store, leave
 
 # What a missing phone number and a missing stock become.
 PHONE_FILL = "fill_value:N/A"
@@ -78,14 +79,23 @@ def valid_orders(orders: DataFrame, silver: Mapping[str, DataFrame]) -> DataFram
 
 
 def build_silver(
-    bronze: Mapping[str, DataFrame], order_by: Mapping[str, Sequence[str]], now=None, normalize_first: bool = False
+    bronze: Mapping[str, DataFrame],
+    order_by: Mapping[str, Sequence[str]],
+    now=None,
+    normalize_first: bool = False,
+    store: Store = leave,
 ) -> dict[str, DataFrame]:
-    """Whichever of customers, products and orders are given. ``order_by`` decides which duplicate is first."""
+    """Whichever of customers, products and orders are given. ``order_by`` decides which duplicate is first.
+
+    With a ``store`` that writes, orders are checked against customers and products read from files.
+    """
     silver: dict[str, DataFrame] = {}
     if "customers" in bronze:
-        silver["customers"] = silver_customers(bronze["customers"], order_by["customers"], now, normalize_first)
+        customers = silver_customers(bronze["customers"], order_by["customers"], now, normalize_first)
+        silver["customers"] = store("customers", customers)
     if "products" in bronze:
-        silver["products"] = silver_products(bronze["products"], order_by["products"], now)
+        silver["products"] = store("products", silver_products(bronze["products"], order_by["products"], now))
     if "orders" in bronze:
-        silver["orders"] = silver_orders(valid_orders(bronze["orders"], silver), order_by["orders"], now)
+        orders = silver_orders(valid_orders(bronze["orders"], silver), order_by["orders"], now)
+        silver["orders"] = store("orders", orders)
     return silver

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from tidemark.sources.layers import table_path
 
 log = logging.getLogger(__name__)
 
+# What becomes of a table once it is defined: given its name, the table to go on with.
+Store = Callable[[str, DataFrame], DataFrame]
+
 FORMATS = ("parquet", "csv")
 
 # Left to itself, Spark trims values when it writes CSV and escapes quotes with a backslash.
@@ -49,6 +52,25 @@ def write_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dict[
     return rows
 
 
+def leave(name: str, df: DataFrame) -> DataFrame:
+    """Go on with the plan itself."""
+    return df
+
+
+def layer_store(base: str, layer: str) -> Store:
+    """Write each table and go on with what was written.
+
+    Later steps then read only the columns they need, never repeat the cleaning, and survive the loss of
+    an executor without going back to bronze.
+    """
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        write_layer({name: df}, base, layer)
+        return df.sparkSession.read.parquet(table_path(base, layer, name))
+
+    return store
+
+
 def publish_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dict[str, bool]:
     """Write a layer to its place in the store and verify each table."""
     return {name: write_object_store(df, table_path(base, layer, name)) for name, df in tables.items()}

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.plans.gold import build_gold
+from tidemark.plans.silver import build_silver
 from tidemark.schemas import table_schema
 from tidemark.session import scratch_path
 from tidemark.sinks import files, warehouse
 from tidemark.sources import catalog, delimited, layers
-from verification.bronze import NOW, bronze, given, raw_customers, raw_orders, raw_products
+from verification.bronze import NOW, ORDER_BY, bronze, given, raw_customers, raw_orders, raw_products
 from verification.cases_model import FACT, ORDER_COLUMNS
 from verification.cases_relational import clean, star
 from verification.registry import case
@@ -162,7 +164,7 @@ def read_bronze_products(spark, sf_dir):
 @case("read_parquet_layer", f"SELECT {ORDER_COLUMNS} FROM silver_orders")
 def read_parquet_layer(spark, sf_dir):
     base = scratch_path(spark, "layers")
-    files.write_layer(clean(spark, sf_dir), base, "silver")
+    build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=files.layer_store(base, "silver"))
     orders = layers.read_layer(spark, base, "silver", ["orders"])["orders"]
     return orders.drop("l_partkey", "l_suppkey", "l_extendedprice", "processed_at")
 
@@ -202,7 +204,7 @@ SILVER_TOTALS = """
 @case("write_silver", SILVER_TOTALS)
 def write_silver(spark, sf_dir):
     base = scratch_path(spark, "layers")
-    files.write_layer(clean(spark, sf_dir), base, "silver")
+    build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=files.layer_store(base, "silver"))
     back = layers.read_layer(spark, base, "silver", ["customers", "products", "orders"])
     totals = {
         "customers": F.count("email"), "products": F.sum(F.col("price") + F.col("cost_price")),
@@ -224,7 +226,7 @@ def _totals(tables, totals) -> DataFrame:
 @case("write_gold", FACT)
 def write_gold(spark, sf_dir):
     base = scratch_path(spark, "layers")
-    files.write_layer(star(spark, sf_dir), base, "gold")
+    build_gold(spark, clean(spark, sf_dir), store=files.layer_store(base, "gold"))
     return layers.read_layer(spark, base, "gold", ["fact_orders"])["fact_orders"]
 
 

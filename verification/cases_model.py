@@ -8,7 +8,7 @@ from tidemark.operators import merge
 from tidemark.plans import gold, silver
 from verification import tables_sql as q
 from verification.bronze import NOW, ORDER_BY, given, raw_customers, raw_orders, raw_products
-from verification.cases_relational import clean, star
+from verification.cases_relational import masters, star
 from verification.registry import case
 
 ORDER_COLUMNS = (
@@ -48,7 +48,9 @@ def silver_products(spark, sf_dir):
 
 @case("build_silver", f"SELECT {ORDER_COLUMNS} FROM silver_orders")
 def build_silver(spark, sf_dir):
-    orders = clean(spark, sf_dir)["orders"]
+    orders = silver.silver_orders(
+        silver.valid_orders(raw_orders(spark, sf_dir), masters(spark, sf_dir)), ORDER_BY["orders"], NOW
+    )
     return orders.drop("l_partkey", "l_suppkey", "l_extendedprice", "processed_at")
 
 

@@ -8,34 +8,49 @@ from tidemark.functions.labels import ORDER_STATUSES
 from tidemark.operators import dedup, keys, lookup
 from tidemark.plans import gold, sales, silver
 from tidemark.quality import audits, checks, profile
+from tidemark.session import scratch_path
+from tidemark.sinks import files
 from verification import tables_sql as q
 from verification.bronze import NOW, ORDER_BY, bronze, given, raw_customers, raw_orders, raw_products
 from verification.registry import case
 
 
 def clean(spark, sf_dir):
-    return silver.build_silver(bronze(spark, sf_dir), ORDER_BY, NOW)
+    """Silver, each table written before the next one reads it."""
+    return silver.build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=_store(spark, "silver"))
 
 
-def star(spark, sf_dir):
-    return gold.build_gold(spark, clean(spark, sf_dir))
+def star(spark, sf_dir, silver_tables=None):
+    """Gold on top of written silver; only the fact is left to the query that asked for it."""
+    store = _store(spark, "gold")
+    return gold.build_gold(
+        spark,
+        silver_tables or clean(spark, sf_dir),
+        store=lambda name, df: df if name == "fact_orders" else store(name, df),
+    )
+
+
+def _store(spark, layer):
+    return files.layer_store(scratch_path(spark, "layers"), layer)
+
+
+def masters(spark, sf_dir):
+    """Silver customers and products, written."""
+    tables = {"customers": raw_customers(spark, sf_dir), "products": raw_products(spark, sf_dir)}
+    return silver.build_silver(tables, ORDER_BY, NOW, store=_store(spark, "silver"))
 
 
 @case("validate_foreign_keys", "SELECT order_id, customer_id, product_id, l_partkey, l_suppkey FROM valid_orders")
 def validate_foreign_keys(spark, sf_dir):
-    tables = silver.build_silver(
-        {"customers": raw_customers(spark, sf_dir), "products": raw_products(spark, sf_dir)}, ORDER_BY, NOW
-    )
-    kept = silver.valid_orders(raw_orders(spark, sf_dir), tables)
+    kept = silver.valid_orders(raw_orders(spark, sf_dir), masters(spark, sf_dir))
     return kept.select("order_id", "customer_id", "product_id", "l_partkey", "l_suppkey")
 
 
 @case("validate_foreign_keys_spread", "SELECT order_id, customer_id, product_id, l_partkey, l_suppkey FROM valid_orders")
 def validate_foreign_keys_spread(spark, sf_dir):
     """The same without any broadcast of the reference: shuffle joins with the hot keys spread."""
-    bronze_tables = bronze(spark, sf_dir)
-    tables = silver.build_silver({n: bronze_tables[n] for n in ("customers", "products")}, ORDER_BY, NOW)
-    orders = bronze_tables["orders"]
+    tables = masters(spark, sf_dir)
+    orders = raw_orders(spark, sf_dir)
     for column, reference in (("customer_id", tables["customers"]), ("product_id", tables["products"])):
         orders = lookup.validate_foreign_keys(orders, column, reference, column, broadcast_bytes=0)
     return orders.select("order_id", "customer_id", "product_id", "l_partkey", "l_suppkey")
@@ -48,10 +63,9 @@ FACT_KEYS = """SELECT order_id, l_partkey, l_suppkey, coalesce(customer_key, -1)
 
 
 def _found_keys(spark, sf_dir, broadcast_bytes=None):
-    tables = bronze(spark, sf_dir)
-    cleaned = silver.build_silver({n: tables[n] for n in ("customers", "products")}, ORDER_BY, NOW)
-    customers, products = gold.dim_customer(cleaned["customers"]), gold.dim_product(cleaned["products"])
-    found = gold.fact_key_lookup(tables["orders"], customers, products, broadcast_bytes=broadcast_bytes)
+    dims = gold.build_gold(spark, masters(spark, sf_dir), store=_store(spark, "gold"))
+    orders = raw_orders(spark, sf_dir)
+    found = gold.fact_key_lookup(orders, dims["dim_customer"], dims["dim_product"], broadcast_bytes=broadcast_bytes)
     return found.select("order_id", "l_partkey", "l_suppkey", "customer_key", "product_key")
 
 
@@ -84,10 +98,9 @@ def date_membership(spark, sf_dir):
     FROM fact_orders""",
 )
 def orphan_audit(spark, sf_dir):
-    tables = bronze(spark, sf_dir)
-    cleaned = silver.build_silver(tables, ORDER_BY, NOW)
-    counts = audits.orphan_audit(gold.build_gold(spark, cleaned)["fact_orders"])
-    raw = lookup.orphan_rows(tables["orders"], "customer_id", cleaned["customers"], "customer_id")
+    cleaned = clean(spark, sf_dir)
+    counts = audits.orphan_audit(star(spark, sf_dir, cleaned)["fact_orders"])
+    raw = lookup.orphan_rows(raw_orders(spark, sf_dir), "customer_id", cleaned["customers"], "customer_id")
     return counts.withColumn("raw_orphans", raw.agg(F.coalesce(F.sum("rows"), F.lit(0))).scalar())
 
 
