@@ -15,6 +15,16 @@ def read_layer(spark: SparkSession, base: str, layer: str, names: Iterable[str])
     return {name: spark.read.parquet(table_path(base, layer, name)) for name in names}
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Redistribute a scan that comes in far fewer splits than the cluster has cores.
+
+    A file of one row group is one task, and so is everything up to the next shuffle. A table with
+    enough splits is returned as it is. ``columns`` should identify a row, so that no hot key gathers.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() * 4 < cores else df
+
+
 def sql_query(
     spark: SparkSession, query: str, params: Mapping[str, object] | None = None, **tables: DataFrame
 ) -> DataFrame:

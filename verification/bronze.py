@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.layers import spread
+
 NOW = "2027-06-30 00:00:00"
 
 RAW_CUSTOMERS = r"""
@@ -108,7 +110,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_ORDERS, lineitem=given(spark, sf_dir, "lineitem"), orders=given(spark, sf_dir, "orders"))
+    lines = spread(given(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spark.sql(RAW_ORDERS, lineitem=lines, orders=given(spark, sf_dir, "orders"))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
