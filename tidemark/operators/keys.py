@@ -7,25 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of the hash that choose the bucket: 16 ** 4 buckets, a fixed number.
+# Hex digits of the hash that choose the bucket: 16 ** 4 buckets, a fixed number. Keep it at several
+# times the number of shuffle partitions; five digits are the most that should be broadcast as offsets.
 BUCKET_DIGITS = 4
 
 
-def key_bucket(order_by: Sequence[str]) -> Column:
+def key_bucket(order_by: Sequence[str], digits: int = BUCKET_DIGITS) -> Column:
     """A bucket that depends on the row alone and is even whatever the ids look like."""
     joined = F.concat_ws("|", *[F.col(c).cast("string") for c in order_by])
-    return F.left(F.md5(joined), F.lit(BUCKET_DIGITS))
+    return F.left(F.md5(joined), F.lit(digits))
 
 
-def surrogate_key(df: DataFrame, name: str, order_by: Sequence[str], start: Column | int = 0) -> DataFrame:
+def surrogate_key(
+    df: DataFrame, name: str, order_by: Sequence[str], start: Column | int = 0, digits: int = BUCKET_DIGITS
+) -> DataFrame:
     """Add ``name`` = start + 1 .. start + N, ordered by hash bucket and then by ``order_by``.
 
     ``order_by`` must identify a row. The buckets' sizes come from one partial aggregate over these
-    columns (at most 16 ** 4 rows, turned into offsets and broadcast); the rows are then numbered bucket
+    columns (at most 16 ** digits rows, turned into offsets and broadcast); the rows are then numbered bucket
     by bucket. Everything is a function of the data, so a lost task can be run again.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    bucketed = df.withColumn("_bucket", key_bucket(order_by))
+    bucketed = df.withColumn("_bucket", key_bucket(order_by, digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -29,11 +29,13 @@ def left_lookup(
     also: Column | None = None,
     broadcast_bytes: int | None = None,
     measured: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``facts`` with the other columns of ``reference``, NULL where there is no match.
 
     ``also`` narrows the match further, as in a look-up by period; it names columns of either side.
-    ``measured`` is what to measure instead of ``reference``, if something no smaller is cheaper to read.
+    ``measured`` is what to measure instead of ``reference``, if something no smaller is cheaper to read;
+    ``hot_from`` is where to look for hot keys instead of ``facts``, if an earlier form of it is cheaper.
 
     A small reference is broadcast. A larger one is joined by shuffle, with the hot keys of ``facts``
     (and its rows without a key) spread over several tasks and the few matching reference rows repeated.
@@ -44,11 +46,13 @@ def left_lookup(
         match = F.col(fact_key) == F.col("_ref_key")
         joined = facts.join(F.broadcast(reference), match if also is None else match & also, "left")
         return joined.drop("_ref_key")
-    return _spread_lookup(facts, reference, fact_key, also)
+    hot = hot_keys(facts if hot_from is None else hot_from, fact_key)
+    return _spread_lookup(facts, reference, fact_key, also, hot)
 
 
-def _spread_lookup(facts: DataFrame, reference: DataFrame, fact_key: str, also: Column | None) -> DataFrame:
-    hot = hot_keys(facts, fact_key)
+def _spread_lookup(
+    facts: DataFrame, reference: DataFrame, fact_key: str, also: Column | None, hot: DataFrame
+) -> DataFrame:
     # The salt is a function of the row, so a task that runs again sends the row to the same place.
     row_hash = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int")
     facts = facts.join(F.broadcast(hot), F.col(fact_key) == F.col("_hot_key"), "left")
@@ -77,13 +81,14 @@ def validate_foreign_keys(
     reference: DataFrame,
     pk_column: str,
     broadcast_bytes: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose key exists in the reference, and rows without a key."""
     if fk_column not in df.columns or pk_column not in reference.columns:
         return df
     keys = reference.select(pk_column, F.lit(True).alias("_known"))
     known = keys.dropna().distinct()
-    joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys)
+    joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys, hot_from=hot_from)
     return joined.filter(F.col("_known") | F.col(fk_column).isNull()).drop("_known")
 
 

@@ -79,19 +79,27 @@ def fact_key_lookup(
     products: DataFrame,
     as_of: bool = False,
     broadcast_bytes: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Surrogate keys for natural ones, -1 where there is none.
 
     ``as_of`` takes the customer version that was valid on the day of the order; use it once the
     dimension holds history.
     """
+    hot_from = orders if hot_from is None else hot_from
     customer_columns = ["customer_key", F.col("customer_id").alias("_customer")]
     in_period = None
     if as_of:
         customer_columns += [F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")]
         in_period = F.col("order_date").cast("date").between(F.col("_from"), F.col("_to"))
     found = left_lookup(
-        orders, customers.select(*customer_columns), "customer_id", "_customer", in_period, broadcast_bytes
+        orders,
+        customers.select(*customer_columns),
+        "customer_id",
+        "_customer",
+        also=in_period,
+        broadcast_bytes=broadcast_bytes,
+        hot_from=hot_from,
     ).drop("_from", "_to")
     found = left_lookup(
         found,
@@ -99,6 +107,7 @@ def fact_key_lookup(
         "product_id",
         "_product",
         broadcast_bytes=broadcast_bytes,
+        hot_from=hot_from,
     )
     unknown = F.lit(UNKNOWN_KEY).cast("bigint")
     return found.withColumns(
@@ -128,10 +137,10 @@ def fact_orders(
     """One row per order line.
 
     Orders are numbered before the look-ups: the pass that sizes the key buckets then reads nothing but
-    the order id.
+    the order id, and that for hot keys nothing but the foreign key.
     """
     numbered = surrogate_key(orders, "order_key", ["order_id"])
-    found = fact_key_lookup(numbered, customers, products, as_of, broadcast_bytes)
+    found = fact_key_lookup(numbered, customers, products, as_of, broadcast_bytes, hot_from=orders)
     found = date_membership(found, days)
     discount = money.line_discount(F.col("quantity"), F.col("unit_price"), F.col("discount_percent"))
     return found.select(

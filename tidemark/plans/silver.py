@@ -69,13 +69,15 @@ def silver_orders(df: DataFrame, order_by: Sequence[str], now=None) -> DataFrame
     return processed_at(df, now)
 
 
-def valid_orders(orders: DataFrame, silver: Mapping[str, DataFrame]) -> DataFrame:
+def valid_orders(
+    orders: DataFrame, silver: Mapping[str, DataFrame], broadcast_bytes: int | None = None
+) -> DataFrame:
     """Orders whose customer and product, where given, survived the cleaning."""
-    if "customers" in silver:
-        orders = lookup.validate_foreign_keys(orders, "customer_id", silver["customers"], "customer_id")
-    if "products" in silver:
-        orders = lookup.validate_foreign_keys(orders, "product_id", silver["products"], "product_id")
-    return orders
+    kept = orders
+    for name, key in (("customers", "customer_id"), ("products", "product_id")):
+        if name in silver:
+            kept = lookup.validate_foreign_keys(kept, key, silver[name], key, broadcast_bytes, hot_from=orders)
+    return kept
 
 
 def build_silver(

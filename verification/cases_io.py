@@ -362,6 +362,23 @@ def upsert_table(spark, sf_dir):
     return spark.table(table).select("product_key", "product_id", "name", "price", "margin_percent")
 
 
+@case(
+    "upsert_partitions",
+    """SELECT o_orderkey, o_orderstatus, CASE o_orderstatus WHEN 'F' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders
+    UNION ALL SELECT -1 - o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'""",
+)
+def upsert_partitions(spark, sf_dir):
+    """Finished orders get a new total, and as many new ones arrive; the other states are not rewritten."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "by-status")
+    files.write_partitioned(orders, path, ["o_orderstatus"])
+    finished = orders.filter("o_orderstatus = 'F'")
+    changed = finished.withColumn("o_totalprice", -F.col("o_totalprice"))
+    added = finished.withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    warehouse.upsert_partitions(changed.unionByName(added), path, ["o_orderkey"], ["o_orderstatus"])
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @case(
     "source_health",
     " UNION ALL ".join(f"SELECT '{t}' AS source, true AS healthy, count(*) AS row_count FROM {t}" for t in ("orders", "lineitem", "customer", "part")),
