@@ -86,8 +86,8 @@ def validate_foreign_keys(
     """Rows whose key exists in the reference, and rows without a key."""
     if fk_column not in df.columns or pk_column not in reference.columns:
         return df
-    keys = reference.select(pk_column, F.lit(True).alias("_known"))
-    known = keys.dropna().distinct()
+    keys = reference.select(pk_column).filter(F.col(pk_column).isNotNull())
+    known = keys.distinct().withColumn("_known", F.lit(True))
     joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys, hot_from=hot_from)
     return joined.filter(F.col("_known") | F.col(fk_column).isNull()).drop("_known")
 

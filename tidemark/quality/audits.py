@@ -47,22 +47,29 @@ def key_integrity_audit(gold: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in gold.items():
         key = schemas.PRIMARY_KEYS[name]
         counts = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("filled"), F.count_distinct(key).alias("d"))
-        parts.append(_audit_row(counts, name, key, "primary key repeated", F.col("filled") - F.col("d")))
-        parts.append(_audit_row(df.agg(F.count_if(F.col(key).isNull()).alias("n")), name, key, "not null", F.col("n")))
+        broken = {
+            "primary key repeated": F.col("filled") - F.col("d"),
+            "not null": F.col("n") - F.col("filled"),
+        }
+        parts.append(_audit_rows(counts, name, key, broken))
     for key, dimension in schemas.FOREIGN_KEYS.items():
         orphans = orphan_rows(gold["fact_orders"], key, gold[dimension], schemas.PRIMARY_KEYS[dimension])
         total = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
-        parts.append(_audit_row(total, "fact_orders", key, "foreign key", F.col("n")))
+        parts.append(_audit_rows(total, "fact_orders", key, {"foreign key": F.col("n")}))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _audit_row(counts: DataFrame, table: str, column: str, rule: str, violations: Column) -> DataFrame:
-    return counts.select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit(rule).alias("rule"),
-        violations.cast("bigint").alias("violations"),
-    )
+def _audit_rows(counts: DataFrame, table: str, column: str, broken: Mapping[str, Column]) -> DataFrame:
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(rule).alias("rule"),
+            violations.cast("bigint").alias("violations"),
+        )
+        for rule, violations in broken.items()
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def orphan_audit(fact: DataFrame) -> DataFrame:

@@ -48,7 +48,8 @@ class _Plan:
         is_float = isinstance(self.df.schema[column].dataType, (T.DoubleType, T.FloatType))
         return F.nanvl(c, F.lit(None)) if is_float else c
 
-    def result(self, check: str, column: str | None, passed: Column, **values: Column) -> None:
+    def row(self, check: str, column: str | None, passed: Column, **values: Column) -> Column:
+        """A result as a struct, over columns among which is ``total_rows``."""
         values = {
             "check_name": F.lit(check),
             "table_name": F.lit(self.table),
@@ -59,7 +60,10 @@ class _Plan:
             **values,
         }
         fields = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RESULT.fields]
-        self.rows.append(F.struct(*fields))
+        return F.struct(*fields)
+
+    def result(self, check: str, column: str | None, passed: Column, **values: Column) -> None:
+        self.rows.append(self.row(check, column, passed, **values))
 
     def absent(self, check: str, column: str) -> None:
         self.result(check, column, F.lit(False), error=F.lit("column not found"))
@@ -97,13 +101,12 @@ def _uniqueness(plan: _Plan, columns: Sequence[str]) -> None:
         if column not in plan.df.columns:
             plan.absent("uniqueness", column)
             continue
-        values = plan.df.select(plan.present(column).alias("v"))
-        counts = values.agg(F.count("v").alias("filled"), F.count_distinct("v").alias("different"))
-        counted = counts.select(F.struct("filled", "different")).scalar()
-        filled, different = counted["filled"], counted["different"]
-        repeated = filled - different
+        counts = plan.df.select(plan.present(column).alias("v")).agg(
+            F.count(F.lit(1)).alias("total_rows"), F.count("v").alias("filled"), F.count_distinct("v").alias("different")
+        )
+        filled, repeated = F.col("filled"), F.col("filled") - F.col("different")
         share = repeated.cast("double") / F.nullif(filled, F.lit(0)).cast("double")
-        plan.result(
+        result = plan.row(
             f"uniqueness_{column}",
             column,
             repeated == 0,
@@ -111,6 +114,8 @@ def _uniqueness(plan: _Plan, columns: Sequence[str]) -> None:
             violations=repeated,
             actual=F.coalesce(F.round(share * 100, 2), F.lit(0.0)),
         )
+        # The whole result is one scalar, so that the subquery is planned once.
+        plan.rows.append(counts.select(result.alias("result")).scalar())
 
 
 def _ranges(plan: _Plan, bounds: Mapping[str, Sequence[float]]) -> None:
