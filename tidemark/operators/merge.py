@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keys import surrogate_key
+from tidemark.sinks.files import Store, leave
 
 # Fixed value: the end of a period that is still open.
 OPEN_END = "9999-12-31"
@@ -37,12 +38,14 @@ def scd2_merge(
     attributes: Sequence[str],
     effective: str | Column,
     surrogate: str,
+    store: Store = leave,
 ) -> DataFrame:
     """Type-2 history: a changed row is closed the day before ``effective`` and a new version added.
 
     A natural key the dimension does not know gets its first version; one that is missing from
     ``incoming`` stays as it is. ``incoming`` holds one row per natural key. Only the new versions are
-    numbered, after the largest key in use.
+    numbered, after the largest key in use. With a ``store`` that writes, the versions are joined once and
+    read three times; otherwise the join may be repeated.
     """
     effective = F.lit(effective).cast("date") if isinstance(effective, str) else effective
     columns = dimension.columns
@@ -77,7 +80,7 @@ def scd2_merge(
     versions = F.array_compact(
         F.array(F.when(has_old, version(old_values)), F.when(has_new & (~has_old | changed), version(new_values)))
     )
-    merged = paired.select(F.inline(versions))
+    merged = store("versions", paired.select(F.inline(versions)))
     last_key = dimension.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
     added = surrogate_key(
         merged.filter(F.col(surrogate).isNull()).drop(surrogate), surrogate, [natural_key], start=last_key

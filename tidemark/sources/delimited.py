@@ -66,11 +66,13 @@ def read_csv(
     delimiter: str | None = None,
     encoding: str | None = None,
     pattern: str = "*",
+    multiline: bool = False,
 ) -> DataFrame:
     """A CSV file, or a directory of files of one dialect, with a header line.
 
     Give ``schema``, ``delimiter`` and ``encoding`` in regular jobs: what is missing costs a pass over
-    the data each. A missing path raises; missing expected columns are logged.
+    the data each. A missing path raises; missing expected columns are logged. ``multiline`` allows line
+    breaks inside quotes, but then a file is read by one task.
     """
     if delimiter is None or encoding is None:
         dialects = sniff_csv_dialect(spark, path, pattern).select("encoding", "delimiter").distinct().collect()
@@ -83,6 +85,7 @@ def read_csv(
         .option("escape", '"')
         .option("sep", delimiter)
         .option("encoding", encoding)
+        .option("multiLine", multiline)
         .option("pathGlobFilter", pattern)
     )
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)

@@ -16,13 +16,13 @@ def read_layer(spark: SparkSession, base: str, layer: str, names: Iterable[str])
 
 
 def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Redistribute a scan that comes in far fewer splits than the cluster has cores.
+    """Redistribute a scan that comes in fewer splits than the cluster has cores.
 
-    A file of one row group is one task, and so is everything up to the next shuffle. A table with
-    enough splits is returned as it is. ``columns`` should identify a row, so that no hot key gathers.
+    A row group is read by one task, which also does everything up to the next shuffle, and a small file
+    has few of them however finely it is split. A table with enough splits is returned as it is. ``columns`` should identify a row, so that no hot key gathers.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() * 4 < cores else df
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
 
 
 def sql_query(

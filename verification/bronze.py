@@ -62,7 +62,7 @@ FROM (
   FROM (
     SELECT *, 0 AS copy FROM {part}
     UNION ALL
-    SELECT *, 1 AS copy FROM {part} WHERE p_partkey % 200 = 0
+    SELECT *, 1 AS copy FROM {part} WHERE p_partkey % 200 = 1
   ) AS records
 ) AS priced
 """

@@ -147,8 +147,10 @@ def ingest_users_nested(spark, sf_dir):
 
 @case(
     "read_bronze_products",
-    """SELECT origin, product_id, name, CAST(price AS DOUBLE) AS price, CAST(rating AS DOUBLE) AS rating
-    FROM raw_products, (VALUES ('json'), ('csv')) AS origins(origin)""",
+    " UNION ALL ".join(
+        f"SELECT '{o}' AS origin, product_id, name, CAST(price AS DOUBLE) AS price, CAST(rating AS DOUBLE) AS rating FROM raw_products"
+        for o in ("json", "csv")
+    ),
 )
 def read_bronze_products(spark, sf_dir):
     """Once with a catalogue of nested ratings, once without a catalogue."""
@@ -232,7 +234,7 @@ def write_gold(spark, sf_dir):
 
 @case(
     "write_object_store",
-    f"SELECT origin, t.* FROM ({CUSTOMERS_SQL}) t, (VALUES ('parquet'), ('csv')) AS origins(origin)",
+    " UNION ALL ".join(f"SELECT '{o}' AS origin, t.* FROM ({CUSTOMERS_SQL}) t" for o in ("parquet", "csv")),
 )
 def write_object_store(spark, sf_dir):
     customers = raw_customers(spark, sf_dir).select(*CUSTOMERS)

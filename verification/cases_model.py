@@ -8,7 +8,7 @@ from tidemark.operators import merge
 from tidemark.plans import gold, silver
 from verification import tables_sql as q
 from verification.bronze import NOW, ORDER_BY, given, raw_customers, raw_orders, raw_products
-from verification.cases_relational import masters, star
+from verification.cases_relational import masters, star, written
 from verification.registry import case
 
 ORDER_COLUMNS = (
@@ -137,7 +137,8 @@ SCD2_SQL = f"""
 @case("scd2_merge", SCD2_SQL)
 def scd2_merge(spark, sf_dir):
     """Some customers moved, some are new, and some no longer appear."""
-    customers = silver.silver_customers(raw_customers(spark, sf_dir), ["row_seq"], NOW)
+    store = written(spark, "silver")
+    customers = store("customers", silver.silver_customers(raw_customers(spark, sf_dir), ["row_seq"], NOW))
     number = F.substring("customer_id", 2, 20).cast("bigint")
     incoming = customers.withColumns(
         {
@@ -147,8 +148,9 @@ def scd2_merge(spark, sf_dir):
             ),
         }
     )
+    dimension = store("dim_customer", gold.dim_customer(customers))
     return merge.scd2_merge(
-        gold.dim_customer(customers), incoming, "customer_id", gold.CUSTOMER_ATTRIBUTES, "2025-06-01", "customer_key"
+        dimension, incoming, "customer_id", gold.CUSTOMER_ATTRIBUTES, "2025-06-01", "customer_key", store=store
     )
 
 

@@ -17,12 +17,12 @@ from verification.registry import case
 
 def clean(spark, sf_dir):
     """Silver, each table written before the next one reads it."""
-    return silver.build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=_store(spark, "silver"))
+    return silver.build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=written(spark, "silver"))
 
 
 def star(spark, sf_dir, silver_tables=None):
     """Gold on top of written silver; only the fact is left to the query that asked for it."""
-    store = _store(spark, "gold")
+    store = written(spark, "gold")
     return gold.build_gold(
         spark,
         silver_tables or clean(spark, sf_dir),
@@ -30,14 +30,14 @@ def star(spark, sf_dir, silver_tables=None):
     )
 
 
-def _store(spark, layer):
+def written(spark, layer):
     return files.layer_store(scratch_path(spark, "layers"), layer)
 
 
 def masters(spark, sf_dir):
     """Silver customers and products, written."""
     tables = {"customers": raw_customers(spark, sf_dir), "products": raw_products(spark, sf_dir)}
-    return silver.build_silver(tables, ORDER_BY, NOW, store=_store(spark, "silver"))
+    return silver.build_silver(tables, ORDER_BY, NOW, store=written(spark, "silver"))
 
 
 @case("validate_foreign_keys", "SELECT order_id, customer_id, product_id, l_partkey, l_suppkey FROM valid_orders")
@@ -60,7 +60,7 @@ FACT_KEYS = """SELECT order_id, l_partkey, l_suppkey, coalesce(customer_key, -1)
 
 
 def _found_keys(spark, sf_dir, broadcast_bytes=None):
-    dims = gold.build_gold(spark, masters(spark, sf_dir), store=_store(spark, "gold"))
+    dims = gold.build_gold(spark, masters(spark, sf_dir), store=written(spark, "gold"))
     orders = raw_orders(spark, sf_dir)
     found = gold.fact_key_lookup(orders, dims["dim_customer"], dims["dim_product"], broadcast_bytes=broadcast_bytes)
     return found.select("order_id", "l_partkey", "l_suppkey", "customer_key", "product_key")
