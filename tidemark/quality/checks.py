@@ -24,6 +24,8 @@ RESULT = table_schema(
     error="string", checked_at="timestamp",
 )
 
+KINDS = {f.name: f.dataType.simpleString() for f in RESULT.fields}
+
 SAMPLE_SIZE = 5
 
 
@@ -48,19 +50,18 @@ class _Plan:
         is_float = isinstance(self.df.schema[column].dataType, (T.DoubleType, T.FloatType))
         return F.nanvl(c, F.lit(None)) if is_float else c
 
+    def __post_init__(self) -> None:
+        # Made once per suite: a check fills in a few fields and shares the others.
+        self.shared = {name: F.lit(None).cast(kind).alias(name) for name, kind in KINDS.items()}
+        self.shared["table_name"] = F.lit(self.table).alias("table_name")
+        self.shared["total_rows"] = F.col("total_rows")
+        self.shared["checked_at"] = self.now.cast("timestamp").alias("checked_at")
+
     def row(self, check: str, column: str | None, passed: Column, **values: Column) -> Column:
         """A result as a struct, over columns among which is ``total_rows``."""
-        values = {
-            "check_name": F.lit(check),
-            "table_name": F.lit(self.table),
-            "column_name": F.lit(column),
-            "passed": passed,
-            "total_rows": F.col("total_rows"),
-            "checked_at": self.now.cast("timestamp"),
-            **values,
-        }
-        fields = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RESULT.fields]
-        return F.struct(*fields)
+        values = {"check_name": F.lit(check), "column_name": F.lit(column), "passed": passed, **values}
+        own = {name: value.cast(KINDS[name]).alias(name) for name, value in values.items()}
+        return F.struct(*[own.get(name, self.shared[name]) for name in KINDS])
 
     def result(self, check: str, column: str | None, passed: Column, **values: Column) -> None:
         self.rows.append(self.row(check, column, passed, **values))

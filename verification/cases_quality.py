@@ -11,7 +11,7 @@ from tidemark.quality import audits, checks, report
 from tidemark.quality.suites import SUITES
 from tidemark.sources.delimited import schema_check as check_schema
 from verification.bronze import NOW, given, raw_customers, raw_orders, raw_products
-from verification.cases_relational import clean, star
+from verification.cases_relational import clean, star, stored_star
 from verification.registry import case
 
 
@@ -188,7 +188,7 @@ STRICT = schemas.RowContract(
 )
 def row_contract_audit(spark, sf_dir):
     """Every gold table against its own contract, and customers against one that they break."""
-    tables = star(spark, sf_dir)
+    tables = stored_star(spark, sf_dir)
     result = audits.row_contract_audit(tables["dim_customer"], "dim_customer", STRICT)
     for name, df in tables.items():
         result = result.unionByName(audits.row_contract_audit(df, name))
@@ -213,7 +213,7 @@ def keys_sql() -> str:
 
 @case("key_integrity_audit", keys_sql())
 def key_integrity_audit(spark, sf_dir):
-    return audits.key_integrity_audit(star(spark, sf_dir))
+    return audits.key_integrity_audit(stored_star(spark, sf_dir))
 
 
 @case(

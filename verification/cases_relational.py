@@ -30,6 +30,11 @@ def star(spark, sf_dir, silver_tables=None):
     )
 
 
+def stored_star(spark, sf_dir):
+    """Gold with the fact written too, for queries that read it several times."""
+    return gold.build_gold(spark, clean(spark, sf_dir), store=written(spark, "gold"))
+
+
 def written(spark, layer):
     return files.layer_store(scratch_path(spark, "layers"), layer)
 
