@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from verification.compare import connect, difference
+from verification.registry import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,14 +17,14 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     actual = driver.queries()[name](spark, SF_DIR).toPandas()
     assert difference(actual, duck.execute(driver.oracle_sql()[name]).df()) is None
