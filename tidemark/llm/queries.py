@@ -6,9 +6,13 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import public_tokenizers
 
 import tidemark
-from tidemark.llm import substring_dedup
+from tidemark.llm import bpe, fingerprint, minhash, mixing, substring_dedup, token_counts, topk
+from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +68,82 @@ FROM d LEFT JOIN left_over USING (doc_id) LEFT JOIN counts USING (doc_id)
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op3_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op4_near_dedup",
+    f"""
+WITH RECURSIVE lowered AS (
+  SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+),
+d AS (SELECT doc_id, {SQL_WORDS} AS words FROM lowered),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 3, 2)), lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
+  FROM d WHERE len(words) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n FROM sets a JOIN sets b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT u, v FROM common JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * common.n >= 75 * (a.n + b.n - common.n)
+),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM d UNION SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.v),
+lowest AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mixing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+#: The vocabulary has this many tokens, with ids from 0; the next id is free for the end of a document.
+COUNT_RANKS = "byte_bpe_multi_50k.tiktoken"
+END_OF_DOCUMENT = 50256
+
+
+@query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(COUNT_RANKS)
+    path = scratch_path(spark, "token-files")
+    return token_counts.document_counts(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, END_OF_DOCUMENT, path)
+
+
+def encoded_and_decoded(docs: DataFrame) -> DataFrame:
+    tokenizer = bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = encoded_and_decoded(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query(
+    "op9_top_k",
+    """
+WITH finite AS (
+  SELECT vec_id, embedding FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scaled AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM finite),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM scaled q JOIN scaled c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
