@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import tidemark
-from tidemark.llm import bpe, fingerprint, minhash, mixing, substring_dedup, token_counts, topk
+from tidemark.llm import bpe, fingerprint, minhash, mixing, quality, substring_dedup, token_counts, topk, toxicity
+from tidemark.llm.labelled import held_out
 from tidemark.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,15 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, apart = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out(2, 4)
+    return quality.classified(docs, quality.fit(docs, labels, ~apart), apart)
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels, apart = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out(0, 5)
+    return toxicity.classified(docs, toxicity.fit(docs, labels, ~apart), apart)
