@@ -152,11 +152,41 @@ def test_a_hot_key_is_spread_over_tasks(spark, skewed):
             spark.conf.set(key, value)
 
 
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    facts = spark.range(40_000).selectExpr("'hot' AS key", "1 AS amount").unionByName(spark.range(4_000).selectExpr("CAST(NULL AS STRING) AS key", "1 AS amount"))
+    reference = spark.createDataFrame([("hot", 1)], "pk string, value int")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = lookup.left_lookup(facts, reference, "key", "pk", broadcast_bytes=0).cache()
+        sizes = [r["count"] for r in joined.filter("key IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.filter("value IS NULL").count() == 4_000 and sum(sizes) == 40_000
+        assert max(sizes) < 3 * 40_000 / 16
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_hot_keys_are_found(skewed):
     found = {r[0] for r in lookup.hot_keys(skewed, "key", 0.01).collect()}
     assert "hot" in found and len(found) <= 100
 
 
+def test_known_ids_keep_their_keys(spark):
+    known = spark.createDataFrame([(7, "a"), (3, "b"), (-1, "unknown")], "key bigint, id string")
+    batch = spark.createDataFrame([("b",), ("c",), ("d",)], "id string")
+    found = {r["id"]: r["key"] for r in keys.kept_keys(batch, known, "key", "id").collect()}
+    assert found["b"] == 3 and sorted((found["c"], found["d"])) == [8, 9]
+
+
+def test_median_of_decimals_is_a_decimal(spark):
+    df = spark.createDataFrame([("1.10",), ("2.25",), (None,), ("90071992547409.93",), ("3.00",)], "t string").selectExpr("CAST(t AS DECIMAL(18,2)) AS v")
+    filled = nulls.handle_nulls(df, {"v": "fill_median"})
+    assert filled.dtypes == df.dtypes and sorted(str(r[0]) for r in filled.collect()) == ["1.10", "2.25", "2.63", "3.00", "90071992547409.93"]
+
+
 def test_orphans_are_counted_per_key(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "fk string")
     reference = spark.createDataFrame([("b",)], "pk string")
@@ -207,6 +237,15 @@ def test_history(spark):
     third = merged(first, [("c-777", "SP")], "2025-08-01")
     current = third.filter("is_current").groupBy("customer_id").count().filter("count > 1")
     assert current.isEmpty()
+    again = merged(third, [("c-777", "MG")], "2025-08-01")
+    assert {(r["state"], r["customer_key"]) for r in again.filter("customer_id = 'c-777' AND is_current").collect()} == {
+        ("MG", third.filter("customer_id = 'c-777' AND is_current").first()["customer_key"])
+    }
+    assert again.count() == third.count() and again.filter("valid_from > valid_to").isEmpty()
+    with pytest.raises(ValueError, match="repeats"):
+        merged(first, [("c-1", "A"), ("c-1", "B")], "2026-01-01")
+    with pytest.raises(ValueError, match="after"):
+        merged(first, [("c-777", "A")], "2025-05-01")
     spans = third.alias("a").join(third.alias("b"), F.expr(
         "a.customer_id = b.customer_id AND a.customer_key < b.customer_key AND a.valid_from <= b.valid_to AND b.valid_from <= a.valid_to"))
     assert spans.isEmpty()

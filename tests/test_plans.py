@@ -1,4 +1,5 @@
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def test_star(spark, cleaned):
     assert (str(facts["o1"]["discount_amount"]), facts["o1"]["net_amount"]) == ("240.00", facts["o1"]["total_amount"])
     assert (facts["o5"]["product_key"], facts["o5"]["date_key"], facts["o8"]["date_key"]) == (-1, 19000101, 19000101)
     assert facts["o5"]["order_status"] == "returned"
-    assert (products["p1"]["price_range"], products["p1"]["margin_percent"]) == ("Luxury", 33.33)
+    assert (products["p1"]["price_range"], products["p1"]["margin_percent"]) == ("Luxury", Decimal("33.33"))
     assert tuple(audits.orphan_audit(star["fact_orders"]).first()) == (4, 0, 1, 2)
     for name, df in star.items():
         assert df.columns == schemas.GOLD[name].names
@@ -106,6 +107,7 @@ def test_sales(spark, cleaned):
     assert rows == {
         ("year", "2024"): 2, ("month", "2024-06"): 2, ("quarter", "2024-Q2"): 2, ("weekday", "Tuesday"): 1,
         ("weekday", "Wednesday"): 1, ("holiday", "false"): 2,
+        **{(grain, "unknown"): 2 for grain in ("year", "month", "quarter", "weekday", "holiday")},
     }
     assert sales.payment_method_top_avg(star["fact_orders"]).first()["payment_method"] == "credit_card"
 
@@ -122,8 +124,38 @@ def test_the_whole_run(spark, bronze, tmp_path):
     assert set(tables) == set(schemas.GOLD)
     assert spark.table("run_test.fact_orders").count() == tables["fact_orders"].count() == 3
     assert spark.read.parquet(f"{tmp_path}/1/quality/results").count() == 24
-    run(tmp_path / "2")
-    assert spark.table("run_test.fact_orders").count() == 3  # the natural key updates, it does not add
+    keys = {r["order_id"]: r["order_key"] for r in spark.table("run_test.fact_orders").collect()}
+
+    # Another batch: a changed customer, a new one, an order again and a new one.
+    customers = bronze["customers"].filter("customer_id <> 'c2'")
+    customers = customers.withColumn("city", F.when(F.col("customer_id") == "c1", "Recife").otherwise(F.col("city")))
+    bronze["customers"] = customers.withColumn("customer_id", F.when(F.col("customer_id") == "c3", "c9").otherwise(F.col("customer_id")))
+    bronze["orders"] = orders.filter("order_id = 'o1'").unionByName(
+        orders.filter("order_id = 'o1' AND customer_id = 'c1'").selectExpr("* EXCEPT (order_id, customer_id)", "'o10' AS order_id", "'c9' AS customer_id")
+    )
+    with pytest.raises(ValueError, match="later batch"):
+        run(tmp_path / "2")
+    medallion.run_medallion(spark, bronze, str(tmp_path / "2"), ORDER_BY, NOW, suites, "run_test", effective="2024-06-01")
+    star = {name: spark.table(f"run_test.{name}") for name in schemas.GOLD}
+    after = {r["order_id"]: r["order_key"] for r in star["fact_orders"].collect()}
+    assert keys.items() <= after.items() and set(after) - set(keys) == {"o10"} and len(after) == 4
+    assert audits.key_integrity_audit({n: d.select(*schemas.GOLD[n].names) for n, d in star.items()}).filter("violations > 0").isEmpty()
+    joined = star["fact_orders"].join(star["dim_customer"], "customer_key").filter("order_id = 'o1'").first()
+    assert (joined["customer_id"], joined["city"], str(joined["valid_from"])) == ("c1", "Recife", "2024-06-01")
+    spark.sql("DROP DATABASE run_test CASCADE")
+
+
+def test_gold_has_the_declared_types(spark, cleaned):
+    for name, df in gold.build_gold(spark, cleaned, unknown_members=True).items():
+        assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schemas.GOLD[name].fields]
+
+
+def test_numbers_out_of_range_are_set_aside(spark, bronze):
+    bronze["orders"] = bronze["orders"].withColumn("unit_price", F.when(F.col("order_id") == "o1", 2e9).otherwise(F.col("unit_price")))
+    silver_tables, aside = silver.build_silver(bronze, ORDER_BY, NOW), {}
+    star = gold.build_gold(spark, silver_tables, rejected=lambda name, df: aside.setdefault(name, df))
+    assert "o1" in by_id(silver_tables["orders"], "order_id")
+    assert set(by_id(aside["fact_orders"], "order_id")) == {"o1"} and "o1" not in by_id(star["fact_orders"], "order_id")
 
 
 def test_the_gate_stops_before_gold(spark, bronze, tmp_path):

@@ -20,7 +20,7 @@ def test_completeness(spark):
     assert (failed["passed"], failed["violations"], failed["actual"], failed["threshold"]) == (False, 1, 75.0, 80.0)
     assert only(checks.check_completeness(df, "t", ["col1"]))["violations"] == 2
     absent = only(checks.check_completeness(df, "t", ["nope"]))
-    assert (absent["check_name"], absent["passed"], absent["error"]) == ("completeness", False, "column not found")
+    assert (absent["check_name"], absent["passed"], absent["error"]) == ("completeness", False, "no such column")
 
 
 def test_uniqueness(spark):

@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -138,7 +139,7 @@ def test_upsert_rewrites_touched_partitions_only(spark, tmp_path):
     back = spark.read.parquet(path).select("id", "p", "n").orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, "a", 1), (2, "b", 7), (3, None, 8), (4, "c", 9)]
     with pytest.raises(ValueError, match="move"):
-        warehouse.upsert_partitions(source.withColumn("p", F.lit("z")), path, ["id"], ["p"])
+        warehouse.upsert_partitions(source.withColumn("p", F.lit("z")), path, ["id"], ["p"], check_moves=True)
     with pytest.raises(ValueError, match="repeats"):
         warehouse.upsert_partitions(source.union(source), path, ["id"], ["p"])
 
@@ -170,6 +171,34 @@ def test_warehouse_tables(spark, tmp_path):
     assert layers.source_health(spark.table("gold_test.dim_date"))
 
 
+def test_upsert_prunes_the_target(spark, tmp_path):
+    path = str(tmp_path / "out")
+    files.write_partitioned(spark.range(100).selectExpr("id", "id % 10 AS p"), path, ["p"])
+    source = spark.createDataFrame([(3, 3)], "id bigint, p bigint")
+    plan = warehouse.touched_rows(spark.read.parquet(path), source, ["p"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*\(p#\d+ = 3\)", plan)
+
+
+def test_an_empty_table_keeps_the_filled_one(spark, tmp_path):
+    base = str(tmp_path)
+    assert files.write_layer({"t": spark.range(5)}, base, "gold") == {"t": 5}
+    assert files.write_layer({"t": spark.range(0)}, base, "gold") == {"t": 0}
+    assert spark.read.parquet(f"{base}/gold/t").count() == 5 and os.listdir(f"{base}/gold") == ["t"]
+    assert files.write_layer({"new": spark.range(0)}, base, "gold") == {"new": 0}
+    assert spark.read.parquet(f"{base}/gold/new").columns == ["id"]
+    assert files.written_bytes(spark.read.parquet(f"{base}/gold/t").filter("id > 1")) == 5 * 16
+
+
+def test_csv_columns_go_by_name(spark, tmp_path, caplog):
+    schema = table_schema(id="integer", name="string", phone="string")
+    (tmp_path / "a.csv").write_text("city,name,id\nRio,ana,1\n")
+    row = delimited.read_csv(spark, str(tmp_path / "a.csv"), schema, expected_columns=["id", "phone"]).first()
+    assert tuple(row) == (1, "ana", None) and "phone" in caplog.text
+    (tmp_path / "b.csv").write_text("id,name\n2,bo\n")
+    both = delimited.read_csv_directory(spark, str(tmp_path), schema).orderBy("id").collect()
+    assert [(r["id"], r["name"], r["_corrupt_record"], r["source_file"]) for r in both] == [(1, "ana", None, "a.csv"), (2, "bo", None, "b.csv")]
+
+
 def test_scratch_is_where_the_session_says(spark):
     folder = spark.conf.get("spark.checkpoint.dir", None)
     path = session.scratch_path(spark, "x")

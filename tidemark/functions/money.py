@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
-PERCENT = "decimal(5,2)"
+# Wide enough for values that are wrong, so that the checks see them; the gold tables are narrower.
+MONEY = "decimal(18,2)"
+PERCENT = "decimal(18,2)"
 
 # Upper bounds (inclusive) of the price bands, cheapest first, and the band above them.
 PRICE_BANDS = ((50, "Budget"), (250, "Mid-Range"), (1000, "Premium"))
@@ -17,8 +18,8 @@ FALLBACK_COST_SHARE = "0.70"
 
 
 def to_money(c: Column, target: str = MONEY) -> Column:
-    """Cast to a wide decimal first: a double is then rounded as it prints, not as it is stored."""
-    return F.round(c.cast("decimal(18,6)"), 2).cast(target)
+    """Cast to a wide decimal first: a double is then rounded as it prints, not as it is stored. NULL if not even that fits."""
+    return F.round(c.try_cast("decimal(28,6)"), 2).try_cast(target)
 
 
 def rounded(c: Column, decimals: int, is_decimal: bool) -> Column:
@@ -36,8 +37,8 @@ def plausible_cost(price: Column, cost: Column) -> Column:
 
 
 def _percent_of_line(quantity: Column, unit_price: Column, percent: Column) -> Column:
-    gross = quantity.cast("decimal(10,0)") * unit_price
-    return (gross * percent * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+    gross = quantity.cast("decimal(10,0)") * unit_price.cast(MONEY)
+    return (F.try_multiply(gross, percent) / F.lit(100).cast("decimal(3,0)")).try_cast(MONEY)
 
 
 def line_total(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:

@@ -13,7 +13,7 @@ WHITESPACE = (
 )
 
 # Fixed value: the accepted address pattern, ASCII only.
-EMAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+$"
+EMAIL_PATTERN = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
 
 
 def strip(c: Column) -> Column:

@@ -40,3 +40,17 @@ def surrogate_key(
     )
     key = (start + F.col("_offset") + F.col("_position")).cast("bigint")
     return numbered.select(key.alias(name), *df.columns)
+
+
+def kept_keys(df: DataFrame, known: DataFrame, name: str, natural: str) -> DataFrame:
+    """Add ``name``: the key that ``known`` has for the natural key, or the next ones after its largest.
+
+    Only new natural keys are numbered, and only the two key columns of ``known`` are read. ``df`` has one row for each
+    natural key, which has to be filled.
+    """
+    pairs = known.select(F.col(natural).alias("_known_id"), F.col(name).alias("_known_key")).filter(F.col(natural).isNotNull())
+    last = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
+    same = F.col(natural) == F.col("_known_id")
+    old = df.join(pairs, same).select(F.col("_known_key").alias(name), *df.columns)
+    new = df.join(pairs, same, "left_anti")
+    return old.unionByName(surrogate_key(new, name, [natural], start=F.greatest(last, F.lit(0))))

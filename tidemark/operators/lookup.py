@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sinks.files import written_bytes
+
 # A reference is broadcast when its columns, measured, take no more than this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key is treated as hot from this share of the rows on; the sketch returns at most 1 / share keys.
 HOT_SHARE = 0.001
-# A hot key is spread over this many tasks.
-SPREAD = 64
+# Parts that a hot key with all rows would be cut into, for each shuffle partition.
+PARTS_PER_PARTITION = 4
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Rows times fixed width plus the bytes of all strings, in one aggregate."""
+    """Rows times fixed width plus the bytes of all strings: known from the write, or one aggregate."""
+    known = written_bytes(df)
+    if known is not None:
+        return known
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     text = sum((F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in strings), start=F.lit(0))
     return df.agg((F.count(F.lit(1)) * 16 * len(df.columns) + text).alias("bytes")).first()["bytes"]
@@ -30,6 +38,7 @@ def left_lookup(
     broadcast_bytes: int | None = None,
     measured: DataFrame | None = None,
     hot_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """``facts`` with the other columns of ``reference``, NULL where there is no match.
 
@@ -37,8 +46,10 @@ def left_lookup(
     ``measured`` is what to measure instead of ``reference``, if something no smaller is cheaper to read;
     ``hot_from`` is where to look for hot keys instead of ``facts``, if an earlier form of it is cheaper.
 
-    A small reference is broadcast. A larger one is joined by shuffle, with the hot keys of ``facts``
-    (and its rows without a key) spread over several tasks and the few matching reference rows repeated.
+    A small reference is broadcast. A larger one is joined by shuffle, with the hot keys of ``facts`` cut
+    into as many parts as their share asks for and the few matching reference rows repeated. Rows without a key
+    stay out of the join. ``spread_by`` names columns that tell the rows of a hot key apart; without them rows are
+    numbered in the order of the scan, which has to be repeatable, as that of files is.
     """
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     reference = reference.withColumnRenamed(reference_key, "_ref_key")
@@ -47,32 +58,44 @@ def left_lookup(
         joined = facts.join(F.broadcast(reference), match if also is None else match & also, "left")
         return joined.drop("_ref_key")
     hot = hot_keys(facts if hot_from is None else hot_from, fact_key)
-    return _spread_lookup(facts, reference, fact_key, also, hot)
+    keyed, unkeyed = (facts.filter(F.col(fact_key).isNull() == without) for without in (False, True))
+    found = _spread_lookup(keyed, reference, fact_key, also, hot, spread_by)
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in reference.schema.fields if f.name != "_ref_key"]
+    return found.unionByName(unkeyed.select("*", *absent))
 
 
 def _spread_lookup(
-    facts: DataFrame, reference: DataFrame, fact_key: str, also: Column | None, hot: DataFrame
+    facts: DataFrame, reference: DataFrame, fact_key: str, also: Column | None, hot: DataFrame, spread_by: Sequence[str] | None
 ) -> DataFrame:
-    # The salt is a function of the row, so a task that runs again sends the row to the same place.
-    row_hash = F.pmod(F.xxhash64(*facts.columns), F.lit(SPREAD)).cast("int")
+    row = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
     facts = facts.join(F.broadcast(hot), F.col(fact_key) == F.col("_hot_key"), "left")
-    facts = facts.withColumn(
-        "_salt", F.when(F.col("_hot_key").isNotNull() | F.col(fact_key).isNull(), row_hash).otherwise(F.lit(0))
-    ).drop("_hot_key")
-    every_salt = F.sequence(F.lit(0), F.lit(SPREAD - 1))
+    facts = facts.withColumn("_salt", F.pmod(row, F.coalesce("_parts", F.lit(1)))).drop("_hot_key", "_parts")
     reference = reference.join(F.broadcast(hot), F.col("_ref_key") == F.col("_hot_key"), "left")
-    reference = reference.withColumn(
-        "_ref_salt", F.explode(F.when(F.col("_hot_key").isNotNull(), every_salt).otherwise(F.array(F.lit(0))))
-    ).drop("_hot_key")
+    every_salt = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
+    reference = reference.withColumn("_ref_salt", F.explode(every_salt)).drop("_hot_key", "_parts")
     match = (F.col(fact_key) == F.col("_ref_key")) & (F.col("_salt") == F.col("_ref_salt"))
     joined = facts.join(reference, match if also is None else match & also, "left")
     return joined.drop("_ref_key", "_salt", "_ref_salt")
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Every key with more than ``share`` of the rows (and perhaps some others), at most 1 / share of them."""
-    sketch = df.filter(F.col(key).isNotNull()).stat.freqItems([key], share)
-    return sketch.select(F.explode(f"{key}_freqItems").alias("_hot_key"))
+    """Every key with more than ``share`` of the rows, at most 1 / share of them, and into how many parts to cut it.
+
+    A sketch names the keys that may be hot; these are counted. The parts follow the key's share of the rows and the
+    number of shuffle partitions.
+    """
+    spark = df.sparkSession
+    keys = df.select(key).filter(F.col(key).isNotNull())
+    sketch = keys.stat.freqItems([key], share).select(F.explode(f"{key}_freqItems").alias("_hot_key"))
+    counted = keys.join(F.broadcast(sketch), F.col(key) == F.col("_hot_key"), "left").groupBy("_hot_key").agg(F.count(F.lit(1)).alias("rows")).collect()
+    total, partitions = sum(r["rows"] for r in counted), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = [
+        (r["_hot_key"], math.ceil(PARTS_PER_PARTITION * partitions * r["rows"] / total))
+        for r in counted
+        if r["_hot_key"] is not None and r["rows"] > share * total
+    ]
+    kind = T.StructType([T.StructField("_hot_key", df.schema[key].dataType), T.StructField("_parts", T.LongType())])
+    return spark.createDataFrame(parts, kind)
 
 
 def validate_foreign_keys(
@@ -82,13 +105,14 @@ def validate_foreign_keys(
     pk_column: str,
     broadcast_bytes: int | None = None,
     hot_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows whose key exists in the reference, and rows without a key."""
     if fk_column not in df.columns or pk_column not in reference.columns:
         return df
     keys = reference.select(pk_column).filter(F.col(pk_column).isNotNull())
     known = keys.distinct().withColumn("_known", F.lit(True))
-    joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys, hot_from=hot_from)
+    joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys, hot_from=hot_from, spread_by=spread_by)
     return joined.filter(F.col("_known") | F.col(fk_column).isNull()).drop("_known")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.dedup import require_unique
 from tidemark.operators.keys import surrogate_key
 from tidemark.sinks.files import Store, leave
 
@@ -39,15 +40,19 @@ def scd2_merge(
     effective: str | Column,
     surrogate: str,
     store: Store = leave,
+    first_from: str | None = None,
 ) -> DataFrame:
     """Type-2 history: a changed row is closed the day before ``effective`` and a new version added.
 
-    A natural key the dimension does not know gets its first version; one that is missing from
-    ``incoming`` stays as it is. ``incoming`` holds one row per natural key. Only the new versions are
+    A version that began on that very day is replaced and keeps its key; one that began later makes the merge fail. A natural
+    key the dimension does not know gets its first version, from ``first_from`` or else from ``effective``; one that is missing from
+    ``incoming`` stays as it is. ``incoming`` must hold one row per natural key. Only the new versions are
     numbered, after the largest key in use. With a ``store`` that writes, the versions are joined once and
     read three times; otherwise the join may be repeated.
     """
+    require_unique(incoming, [natural_key], "the source of a history")
     effective = F.lit(effective).cast("date") if isinstance(effective, str) else effective
+    first = effective if first_from is None else F.lit(first_from).cast("date")
     columns = dimension.columns
     current = dimension.filter("is_current")
     new = incoming.select(
@@ -58,8 +63,13 @@ def scd2_merge(
     for a in attributes:
         changed = changed | ~F.col(a).eqNullSafe(F.col(f"_new_{a}"))
     has_old, has_new = F.col(natural_key).isNotNull(), F.col("_id").isNotNull()
-    closes = has_old & has_new & changed
+    differs = has_old & has_new & changed
+    if not paired.filter(differs & (F.col("valid_from") > effective)).isEmpty():
+        raise ValueError("a version begins after the effective day")
+    replaced = differs & (F.col("valid_from") == effective)
+    closes = differs & ~replaced
     old_values = {c: F.col(c) for c in columns}
+    old_values.update({a: F.when(replaced, F.col(f"_new_{a}")).otherwise(F.col(a)) for a in attributes})
     old_values["valid_to"] = F.when(closes, F.date_sub(effective, 1)).otherwise(F.col("valid_to"))
     old_values["is_current"] = ~closes
     new_values = {c: F.lit(None).cast(dimension.schema[c].dataType) for c in columns}
@@ -67,7 +77,7 @@ def scd2_merge(
     new_values.update(
         {
             natural_key: F.col("_id"),
-            "valid_from": effective,
+            "valid_from": F.when(has_old, effective).otherwise(first),
             "valid_to": F.lit(OPEN_END).cast("date"),
             "is_current": F.lit(True),
         }
@@ -78,7 +88,7 @@ def scd2_merge(
         return F.struct(*typed)
 
     versions = F.array_compact(
-        F.array(F.when(has_old, version(old_values)), F.when(has_new & (~has_old | changed), version(new_values)))
+        F.array(F.when(has_old, version(old_values)), F.when(has_new & (~has_old | closes), version(new_values)))
     )
     merged = store("versions", paired.select(F.inline(versions)))
     last_key = dimension.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()

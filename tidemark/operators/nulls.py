@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def handle_nulls(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
-    """Apply the strategies in their order, so a later statistic sees the rows an earlier one left."""
+def handle_nulls(df: DataFrame, strategies: Mapping[str, str], finish_rows: int = 100_000) -> DataFrame:
+    """Apply the strategies in their order, so a later statistic sees the rows an earlier one left.
+
+    A decimal column keeps its type under ``fill_median``; ``finish_rows`` is that of ``exact_median``.
+    """
     for column, strategy in strategies.items():
         if column not in df.columns:
             continue
@@ -19,7 +23,8 @@ def handle_nulls(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
         elif strategy == "fill_mean":
             df = _fill(df, column, df.agg(F.avg(column)).scalar())
         elif strategy == "fill_median":
-            df = _fill(df, column, F.lit(exact_median(df, column)))
+            median, kind = F.lit(exact_median(df, column, finish_rows)), df.schema[column].dataType
+            df = _fill(df, column, F.round(median, kind.scale).cast(kind) if isinstance(kind, T.DecimalType) else median)
         elif strategy == "fill_mode":
             df = _fill(df, column, smallest_mode(df, column).scalar())
         elif strategy.startswith("fill_value:"):
@@ -48,25 +53,29 @@ def smallest_mode(df: DataFrame, column: str) -> DataFrame:
     return counts.orderBy(F.col("_n").desc(), F.col(column).asc()).limit(1).select(column)
 
 
-def exact_median(df: DataFrame, column: str, finish_rows: int = 100_000) -> float | None:
+def exact_median(df: DataFrame, column: str, finish_rows: int = 100_000) -> float | Decimal | None:
     """The exact median without bringing the column together anywhere.
 
     ``median()`` keeps every distinct value in one buffer. Here a quantile sketch brackets the middle
     rank, exact counts say how many rows lie below the bracket, and only the rows strictly inside go to
     the next round: about one in a thousand. Each round returns one row to the driver; the last one ranks
-    at most ``finish_rows`` rows.
+    at most ``finish_rows`` rows. Values are compared in the column's own type; the result is a decimal for decimals.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    inside_rows = values.count()
+    v, kind = F.col(column), df.schema[column].dataType
+    floating = isinstance(kind, (T.FloatType, T.DoubleType))
+    values = df.select(v.alias("v")).filter(v.isNotNull() & (~F.isnan(v) if floating else F.lit(True)))
+    half, margin = 0.5, 0.0005
+    first = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", [half - margin, half + margin], 10_000).alias("q")).first()
+    inside_rows, bracket = first["n"], first["q"]
     if inside_rows == 0:
         return None
     wanted = sorted({(inside_rows - 1) // 2, inside_rows // 2})
-    found: dict[int, float] = {}
-    inside, below, margin = values, 0, 0.0005
+    found: dict = {}
+    inside, below = values, 0
     while len(found) < len(wanted) and inside_rows > finish_rows:
         open_ranks = [r for r in wanted if r not in found]
-        low, high = _bracket(inside, inside_rows, open_ranks[0] - below, open_ranks[-1] - below, margin)
-        v = F.col("v")
+        low, high = bracket or _bracket(inside, inside_rows, open_ranks[0] - below, open_ranks[-1] - below, margin)
+        v, bracket = F.col("v"), None
         under_low, to_low, under_high, to_high = inside.agg(
             F.count_if(v < low), F.count_if(v <= low), F.count_if(v < high), F.count_if(v <= high)
         ).first()
@@ -83,7 +92,7 @@ def exact_median(df: DataFrame, column: str, finish_rows: int = 100_000) -> floa
     missing = [r for r in wanted if r not in found]
     if missing:
         found.update(_ranked(inside, {r - below: r for r in missing}))
-    return sum(found[r] for r in wanted) / len(wanted)
+    return sum(found[r] for r in wanted) / (Decimal(len(wanted)) if isinstance(kind, T.DecimalType) else len(wanted))
 
 
 def _bracket(inside: DataFrame, rows: int, first_rank: int, last_rank: int, margin: float) -> tuple[float, float]:

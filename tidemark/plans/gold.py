@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions import dates, money
-from tidemark.operators.keys import surrogate_key
+from tidemark.operators.conform import conformed, misfits
+from tidemark.operators.keys import kept_keys, surrogate_key
 from tidemark.operators.lookup import left_lookup
-from tidemark.operators.merge import OPEN_END
+from tidemark.operators.merge import OPEN_END, scd2_merge, upsert_rows
 from tidemark.sinks.files import Store, leave
 
 # The calendar's default span, the first day of a customer's first version, and the key of
@@ -63,14 +65,17 @@ def dim_customer(customers: DataFrame) -> DataFrame:
 
 
 def dim_product(products: DataFrame) -> DataFrame:
+    return surrogate_key(_described_products(products), "product_key", ["product_id"])
+
+
+def _described_products(products: DataFrame) -> DataFrame:
     price, cost = F.col("price"), F.col("cost_price")
-    described = products.select(
+    return products.select(
         "product_id", "name", "category", "subcategory", "price", "cost_price",
         money.price_range(price).alias("price_range"),
         money.margin_percent(price, cost).alias("margin_percent"),
         "supplier", "rating",
     )
-    return surrogate_key(described, "product_key", ["product_id"])
 
 
 def fact_key_lookup(
@@ -87,6 +92,7 @@ def fact_key_lookup(
     dimension holds history.
     """
     hot_from = orders if hot_from is None else hot_from
+    spread_by = ["order_id"] if "order_id" in orders.columns else None
     customer_columns = ["customer_key", F.col("customer_id").alias("_customer")]
     in_period = None
     if as_of:
@@ -100,6 +106,7 @@ def fact_key_lookup(
         also=in_period,
         broadcast_bytes=broadcast_bytes,
         hot_from=hot_from,
+        spread_by=spread_by,
     ).drop("_from", "_to")
     found = left_lookup(
         found,
@@ -108,6 +115,7 @@ def fact_key_lookup(
         "_product",
         broadcast_bytes=broadcast_bytes,
         hot_from=hot_from,
+        spread_by=spread_by,
     )
     unknown = F.lit(UNKNOWN_KEY).cast("bigint")
     return found.withColumns(
@@ -128,45 +136,87 @@ def date_membership(orders: DataFrame, days: DataFrame) -> DataFrame:
 
 def fact_orders(
     orders: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
+    customers: DataFrame | None,
+    products: DataFrame | None,
     days: DataFrame,
     as_of: bool = False,
     broadcast_bytes: int | None = None,
+    known: DataFrame | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per order line.
+    """One row per order line, with all columns or only ``columns``; keys that are not asked for are not looked up.
 
     Orders are numbered before the look-ups: the pass that sizes the key buckets then reads nothing but
-    the order id, and that for hot keys nothing but the foreign key.
+    the order id, and that for hot keys nothing but the foreign key. Orders of the fact ``known`` keep their key.
     """
-    numbered = surrogate_key(orders, "order_key", ["order_id"])
-    found = fact_key_lookup(numbered, customers, products, as_of, broadcast_bytes, hot_from=orders)
-    found = date_membership(found, days)
-    discount = money.line_discount(F.col("quantity"), F.col("unit_price"), F.col("discount_percent"))
-    return found.select(
-        "order_key", "order_id", "customer_key", "product_key", "date_key", "quantity", "unit_price",
-        "discount_percent",
-        discount.alias("discount_amount"),
-        "total_amount",
-        F.col("total_amount").alias("net_amount"),
-        "shipping_cost", "payment_method",
-        F.col("status").alias("order_status"),
-    )
-
-
-def build_gold(spark: SparkSession, silver: Mapping[str, DataFrame], store: Store = leave) -> dict[str, DataFrame]:
-    """The dimensions there is data for, and the fact once orders and both dimensions are there.
-
-    With a ``store`` that writes, the fact looks its keys up in dimensions read from files.
+    columns = list(columns or schemas.GOLD["fact_orders"].names)
+    found = orders
+    if "order_key" in columns:
+        found = surrogate_key(found, "order_key", ["order_id"]) if known is None else kept_keys(found, known, "order_key", "order_id")
+    if "customer_key" in columns or "product_key" in columns:
+        found = fact_key_lookup(found, customers, products, as_of, broadcast_bytes, hot_from=orders)
+    if "date_key" in columns:
+        found = date_membership(found, days)
+    derived = {
+        "discount_amount": money.line_discount(F.col("quantity"), F.col("unit_price"), F.col("discount_percent")),
+        "net_amount": F.col("total_amount"),
+        "order_status": F.col("status"),
+    }
+    return found.select(*[derived.get(c, F.col(c)).alias(c) for c in columns])
+
+
+def build_gold(
+    spark: SparkSession, silver: Mapping[str, DataFrame], store: Store = leave, unknown_members: bool = False, rejected: Store = leave
+) -> dict[str, DataFrame]:
+    """The dimensions there is data for, and the fact once orders and both dimensions are there, in the types of the gold tables.
+
+    With a ``store`` that writes, the fact looks its keys up in dimensions read from files. ``unknown_members`` adds the
+    rows that unknown keys refer to. Fact rows whose numbers do not fit go to ``rejected``.
     """
-    gold = {"dim_date": store("dim_date", dim_date(spark))}
+    gold = {"dim_date": dim_date(spark)}
     if "customers" in silver:
-        gold["dim_customer"] = store("dim_customer", dim_customer(silver["customers"]))
+        gold["dim_customer"] = conformed(dim_customer(silver["customers"]), "dim_customer")
     if "products" in silver:
-        gold["dim_product"] = store("dim_product", dim_product(silver["products"]))
+        gold["dim_product"] = conformed(dim_product(silver["products"]), "dim_product")
+    if unknown_members:
+        gold = with_unknown_members(gold)
+    gold = {name: store(name, df) for name, df in gold.items()}
     if "orders" in silver and "dim_customer" in gold and "dim_product" in gold:
         fact = fact_orders(silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"])
-        gold["fact_orders"] = store("fact_orders", fact)
+        rejected("fact_orders", misfits(fact, "fact_orders"))
+        gold["fact_orders"] = store("fact_orders", conformed(fact, "fact_orders"))
+    return gold
+
+
+def incremental_gold(
+    spark: SparkSession,
+    silver: Mapping[str, DataFrame],
+    existing: Mapping[str, DataFrame],
+    effective: str,
+    store: Store = leave,
+    rejected: Store = leave,
+) -> dict[str, DataFrame]:
+    """A later batch: the dimensions with the batch merged in, and the fact rows of the batch alone.
+
+    Known customers, products and orders keep their keys and new ones are numbered from the largest on. Changed customers get a new
+    version from ``effective`` on, and each order the version of its day. The fact rows are to be upserted by order id.
+    """
+    gold = {"dim_date": existing["dim_date"]}
+    gold["dim_customer"] = store(
+        "dim_customer",
+        scd2_merge(
+            existing["dim_customer"], silver["customers"], "customer_id", CUSTOMER_ATTRIBUTES, effective, "customer_key",
+            store, FIRST_VALID_FROM,
+        ),
+    )
+    described = _described_products(silver["products"])
+    batch = conformed(kept_keys(described, existing["dim_product"], "product_key", "product_id"), "dim_product")
+    gold["dim_product"] = store("dim_product", upsert_rows(existing["dim_product"], store("product_batch", batch), ["product_id"]))
+    fact = fact_orders(
+        silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"], as_of=True, known=existing["fact_orders"]
+    )
+    rejected("fact_orders", misfits(fact, "fact_orders"))
+    gold["fact_orders"] = store("fact_orders", conformed(fact, "fact_orders"))
     return gold
 
 
@@ -182,6 +232,8 @@ def with_unknown_members(gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         values = {c.name: F.lit(None).cast(c.dataType) for c in gold[name].schema.fields}
         values[key] = F.lit(UNKNOWN_KEY).cast("bigint")
         values[natural] = F.lit("unknown")
+        if name == "dim_customer":
+            values |= {"valid_from": F.lit("1900-01-01").cast("date"), "valid_to": F.lit(OPEN_END).cast("date"), "is_current": F.lit(True)}
         row = spark.range(1).select(*[v.alias(c) for c, v in values.items()])
         members[name] = gold[name].unionByName(row)
     return members

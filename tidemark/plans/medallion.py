@@ -6,18 +6,22 @@ import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.plans.gold import build_gold
+from tidemark.plans.gold import build_gold, incremental_gold
 from tidemark.plans.silver import build_silver
 from tidemark.quality.checks import run_suite
 from tidemark.quality.report import dq_gate, report_text
 from tidemark.quality.suites import SUITES
 from tidemark.sinks import warehouse
-from tidemark.sinks.files import layer_store
+from tidemark.sinks.files import Store, layer_store, write_partitioned
 
 log = logging.getLogger(__name__)
 
+# Where the warehouse keeps the fact's directories.
+FACT_FOLDER = "fact_by_month"
+
 
 def check_layer(tables: Mapping[str, DataFrame], suites: Mapping[str, Mapping] = SUITES, now=None) -> DataFrame:
     """The results of every table's suite."""
@@ -39,20 +43,52 @@ def run_medallion(
     now=None,
     suites: Mapping[str, Mapping] = SUITES,
     warehouse_database: str | None = None,
+    effective: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write silver, check it, write gold, and optionally upsert gold into catalogue tables.
+    """Write silver, check it, write gold, and optionally load it into catalogue tables.
 
-    A critical check that fails stops the run before gold.
+    A critical check that fails stops the run before gold. A batch that finds the warehouse filled is merged into it: keys stay,
+    and changed customers get a new version from ``effective`` on.
     """
     silver = build_silver(bronze, order_by, now, store=layer_store(base, "silver"))
     results = layer_store(base, "quality")("results", check_layer(silver, suites, now).coalesce(1))
     log.info(report_text(results))
     dq_gate(results)
-    gold = build_gold(spark, silver, store=layer_store(base, "gold"))
-    if warehouse_database:
-        root = f"{base.rstrip('/')}/warehouse"
-        warehouse.create_star_schema(spark, warehouse_database, root)
-        for name, df in gold.items():
-            target = f"{warehouse_database}.{name}"
-            warehouse.upsert_table(warehouse.conformed(df, name), target, schemas.NATURAL_KEYS[name], root)
+    store, rejected = layer_store(base, "gold"), layer_store(base, "rejected")
+    if not warehouse_database:
+        return build_gold(spark, silver, store, unknown_members=True, rejected=rejected)
+    return load_warehouse(spark, silver, f"{base.rstrip('/')}/warehouse", warehouse_database, effective, store, rejected)
+
+
+def load_warehouse(
+    spark: SparkSession, silver: Mapping[str, DataFrame], root: str, database: str, effective: str | None, store: Store, rejected: Store
+) -> dict[str, DataFrame]:
+    """The first batch fills the star schema; later ones are merged in, the fact by the months that they touch.
+
+    The tables' files lie under ``root``, the fact's in directories by year and month of the order day.
+    """
+    warehouse.create_star_schema(spark, database, root)
+    existing = {name: spark.table(f"{database}.{name}") for name in schemas.GOLD}
+    if existing["dim_date"].isEmpty():
+        gold = build_gold(spark, silver, store, unknown_members=True, rejected=rejected)
+    else:
+        if effective is None:
+            raise ValueError("a later batch needs the day from which its changes hold")
+        gold = incremental_gold(spark, silver, existing, effective, store, rejected)
+    columns, filled = ["year", "month"], not existing["fact_orders"].isEmpty()
+    path = warehouse.table_location(spark, f"{database}.fact_orders") if filled else f"{root}/{FACT_FOLDER}"
+    for name, df in gold.items():
+        if name != "fact_orders":
+            warehouse.load_table(df.select(*schemas.GOLD[name].names), f"{database}.{name}", root, "replace")
+    if "fact_orders" in gold:
+        months = F.col("date_key")
+        fact = gold["fact_orders"].withColumns({"year": F.floor(months / 10000).cast("int"), "month": F.floor(months / 100).cast("int") % 100})
+        if filled:
+            warehouse.upsert_partitions(fact, path, ["order_id"], columns)
+        else:
+            write_partitioned(fact, path, columns)
+        kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.GOLD["fact_orders"].fields)
+        spark.sql(f"DROP TABLE IF EXISTS {database}.fact_orders")
+        spark.sql(f"CREATE TABLE {database}.fact_orders ({kind}, year int, month int) USING parquet PARTITIONED BY (year, month) LOCATION '{path}'")
+        spark.catalog.recoverPartitions(f"{database}.fact_orders")
     return gold

@@ -62,8 +62,7 @@ def silver_orders(df: DataFrame, order_by: Sequence[str], now=None) -> DataFrame
     df = filters.remove_future_dates(df, "order_date", now)
     df = filters.valid_quantity(df)
     df = cleaning.fix_negative_values(df, ["unit_price"])
-    df = cleaning.rewrite(df, ["unit_price", "shipping_cost"], lambda c: money.to_money(c, "decimal(10,2)"))
-    df = cleaning.rewrite(df, ["discount_percent"], lambda c: money.to_money(c, money.PERCENT))
+    df = cleaning.rewrite(df, ["unit_price", "shipping_cost", "discount_percent"], money.to_money)
     total = money.line_total(F.col("quantity"), F.col("unit_price"), F.col("discount_percent"))
     df = df.withColumn("total_amount", total)
     return processed_at(df, now)
@@ -76,7 +75,7 @@ def valid_orders(
     kept = orders
     for name, key in (("customers", "customer_id"), ("products", "product_id")):
         if name in silver:
-            kept = lookup.validate_foreign_keys(kept, key, silver[name], key, broadcast_bytes, hot_from=orders)
+            kept = lookup.validate_foreign_keys(kept, key, silver[name], key, broadcast_bytes, hot_from=orders, spread_by=["order_id"])
     return kept
 
 

@@ -67,7 +67,7 @@ class _Plan:
         self.rows.append(self.row(check, column, passed, **values))
 
     def absent(self, check: str, column: str) -> None:
-        self.result(check, column, F.lit(False), error=F.lit("column not found"))
+        self.result(check, column, F.lit(False), error=F.lit("no such column"))
 
     def run(self) -> DataFrame:
         spark = self.df.sparkSession
@@ -160,7 +160,7 @@ def distinct_sample(df: DataFrame, column: str, size: int = SAMPLE_SIZE) -> Data
 
 def _freshness(plan: _Plan, column: str | None, max_age_hours: float) -> None:
     if column not in plan.df.columns:
-        plan.result("freshness", column, F.lit(False), error=F.lit("table empty or date column missing"))
+        plan.result("freshness", column, F.lit(False), error=F.lit("no time to judge by"))
         return
     latest = plan.measure(F.max(F.col(column).cast("timestamp")))
     age = age_hours(latest, plan.now)
@@ -170,7 +170,7 @@ def _freshness(plan: _Plan, column: str | None, max_age_hours: float) -> None:
         F.coalesce(age <= F.lit(float(max_age_hours)), F.lit(False)),
         actual=F.round(age, 2),
         threshold=F.lit(max_age_hours),
-        error=F.when(latest.isNull(), "table empty or date column missing"),
+        error=F.when(latest.isNull(), "no time to judge by"),
     )
 
 

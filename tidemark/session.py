@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,16 +36,17 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without ``spark.checkpoint.dir`` gets a temporary folder of its own.
+    Only a local session, which is one process, without ``spark.checkpoint.dir`` gets a temporary folder of its own, removed at its end.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app], ignore_errors=True)
     return _LOCAL_SCRATCH[app]
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import logging
+import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.layers import table_path
 
@@ -42,13 +45,13 @@ def write_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dict[
     """Write each table as Snappy Parquet under ``base/layer/name``; returns the rows per table.
 
     The rows are counted while writing. An empty table leaves a directory with its schema, so that
-    reading the layer works; no extra job finds out beforehand.
+    reading the layer works, unless an earlier version is there: that one stays.
     """
     rows = {}
     for name, df in tables.items():
         rows[name] = _write_counted(df, table_path(base, layer, name), "parquet")
         if rows[name] == 0:
-            log.warning("%s/%s is empty", layer, name)
+            log.warning("%s/%s is empty; what was there before stays", layer, name)
     return rows
 
 
@@ -77,7 +80,7 @@ def publish_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dic
 
 
 def write_object_store(df: DataFrame, path: str, data_format: str = "parquet") -> bool:
-    """Write and verify. False for an unknown format, an empty table or a failed check."""
+    """Write and verify. False for an unknown format, an empty table (what was there stays) or a failed check."""
     data_format = data_format.lower()
     if data_format not in FORMATS:
         log.error("unsupported format %s", data_format)
@@ -86,15 +89,54 @@ def write_object_store(df: DataFrame, path: str, data_format: str = "parquet") -
     return rows > 0 and verify_write(df.sparkSession, path, rows, data_format)
 
 
+# Bytes of the tables written in this session, by path (see ``written_bytes``).
+_WRITTEN: dict[str, int] = {}
+
+
 def _write_counted(df: DataFrame, path: str, data_format: str) -> int:
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(data_format)
+    """Write beside ``path`` and move into place, so that a failed write leaves what was there, as does one of no rows."""
+    seen, place = Observation(), f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    text = sum((F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in strings), start=F.lit(0))
+    size = F.count(F.lit(1)) * 16 * len(df.columns) + text
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), size.cast("bigint").alias("bytes")).write.format(data_format)
     if data_format == "parquet":
         writer = writer.option("compression", "snappy")
     else:
         writer = writer.options(**CSV_OPTIONS)
-    writer.save(path)
-    return seen.get["rows"]
+    writer.save(place)
+    rows = seen.get["rows"]
+    if _move(df.sparkSession, place, path, replace=rows > 0):
+        _WRITTEN[_plain(path)] = seen.get["bytes"]
+    return rows
+
+
+def _move(spark: SparkSession, source: str, target: str, replace: bool) -> bool:
+    """Put ``source`` in the place of ``target``; if that exists and is not to be replaced, drop ``source``."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    new, old, place = (jvm.Path(p) for p in (source, f"{source}-before", target))
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(place):
+        if not replace:
+            system.delete(new, True)
+            return False
+        if not system.rename(place, old):
+            raise OSError(f"{target} cannot be moved")
+    if not system.rename(new, place):
+        raise OSError(f"{source} cannot be moved to {target}")
+    system.delete(old, True)
+    spark.catalog.refreshByPath(target)
+    return True
+
+
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def written_bytes(df: DataFrame) -> int | None:
+    """Bytes of the one table written in this session that ``df`` reads, as counted then; an upper bound for its columns."""
+    folders = {_plain(f.rsplit("/", 1)[0]) for f in df.inputFiles()}
+    return _WRITTEN.get(folders.pop()) if len(folders) == 1 else None
 
 
 def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -122,5 +164,5 @@ def verify_write(spark: SparkSession, path: str, rows: int, data_format: str = "
     ).first()
     if size["files"] == 0 or size["empty"] > 0:
         return False
-    reader = spark.read.options(**CSV_OPTIONS) if data_format == "csv" else spark.read
+    reader = spark.read.options(**CSV_OPTIONS, multiLine="true") if data_format == "csv" else spark.read
     return reader.format(data_format).load(path).count() == rows

@@ -68,15 +68,20 @@ def read_users(spark: SparkSession, path: str, schema: T.StructType = schemas.CA
     return spark.read.schema(schema).json(path)
 
 
+# The rating as text: a nested one is then the text of a JSON object.
+_ANY_RATING = T.StructType([f if f.name != "rating" else T.StructField("rating", T.StringType()) for f in schemas.BRONZE["products"].fields])
+
+
 def read_bronze_products(spark: SparkSession, json_path: str, csv_path: str, multiline: bool = False) -> DataFrame:
-    """The catalogue if it was fetched, else the CSV extract.
+    """The catalogue if it was fetched, else the CSV extract, in the types of the product table.
 
-    Both forms carry ``rating``: it is flattened only where it is nested.
+    Both forms carry ``rating``: it is flattened where it is nested.
     """
     try:
-        raw = spark.read.json(json_path, multiLine=multiline)
+        raw = spark.read.schema(_ANY_RATING).json(json_path, multiLine=multiline)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return read_csv(spark, csv_path, schemas.BRONZE["products"])
-    return nan_to_null(flat_rating(raw))
+    rate = F.coalesce(F.get_json_object("rating", "$.rate"), F.col("rating")).try_cast("double")
+    return nan_to_null(raw.withColumn("rating", rate))

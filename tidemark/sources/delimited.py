@@ -88,12 +88,29 @@ def read_csv(
         .option("multiLine", multiline)
         .option("pathGlobFilter", pattern)
     )
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = nan_to_null(reader.csv(path))
-    absent = missing_columns(df, expected_columns or [])
+    if schema is None:
+        df = reader.option("inferSchema", True).csv(path)
+        header = df.columns
+    else:
+        header = reader.csv(path).columns  # reads the first line only
+        df = by_name(reader.option("enforceSchema", False).schema(in_file_order(schema, header)).csv(path), schema)
+    absent = [c for c in expected_columns or [] if c not in header]
     if absent:
         log.warning("%s lacks the columns %s", path, absent)
-    return df
+    return nan_to_null(df)
+
+
+def in_file_order(schema: T.StructType, header: Sequence[str]) -> T.StructType:
+    """The types of ``schema`` in the order of a file's header; columns the schema does not know are text."""
+    kinds = {f.name: f.dataType for f in schema.fields}
+    return T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
+
+
+def by_name(df: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
+    """The columns of ``schema``, NULL where ``df`` has none."""
+    here = set(df.columns)
+    wanted = [F.col(f.name) if f.name in here else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return df.select(*wanted, *more)
 
 
 def read_csv_directory(
@@ -101,41 +118,38 @@ def read_csv_directory(
 ) -> DataFrame:
     """All files of a directory as one table, tagged with ``source_file``.
 
-    Files are grouped by dialect, at most six groups, and each group is one scan. A malformed line does
+    Files are grouped by dialect and header, and each group is one scan, of the files whose names a look at the directory
+    yields. Columns are found by their names in the header; those a file lacks are NULL. A malformed line does
     not fail the read: its text is kept in ``_corrupt_record``.
     """
-    dialects = sniff_csv_dialect(spark, directory, pattern)
-    by_dialect: dict[tuple[str, str], list[str]] = {}
-    for row in dialects.select("file_path", "encoding", "delimiter").collect():
-        by_dialect.setdefault((row["encoding"], row["delimiter"]), []).append(row["file_path"])
+    found = sniff_csv_dialect(spark, directory, pattern)
+    groups = found.groupBy("encoding", "delimiter", "header").agg(F.count(F.lit(1)).alias("files"), F.min("file_path").alias("file_path")).collect()
     tolerant = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    parts = [
-        _tagged(spark, directory if len(by_dialect) == 1 else files, tolerant, encoding, delimiter, pattern)
-        for (encoding, delimiter), files in sorted(by_dialect.items())
-    ]
-    if not parts:
+    if not groups:
         return spark.createDataFrame([], tolerant.add("source_file", T.StringType()))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
+    whole = None
+    for group in sorted(groups, key=lambda g: (g["encoding"], g["delimiter"], g["header"])):
+        reader = (
+            spark.read.option("header", True)
+            .option("escape", '"')
+            .option("sep", group["delimiter"])
+            .option("encoding", group["encoding"])
+            .option("pathGlobFilter", pattern)
+        )
+        header = reader.csv(group["file_path"]).columns
+        ordered = in_file_order(schema, header).add("_corrupt_record", T.StringType())
+        reader = reader.schema(ordered).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+        df = reader.csv(directory).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file"))
+        if len(groups) > 1:
+            own = found.filter(
+                (F.col("encoding") == group["encoding"]) & (F.col("delimiter") == group["delimiter"]) & (F.col("header") == group["header"])
+            )
+            df = df.join(own.select(F.col("file_path").alias("_file")), "_file", "left_semi")
+        part = nan_to_null(by_name(df, tolerant, "source_file"))
+        whole = part if whole is None else whole.unionByName(part)
     return whole
 
 
-def _tagged(spark, paths, schema, encoding, delimiter, pattern) -> DataFrame:
-    reader = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("sep", delimiter)
-        .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("pathGlobFilter", pattern)
-    )
-    df = reader.csv(paths).select("*", F.col("_metadata.file_name").alias("source_file"))
-    return nan_to_null(df)
-
-
 def read_csv_tables(
     spark: SparkSession, directory: str, schemas: Mapping[str, T.StructType]
 ) -> dict[str, DataFrame]:
@@ -163,12 +177,20 @@ def schema_check(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     )
 
 
-def file_profile(df: DataFrame) -> DataFrame:
-    """Name, size, time of change, rows, columns and types of each file behind a file-based table."""
+def file_profile(df: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """Name, size, time of change, rows, columns and types of each file behind a file-based table.
+
+    A file without rows shows only if ``listed`` names it (see ``files.list_dataset_files``).
+    """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
     per_file = df.groupBy(
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("size_bytes"),
         F.col("_metadata.file_modification_time").alias("last_modified"),
     ).agg(F.count(F.lit(1)).alias("row_count"))
+    if listed is not None:
+        name = F.substring_index("path", "/", -1)
+        counts = per_file.select("file_name", "row_count")
+        every = listed.select(name.alias("file_name"), "size_bytes", "last_modified").join(counts, "file_name", "left")
+        per_file = every.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     return per_file.withColumns({"column_count": F.lit(len(df.columns)), "data_types": F.lit(kinds)})

@@ -15,16 +15,6 @@ def read_layer(spark: SparkSession, base: str, layer: str, names: Iterable[str])
     return {name: spark.read.parquet(table_path(base, layer, name)) for name in names}
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Redistribute a scan that comes in fewer splits than the cluster has cores.
-
-    A row group is read by one task, which also does everything up to the next shuffle, and a small file
-    has few of them however finely it is split. A table with enough splits is returned as it is. ``columns`` should identify a row, so that no hot key gathers.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
-
-
 def sql_query(
     spark: SparkSession, query: str, params: Mapping[str, object] | None = None, **tables: DataFrame
 ) -> DataFrame:
@@ -38,9 +28,9 @@ def read_jdbc_query(spark: SparkSession, url: str, query: str, **options: str) -
 
 
 def source_health(df: DataFrame) -> bool:
-    """Whether a source answers: plan it and read no row."""
+    """Whether a source answers with a row, or with none; a limit of no rows would be planned away."""
     try:
-        df.limit(0).collect()
+        df.limit(1).collect()
     except Exception:
         return False
     return True

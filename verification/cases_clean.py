@@ -203,6 +203,18 @@ def handle_nulls_median(spark, sf_dir):
     return nulls.handle_nulls(raw_orders(spark, sf_dir), {"quantity": "fill_median"}).select(*LINE, "quantity")
 
 
+@case(
+    "handle_nulls_median_rounds",
+    f"SELECT {LINE_SQL}, CAST(coalesce(unit_price, (SELECT floor(median(CAST(unit_price * 100 AS BIGINT)) + 0.5) / 100 FROM (SELECT CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE unit_price END AS unit_price FROM raw_orders))) AS DOUBLE) AS unit_price "
+    "FROM (SELECT * REPLACE (CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE unit_price END AS unit_price) FROM raw_orders)",
+)
+def handle_nulls_median_rounds(spark, sf_dir):
+    """The median of a decimal, bracketed round by round down to a few rows."""
+    orders = raw_orders(spark, sf_dir).withColumn("unit_price", F.when(F.col("l_partkey") % 7 != 0, F.col("unit_price")))
+    return nulls.handle_nulls(orders, {"unit_price": "fill_median"}, finish_rows=50).select(*LINE, "unit_price")
+
+
+
 @case(
     "handle_nulls_mode",
     "SELECT row_seq, coalesce(supplier, (SELECT supplier FROM raw_products WHERE supplier IS NOT NULL "

@@ -383,7 +383,8 @@ def upsert_partitions(spark, sf_dir):
 
 @case(
     "source_health",
-    " UNION ALL ".join(f"SELECT '{t}' AS source, true AS healthy, count(*) AS row_count FROM {t}" for t in ("orders", "lineitem", "customer", "part")),
+    " UNION ALL ".join(f"SELECT '{t}' AS source, true AS healthy, count(*) AS row_count FROM {t}" for t in ("orders", "lineitem", "customer", "part"))
+    + " UNION ALL SELECT 'broken', false, count(*) FROM orders",
 )
 def source_health(spark, sf_dir):
     parts = []
@@ -392,4 +393,11 @@ def source_health(spark, sf_dir):
         counted = source.agg(F.count(F.lit(1)).alias("row_count"))
         healthy = layers.source_health(source)
         parts.append(counted.select(F.lit(name).alias("source"), F.lit(healthy).alias("healthy"), "row_count"))
+    # Text where Parquet is expected: planning works, reading does not.
+    path = scratch_path(spark, "broken")
+    orders = given(spark, sf_dir, "orders")
+    orders.select(F.col("o_orderkey").cast("string")).write.text(path)
+    healthy = layers.source_health(spark.read.schema("o_orderkey string").parquet(path))
+    counted = spark.read.text(path).agg(F.count(F.lit(1)).alias("row_count"))
+    parts.append(counted.select(F.lit("broken").alias("source"), F.lit(healthy).alias("healthy"), "row_count"))
     return reduce(DataFrame.unionByName, parts)

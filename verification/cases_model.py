@@ -96,14 +96,16 @@ def fact_orders(spark, sf_dir):
 
 @case(
     "build_gold",
-    """SELECT order_key, order_id, c.customer_id, c.segment, p.product_id, p.price_range, p.margin_percent, d.day_name,
-      d.is_holiday, CAST(net_amount AS DOUBLE) AS net_amount, order_status
-    FROM fact_orders f JOIN dim_customer c ON f.customer_key = c.customer_key
-      JOIN dim_product p ON f.product_key = p.product_key JOIN dim_date d ON f.date_key = d.date_key""",
+    """SELECT order_key, order_id, coalesce(c.customer_id, 'unknown') AS customer_id, c.segment,
+      coalesce(p.product_id, 'unknown') AS product_id, p.price_range, p.margin_percent,
+      coalesce(d.day_name, 'Monday') AS day_name, coalesce(d.is_holiday, true) AS is_holiday,
+      CAST(net_amount AS DOUBLE) AS net_amount, order_status
+    FROM fact_orders f LEFT JOIN dim_customer c ON f.customer_key = c.customer_key
+      LEFT JOIN dim_product p ON f.product_key = p.product_key LEFT JOIN dim_date d ON f.date_key = d.date_key""",
 )
 def build_gold(spark, sf_dir):
-    """The star joined back together."""
-    tables = star(spark, sf_dir)
+    """The star joined back together; with the unknown members every row finds its dimension rows."""
+    tables = star(spark, sf_dir, unknown_members=True)
     return (
         tables["fact_orders"]
         .join(tables["dim_customer"], "customer_key")

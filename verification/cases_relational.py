@@ -20,16 +20,24 @@ def clean(spark, sf_dir):
     return silver.build_silver(bronze(spark, sf_dir), ORDER_BY, NOW, store=written(spark, "silver"))
 
 
-def star(spark, sf_dir, silver_tables=None):
+def star(spark, sf_dir, silver_tables=None, unknown_members=False):
     """Gold on top of written silver; only the fact is left to the query that asked for it."""
     store = written(spark, "gold")
     return gold.build_gold(
         spark,
         silver_tables or clean(spark, sf_dir),
         store=lambda name, df: df if name == "fact_orders" else store(name, df),
+        unknown_members=unknown_members,
     )
 
 
+def dated_sales(spark, sf_dir):
+    """The two columns of the fact that calendar questions need, and the calendar; no customer or product is looked up."""
+    days = gold.dim_date(spark)
+    orders = clean(spark, sf_dir)["orders"]
+    return gold.fact_orders(orders, None, None, days, columns=["date_key", "total_amount"]), days
+
+
 def stored_star(spark, sf_dir):
     """Gold with the fact written too, for queries that read it several times."""
     return gold.build_gold(spark, clean(spark, sf_dir), store=written(spark, "gold"))
@@ -112,24 +120,22 @@ def orphan_audit(spark, sf_dir):
     FROM fact_orders f JOIN dim_date d ON f.date_key = d.date_key GROUP BY is_holiday""",
 )
 def holiday_revenue(spark, sf_dir):
-    tables = star(spark, sf_dir)
-    return sales.holiday_revenue(tables["fact_orders"], tables["dim_date"])
+    return sales.holiday_revenue(*dated_sales(spark, sf_dir))
 
 
 @case(
     "sales_by_calendar",
     """SELECT grain, label, CAST(sum(total_amount) AS DOUBLE) AS total_amount, count(*) AS lines FROM (
       SELECT total_amount, unnest([
-        {'grain': 'year', 'label': CAST(year AS VARCHAR)},
-        {'grain': 'month', 'label': year || '-' || lpad(CAST(month AS VARCHAR), 2, '0')},
-        {'grain': 'quarter', 'label': year || '-Q' || quarter},
-        {'grain': 'weekday', 'label': day_name},
-        {'grain': 'holiday', 'label': CAST(is_holiday AS VARCHAR)}], recursive := true)
-      FROM fact_orders f JOIN dim_date d ON f.date_key = d.date_key) GROUP BY grain, label""",
+        {'grain': 'year', 'label': coalesce(CAST(year AS VARCHAR), 'unknown')},
+        {'grain': 'month', 'label': coalesce(year || '-' || lpad(CAST(month AS VARCHAR), 2, '0'), 'unknown')},
+        {'grain': 'quarter', 'label': coalesce(year || '-Q' || quarter, 'unknown')},
+        {'grain': 'weekday', 'label': coalesce(day_name, 'unknown')},
+        {'grain': 'holiday', 'label': coalesce(CAST(is_holiday AS VARCHAR), 'unknown')}], recursive := true)
+      FROM fact_orders f LEFT JOIN dim_date d ON f.date_key = d.date_key) GROUP BY grain, label""",
 )
 def sales_by_calendar(spark, sf_dir):
-    tables = star(spark, sf_dir)
-    return sales.sales_by_calendar(tables["fact_orders"], tables["dim_date"])
+    return sales.sales_by_calendar(*dated_sales(spark, sf_dir))
 
 
 @case(

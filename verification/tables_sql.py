@@ -6,7 +6,7 @@ from verification import bronze
 
 GIVEN = {t: t for t in ("customer", "nation", "part", "orders", "lineitem")}
 
-EMAIL_PATTERN = "^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+[.][a-zA-Z0-9.-]+$"
+EMAIL_PATTERN = "^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+[.][a-zA-Z0-9-.]+$"
 
 
 def title(c: str) -> str:
