@@ -64,18 +64,23 @@ def _permuted(index: Column, n: Column, key: Column, turn: Column, backwards: bo
     return F.aggregate(F.array(*[F.lit(k) for k in rounds]), index.cast("bigint"), swap)
 
 
-def placed_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (of the source), ``size``, and ``start``, the document's place among the source's words; no texts."""
+def identity() -> list[Column]:
+    """What tells rows apart: ``doc_id``, ``key`` (of the source) and ``text_hash``."""
     key = F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col("source")))
-    sized = stored(docs.select("doc_id", key.alias("key"), n_words().alias("size")), "sized")
+    return [F.col("doc_id").alias("doc_id"), key.alias("key"), F.xxhash64("text").alias("text_hash")]
+
+
+def placed_documents(docs: DataFrame) -> DataFrame:
+    """Identity, ``size``, and ``start``, the document's place among the words of its source; no texts."""
+    sized = stored(docs.select(*identity(), n_words().alias("size")), "sized")
     buckets = max(1, -(-sized.count() // BUCKET_DOCS))
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
+    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)))
     sums = sized.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("key", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("key", "bucket").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("key", "bucket").orderBy("doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["key", "bucket"])
-    return stored(placed.select("doc_id", "key", "size", (F.col("offset") + F.col("inside")).alias("start")), "placed")
+    return stored(placed.select("doc_id", "key", "text_hash", "size", (F.col("offset") + F.col("inside")).alias("start")), "placed")
 
 
 def slots(targets: DataFrame) -> DataFrame:
@@ -91,6 +96,7 @@ def slots(targets: DataFrame) -> DataFrame:
     passes = passes.withColumn("short_at", _permuted(n - 1, n, F.col("key"), turn, backwards=True))
     count = F.least(n, F.floor((F.col("wanted") + F.col("short") - 1) / BLOCK_WORDS).cast("bigint") + 1)
     runs = passes.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / SHARD_SLOTS).cast("bigint"))))
+    runs = runs.repartition("key", "turn", "run")  # a few source rows become as many tasks as there are slots for
     runs = runs.withColumn("index", F.explode(F.sequence(F.col("run") * SHARD_SLOTS, F.least(count, (F.col("run") + 1) * SHARD_SLOTS) - 1)))
     block = _permuted(F.col("index"), n, F.col("key"), turn)
     before = F.col("index") * BLOCK_WORDS - F.when(F.col("index") > F.col("short_at"), F.col("short")).otherwise(0)
@@ -115,16 +121,16 @@ def pieces(placed: DataFrame, mix: DataFrame) -> DataFrame:
     cut = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / BLOCK_WORDS).cast("bigint"), last)))
     low = F.greatest(F.col("start"), F.col("block") * BLOCK_WORDS)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * BLOCK_WORDS + F.col("take"))
-    joined = cut.join(mix.select("key", "block", "turn", "take"), ["key", "block"])
-    return joined.select("doc_id", "key", "size", "start", "turn", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
+    # Slots are as many as blocks, which the planner cannot see from the few sources they come from: not to be broadcast.
+    joined = cut.join(mix.select("key", "block", "turn", "take").hint("merge"), ["key", "block"])
+    return joined.select("doc_id", "key", "text_hash", "size", "start", "turn", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """Per document: ``size``, its source's ``source_size`` and ``target``, and the words the mix takes of it (``taken``).
 
     Sizes are words of the text between ASCII white space; null texts, like blank ones, have none and are never taken. Sources are
-    ranked by code point, null last as a source of its own. Every row counts, also rows that repeat or have a null ``doc_id``
-    (rows alike in id, source and size are interchangeable). Only ``doc_id``, ``text`` and ``source`` are read. With no words at all
+    ranked by code point, null last as a source of its own. Every row counts, also rows that repeat or have a null ``doc_id``. Only ``doc_id``, ``text`` and ``source`` are read. With no words at all
     every target is 0; an empty table gives an empty result.
     """
     placed = placed_documents(docs)
@@ -135,3 +141,23 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         same &= F.col(f"a.{c}") == F.col(f"b.{c}")
     joined = placed.alias("a").join(taken.alias("b"), same, "left").select("a.doc_id", "a.key", "a.size", F.coalesce("b.taken", F.lit(0)).cast("bigint").alias("taken"))
     return joined.join(targets, "key").select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_texts(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each document and pass that takes words of it, with the columns of ``docs``.
+
+    ``text`` holds the words taken (the text itself if those are all its words, else joined by a space); ``n_chars``, if there is such a
+    column, is its length. Of rows with equal id, source and text each is mixed, with the other columns of one of them.
+    """
+    placed = placed_documents(docs)
+    taken = pieces(placed, slots(stored(source_targets(placed), "targets")))
+    runs = taken.groupBy("doc_id", "key", "text_hash", "size", "start", "turn").agg(F.sort_array(F.collect_list(F.struct("low", "n"))).alias("runs"), F.sum("n").alias("words"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    orderable = all(f.dataType.typeName() not in ("map", "variant") for f in docs.schema.fields)
+    texts = docs.select(*identity(), whole.alias("row")).groupBy("doc_id", "key", "text_hash").agg((F.min if orderable else F.first)("row").alias("row"))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.key") == F.col("b.key")) & (F.col("a.text_hash") == F.col("b.text_hash"))
+    words = F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    some = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(words, (r["low"] + 1).cast("int"), r["n"].cast("int")))), " ")
+    joined = texts.alias("a").join(runs.alias("b"), same).select("row", F.when(F.col("words") == F.col("size"), F.col("row.text")).otherwise(some).alias("taken"))
+    changed = {"text": F.col("taken"), "n_chars": F.length("taken").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
