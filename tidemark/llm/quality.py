@@ -162,19 +162,19 @@ def fit(docs: DataFrame, labels: DataFrame, learnt: Column, per_class: int = PER
     return train([np.frombuffer(r["bag"], "<f4").reshape(-1, FEATURES) for r in rows], np.array([r["label"] for r in rows], float))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score``, 0 to 1: how likely the label 1 is for the whole text. Nothing but ``text`` is looked at.
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name``, 0 to 1: how likely the label 1 is for the whole text. Nothing but ``text`` is looked at.
 
     Null, empty and blank texts are alike and get the score of an empty bag. Every row gets a score, repeated rows the same.
     """
-    schema = docs.drop("score").schema.add("score", "double")
+    schema = docs.drop(name).schema.add(name, "double")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [model.score(passages(t)) for t in B.texts_of(pa.Table.from_batches([batch]))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    return docs.drop("score").mapInArrow(scored, schema)
+    return docs.drop(name).mapInArrow(scored, schema)
 
 
 #: Scores from here on mean label 1.

@@ -21,7 +21,7 @@ from tidemark.llm import blocks as B
 COVERS = {1: (0,), 2: (0, 1), 3: (0, 1), 4: (0, 1, 2), 5: (0, 1, 2), 6: (0, 1, 3), 7: (0, 1, 3)}
 WINDOW = 13
 
-RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
+RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string, text_sha256 string"
 
 
 def period_of(window: int) -> int:
@@ -70,7 +70,7 @@ def _candidate_windows(h: np.ndarray, shared: np.ndarray, window: int, n_buckets
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: ``n_words``, ``n_removed``, ``kept`` (the words left, joined by a space) and its SHA-256.
+    """Per document: ``n_words``, ``n_removed``, ``kept`` (the words left, joined by a space), its SHA-256 and that of the text.
 
     A word goes if a window of ``window`` words around it also starts in a document with a smaller ``doc_id``; windows are
     judged on the input. Words are cut at ASCII white space and compared as they are. Only ``doc_id`` and ``text`` are read. Null
@@ -142,11 +142,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 np.add.at(gone, repeats + window, -1)
             gone = np.cumsum(gone[:-1]) > 0
             kept = b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g) if gone.any() else b" ".join(words)
-            rows.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept))
-        n, removed, digests, kept = zip(*rows, strict=True) if rows else ((), (), (), ())
+            rows.append((len(words), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept, hashlib.sha256(text).hexdigest()))
+        n, removed, digests, kept, originals = zip(*rows, strict=True) if rows else ((), (), (), (), ())
         return pa.table(
-            [table.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],
+            [table.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(originals, pa.string())],
+            names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "text_sha256"],
         )
 
     answers = B.ask(blocks, None, "anchors", ask_anchors, shared_anchors, n_buckets)
