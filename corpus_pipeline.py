@@ -16,7 +16,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality", stages.quality),
     ("near_dedup", stages.near_dedup),
     ("substring_dedup", stages.substring_dedup),
-    ("mixing", stages.mixing),
+    ("mixing", stages.mixing_stage),
     ("encoding", stages.encoding),
 ]
 
