@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import tidemark
-from tidemark.llm import bpe, fingerprint, minhash, mixing, quality, substring_dedup, token_counts, topk, toxicity
+from tidemark.llm import bpe, fingerprint, minhash, mixing, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
 from tidemark.llm.labelled import held_out
 from tidemark.session import scratch_path
 
@@ -68,7 +68,7 @@ FROM d LEFT JOIN left_over USING (doc_id) LEFT JOIN counts USING (doc_id)
 """,
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "text_sha256")
 
 
 @query("op3_fingerprints")
@@ -160,3 +160,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels, apart = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out(0, 5)
     return toxicity.classified(docs, toxicity.fit(docs, labels, ~apart), apart)
+
+
+@query("op6_lm_scoring")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, apart = table(spark, sf_dir, "documents"), held_out(2, 7)
+    return suffix_tree.score(docs, ~apart).withColumn("held_out", apart)
