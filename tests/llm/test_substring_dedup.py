@@ -35,8 +35,7 @@ def order(rows):
 
 @pytest.mark.parametrize("window", [1, 4, 13])
 def test_equals_brute_force(documents, monkeypatch, window):
-    monkeypatch.setattr(blocks.in_blocks, "__defaults__", (4000,))
-    monkeypatch.setattr(blocks, "BUCKET_BYTES", 3000)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 4000)
     rng = random.Random(window)
     shared = [prose(rng, n) for n in (13, 14, 25, 60)]
     rows = [" ".join(x for _ in range(3) for x in (prose(rng, rng.randrange(30)), rng.choice(shared) if rng.random() < 0.5 else "")) for _ in range(60)]

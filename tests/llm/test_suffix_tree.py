@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
-from tidemark.llm import blocks, suffix_tree as st
+from tidemark.llm import suffix_tree as st
 
 
 def expected(rows, learnt):
@@ -44,7 +44,6 @@ def expected(rows, learnt):
 @pytest.mark.parametrize("each", [800, 1 << 20])
 def test_equals_brute_force(documents, monkeypatch, each):
     monkeypatch.setattr(st, "EACH", each)
-    monkeypatch.setattr(blocks, "BUCKET_BYTES", each)
     rng = random.Random(0)
     passage = [prose(rng, 12, 300) for _ in range(6)]
     rows = [(i, " ".join(x for _ in range(4) for x in (prose(rng, 10, 60), rng.choice(passage)))) for i in range(80)]

@@ -10,18 +10,19 @@ buckets are even because keys are hashes, and neither side ever holds more than
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text in a block, and bytes of text whose keys make up one bucket.
-BLOCK_BYTES = 12 << 20
-BUCKET_BYTES = 12 << 20
+#: Bytes of text in a block. There are as many buckets as blocks: both sides of a pass over blocks and their answers are then
+#: dealt out alike.
+BLOCK_BYTES = 4 << 20
 
 _SHORT = np.uint64(0xFFFFFFFF)
 _HALF = np.uint64(32)
@@ -36,18 +37,50 @@ def parts(total: int, each: int) -> int:
     return max(1, math.ceil(total / each))
 
 
-def in_blocks(docs: DataFrame, total: int, id_column: str = "doc_id", each: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a column ``block``, dealt out by it once.
+_CHUNK = "block bigint, ids array<bigint>, sizes array<int>, data binary"
+
+
+def in_blocks(docs: DataFrame, n: int) -> DataFrame:
+    """``doc_id`` and ``text`` dealt out by ``n`` blocks once, as compressed chunks; :func:`per_block` opens them.
 
     The block follows from the row alone, so a task that is run again rebuilds the same blocks, and every pass over the
     blocks reads the same exchange.
     """
-    n = parts(total, each)
-    return docs.withColumn("block", F.pmod(F.xxhash64(id_column), F.lit(n)).cast("int")).repartition(n, "block")
 
-
-ANSWER = "block int, tag string, bucket int, payload binary"
-_ANSWER = pa.schema([("block", pa.int32()), ("tag", pa.string()), ("bucket", pa.int32()), ("payload", pa.large_binary())])
+    def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressor = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            blocks, ids, texts = batch.column("block").to_numpy(), batch.column("doc_id"), texts_of(pa.Table.from_batches([batch]))
+            order = np.argsort(blocks, kind="stable")
+            cuts = np.flatnonzero(np.diff(blocks[order], prepend=-1, append=n))
+            rows = [order[start:end] for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
+            columns = [
+                pa.array([blocks[r[0]] for r in rows], pa.int64()),
+                pa.array([ids.take(pa.array(r)).to_pylist() for r in rows], pa.list_(pa.int64())),
+                pa.array([[len(texts[i]) for i in r] for r in rows], pa.list_(pa.int32())),
+                pa.array([compressor.compress(b"".join(texts[i] for i in r)) for r in rows], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "data"])
+
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("block"))
+    return placed.mapInArrow(chunks, _CHUNK).repartition(n, "block")
+
+
+def opened_chunks(chunks: pa.Table) -> pa.Table:
+    """A block's documents: ``block``, ``doc_id``, ``text`` (bytes)."""
+    ids, texts, decompressor = [], [], zstandard.ZstdDecompressor()
+    for own, sizes, data in zip(*(chunks.column(c).to_pylist() for c in ("ids", "sizes", "data")), strict=True):
+        whole, at = decompressor.decompress(data), 0
+        for size in sizes:
+            texts.append(whole[at : at + size])
+            at += size
+        ids += own
+    block = chunks.column("block")[0].as_py() if chunks.num_rows else None
+    return pa.table([pa.array([block] * len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.large_binary())], names=["block", "doc_id", "text"])
+
+
+ANSWER = "block bigint, tag string, bucket int, payload binary"
+_ANSWER_NAMES = ["block", "tag", "bucket", "payload"]
 
 #: What a block asks: its documents and the answers it has so far, by tag and bucket.
 Request = Callable[[pa.Table, dict[str, dict[int, bytes]]], Iterable[tuple[int, bytes]]]
@@ -56,8 +89,8 @@ Reduce = Callable[[int, list[tuple[int, bytes]]], Iterable[tuple[int, bytes]]]
 
 
 def _table(blocks: list[int], tag: str, buckets: list[int], payloads: list[bytes]) -> pa.Table:
-    columns = [pa.array(blocks, pa.int32()), pa.array([tag] * len(blocks), pa.string()), pa.array(buckets, pa.int32()), pa.array(payloads, pa.binary())]
-    return pa.table(columns, names=_ANSWER.names)
+    columns = [pa.array(blocks, pa.int64()), pa.array([tag] * len(blocks), pa.string()), pa.array(buckets, pa.int32()), pa.array(payloads, pa.binary())]
+    return pa.table(columns, names=_ANSWER_NAMES)
 
 
 def answers_of(table: pa.Table) -> dict[str, dict[int, bytes]]:
@@ -67,22 +100,27 @@ def answers_of(table: pa.Table) -> dict[str, dict[int, bytes]]:
     return found
 
 
-def per_block(blocks: DataFrame, answers: DataFrame | None, function, schema: str) -> DataFrame:
-    """``function(docs, answers)`` for each block, returning an Arrow table."""
+def per_block(blocks: DataFrame, answers: DataFrame | None, function, schema: str, opened: Callable = opened_chunks) -> DataFrame:
+    """``function(docs, answers)`` for each block, returning an Arrow table; ``opened`` makes ``docs`` of the block's rows."""
     if answers is None:
-        return blocks.groupBy("block").applyInArrow(lambda docs: function(docs, {}), schema)
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda docs, own: function(docs, answers_of(own)), schema)
+        return blocks.groupBy("block").applyInArrow(lambda rows: function(opened(rows), {}), schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda rows, own: function(opened(rows), answers_of(own)), schema)
+
 
+def ask(blocks: DataFrame, answers: DataFrame | None, tag: str, request: Request, reduce: Reduce, n_buckets: int, opened: Callable = opened_chunks) -> DataFrame:
+    """Put each block's requests to the buckets; the answers, together with the earlier ones.
 
-def ask(blocks: DataFrame, answers: DataFrame | None, tag: str, request: Request, reduce: Reduce, n_buckets: int) -> DataFrame:
-    """Put each block's requests to the buckets; the answers, together with the earlier ones."""
+    New answers are dealt out by block at once, so that all later passes read one exchange instead of reducing again.
+    """
+
+    def asked(rows: pa.Table) -> Callable[[dict], pa.Table]:
+        block = rows.column("block")[0].as_py() if rows.num_rows else None
 
-    def asked(docs: pa.Table, so_far: dict) -> pa.Table:
-        if not docs.num_rows:
-            return _table([], tag, [], [])
-        block = docs.column("block")[0].as_py()
-        sent = [(bucket, payload) for bucket, payload in request(docs, so_far) if payload]
-        return _table([block] * len(sent), tag, [b for b, _ in sent], [p for _, p in sent])
+        def with_answers(so_far: dict) -> pa.Table:
+            sent = [(bucket, payload) for bucket, payload in request(opened(rows), so_far) if payload] if rows.num_rows else []
+            return _table([block] * len(sent), tag, [b for b, _ in sent], [p for _, p in sent])
+
+        return with_answers
 
     def answered(payloads: pa.Table) -> pa.Table:
         bucket = payloads.column("bucket")[0].as_py()
@@ -90,8 +128,11 @@ def ask(blocks: DataFrame, answers: DataFrame | None, tag: str, request: Request
         sent = list(reduce(bucket, given))
         return _table([b for b, _ in sent], tag, [bucket] * len(sent), [p for _, p in sent])
 
-    requests = per_block(blocks, answers, asked, ANSWER)
-    new = requests.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(answered, ANSWER)
+    if answers is None:
+        requests = blocks.groupBy("block").applyInArrow(lambda rows: asked(rows)({}), ANSWER)
+    else:
+        requests = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda rows, own: asked(rows)(answers_of(own)), ANSWER)
+    new = requests.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(answered, ANSWER).repartition(n_buckets, "block")
     return new if answers is None else answers.unionByName(new)
 
 

@@ -121,7 +121,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded_and_decoded(docs: DataFrame) -> DataFrame:
     tokenizer = bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    return bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    return bpe.encode(docs, tokenizer, decoded=True)
 
 
 @query("op8_bpe")

@@ -60,5 +60,5 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, and digests of the ids and of the text they decode to."""
     tokenizer = bpe.read_tokenizer(public_tokenizers.path(TOKENIZER))
-    done = bpe.decode(bpe.encode(docs, tokenizer), tokenizer)
+    done = bpe.encode(docs, tokenizer, decoded=True)
     return done.select("doc_id", "n_tokens", "ids", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

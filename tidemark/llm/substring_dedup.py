@@ -79,8 +79,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     others. An empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    total = B.text_bytes(docs)
-    blocks, n_buckets = B.in_blocks(docs, total), B.parts(total, B.BUCKET_BYTES)
+    n_buckets = B.parts(B.text_bytes(docs), B.BLOCK_BYTES)
+    blocks = B.in_blocks(docs, n_buckets)
 
     def ask_anchors(table: pa.Table, _) -> list[tuple[int, bytes]]:
         found = [(_anchors(h, window)[1], i) for h, i in zip(_hashes(table), _ids(table), strict=True)]

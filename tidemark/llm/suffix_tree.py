@@ -180,9 +180,8 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     ``text`` and what ``learn`` names are read; rows with equal or null ids are documents of their own. If nothing is learnt from, all
     probabilities are 1. An empty table gives an empty result.
     """
-    total = B.text_bytes(docs)
-    n, n_buckets = B.parts(total, EACH), B.parts(total, B.BUCKET_BYTES)
-    blocks = docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(_coded, _CODED).repartition(n, "block")
+    n_buckets = B.parts(B.text_bytes(docs), EACH)
+    blocks = docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(_coded, _CODED).repartition(n_buckets, "block")
 
     def ask_words(block: Block, _) -> Iterator[tuple[int, bytes]]:
         return _sent(block.words, [np.bincount(block.codes, block.learn, len(block.words)).astype(np.uint64)], n_buckets, False)
