@@ -21,8 +21,8 @@ from tidemark.llm.components import stored
 
 VECTORS = 2048
 QUERIES = 256
-#: Vector blocks that share a copy of the queries.
-GROUP = 8
+#: Most vector blocks that share a copy of the queries; fewer while there are cores without a group.
+GROUP = 64
 #: Queries whose best scores a task remembers from one block to the next.
 REMEMBERED = 100_000
 SCALE = 256
@@ -157,7 +157,7 @@ def top_k(vectors: DataFrame, query_filter: str, k: int = 5) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([row["ids"]], pa.binary()), pa.array([row["values"]], pa.binary()), pa.array([floors.tobytes()], pa.binary())], names=["query_ids", "q", "floors"])
 
     n_blocks = B.parts(n, VECTORS)
-    groups = B.parts(n_blocks, GROUP)
+    groups = max(B.parts(n_blocks, GROUP), min(n_blocks, 2 * vectors.sparkSession.sparkContext.defaultParallelism))
     blocks = found.repartitionByRange(n_blocks, F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id").mapInArrow(_packer(VECTORS, dims), _PACKED)
     blocks = blocks.withColumn("group", F.pmod(F.xxhash64("ids"), F.lit(groups)))
     queries = found.where(query_filter).repartition(B.parts(n, 50 * QUERIES), "vec_id").mapInArrow(_packer(QUERIES, dims), _PACKED).mapInArrow(with_floors, "query_ids binary, q binary, floors binary")
