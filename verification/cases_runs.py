@@ -151,7 +151,7 @@ def silver_out_of_range(spark, sf_dir):
     )
     kept = files.layer_store(scratch_path(spark, "layers"), "silver")("orders", silver.silver_orders(orders, ["order_id"], NOW))
     results = checks.run_suite(kept, SUITES["orders"], NOW)
-    ranges = results.filter("check_name LIKE 'value_range%' AND column_name = 'discount_percent'")
+    ranges = results.filter("check_name LIKE 'range_%' AND column_name = 'discount_percent'")
     passed = ranges.agg(F.bool_and("passed").alias("discount_passed"))
     counts = kept.agg(
         F.count(F.lit(1)).alias("kept"), F.count_if(F.col("discount_percent") > 100).alias("discounts_above"),
