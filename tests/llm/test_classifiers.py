@@ -33,7 +33,7 @@ def test_toxicity_on_held_out_labels(spark):
     apart = held_out(0, 5)
     got = toxicity.classified(docs, toxicity.fit(docs, labels, ~apart), apart).join(labels, "doc_id").where("held_out").toPandas()
     one, other = got[got["toxic"] == 1]["score"].values, got[got["toxic"] == 0]["score"].values
-    assert len(one) > 50 and (one[:, None] > other[None, :]).mean() > 0.85
+    assert len(one) > 50 and (one[:, None] > other[None, :]).mean() > 0.95
     assert (got["predicted"] == got["toxic"]).mean() > 0.93
 
 
@@ -84,10 +84,8 @@ def test_attention_learns_one_bad_passage():
 
 
 def test_windows_share_more_with_their_own_dictionary():
-    import zstandard
-
     rng = random.Random(0)
-    ordinary = [f" {w} ".encode() for w in prose(rng, 5000).split()]
-    toxic = [f" {rng.choice(['dreadful', 'horrible', 'vile'])} ".encode() for _ in range(5000)]
-    distance = toxicity.Distance(zstandard.train_dictionary(512, toxic).as_bytes(), zstandard.train_dictionary(1024, ordinary).as_bytes())
-    assert min(distance[b" dreadful "], distance[b" horrible "]) > max(distance[w] for w in set(ordinary))
+    ordinary = [w.encode() for w in prose(rng, 5000).split()]
+    toxic = [rng.choice([b"dreadful", b"horrible", b"vile"]) for _ in range(5000)]
+    distance = toxicity.Distance(*(toxicity._dictionary([toxicity._framed(w) for w in words], 2048) for words in (toxic, ordinary)))
+    assert min(distance[b"dreadful"], distance[b"horrible"]) > max(distance[w] for w in set(ordinary))

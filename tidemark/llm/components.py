@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path
@@ -15,8 +15,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
+def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, and a mark by which to see whether they changed; it is taken while writing."""
+    seen = Observation()
+    kept = stored(edges.observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")), "edges")
+    return kept, (seen.get["n"], seen.get["x"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,16 +28,15 @@ def components(links: DataFrame) -> DataFrame:
     Every round shuffles the edges a fixed number of times and keeps at most as many of them. Minima are pre-aggregated; the joins
     that hand them out are keyed by node, and a node with very many edges is split by the skew join.
     """
-    edges = stored(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = _mark(edges)
+    edges, mark = _stored_edges(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.withColumnRenamed("m", "v"))
-        edges = stored(small.distinct(), "edges")
-        before, mark = mark, _mark(edges)
+        before = mark
+        edges, mark = _stored_edges(small.distinct())
         if mark == before:
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

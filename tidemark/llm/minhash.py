@@ -7,9 +7,11 @@ them with a probability of (1 - 0.75^4)^40 < 3e-7. Documents of one band bucket
 the full sets.
 
 Hot groups: documents with equal sets are one class from the start. Within a bucket the members are compared with one pivot
-instead of each other; what the pivots join needs no further comparison. Only buckets whose members are still in several
-components go on: with other pivots as long as the pairs across components outnumber the members, then with all of those pairs.
-A pair that shares a bucket is thus compared, or its ends are already connected.
+instead of each other, the one that meets most others over all buckets, as does the text that near copies were made from; what
+the pivots join needs no further comparison. Only buckets whose members are still in several
+components go on, and only with members that have enough shingles which occur in another component. Of these, members outside the bucket's largest component are pivots, ``PIVOTS`` of them in a round, and leave the bucket when
+they have been compared with its other components. In the end its members are in one component. So a pair that shares a bucket
+is compared, or its ends are already connected, and a round compares at most ``PIVOTS`` times as many pairs as there are members.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import blocks as B
@@ -30,6 +32,8 @@ PERMUTATIONS = 80
 BAND_VALUES = 4
 #: Similarity of linked documents, in hundredths.
 THRESHOLD = 75
+#: Pivots of a bucket in the rounds after the first.
+PIVOTS = 64
 
 _SIGNED = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
 
@@ -102,7 +106,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = signed.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     banded = classes.select("doc_id", "n", F.explode("bands").alias("band"))
     crowded = banded.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1").select("band")
-    members = stored(banded.join(crowded, "band"), "members")
+    members = stored(banded.join(crowded, "band"), "banded")
+    # How many others a document meets over its bands: large for the text that near copies were made from.
+    central = members.join(members.groupBy("band").agg(F.count("*").alias("rows")), "band").groupBy("doc_id").agg(F.sum("rows").alias("met"))
+    members = stored(members.join(central, "doc_id").withColumn("common", F.col("n")), "members")
     wanted = members.select("doc_id").distinct()
     sets = stored(docs.join(wanted, "doc_id").mapInArrow(_sets, "doc_id bigint, found array<bigint>").dropDuplicates(["doc_id", "found"]), "sets")
 
@@ -114,22 +121,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     while True:
         found = components(links)
         labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("rows"))
-        open_bands = sizes.groupBy("band").agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("rows")).alias("squares")).where("parts > 1")
-        open_bands = stored(open_bands, "bands")
-        rows, across = open_bands.agg(F.sum("rows"), F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2)).first()
-        if not rows:
+        labelled = _open(labelled)
+        if turn:
+            labelled = _open(_linkable(stored(labelled, "open"), sets))
+        labelled = stored(labelled, "labelled")
+        if labelled.isEmpty():
             return _result(signed, classes, found)
-        labelled = labelled.join(open_bands.select("band"), "band")
-        near = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * THRESHOLD
-        if turn and across <= 4 * rows:
-            other = labelled.select("band", F.col("doc_id").alias("doc2"), F.col("n").alias("n2"), F.col("component").alias("component2"))
-            pairs, members = labelled.join(other, "band").where("component < component2"), members.limit(0)
-        else:
-            pivots = stored(labelled.groupBy("band").agg(F.expr(f"min_by(struct(doc_id AS doc2, n AS n2, component AS component2), struct(xxhash64(doc_id, {turn}), doc_id))").alias("p")).select("band", "p.*"), "pivots")
-            pairs = labelled.join(pivots, "band").where("component <> component2")
-            members = stored(labelled.join(pivots.select("band", F.col("doc2").alias("doc_id")), ["band", "doc_id"], "left_anti").select("doc_id", "n", "band"), "members")
-        pairs = pairs.where(near).select(*_pairs("doc_id", "doc2")).distinct()
+        order = Window.partitionBy("band").orderBy(F.desc("met"), "doc_id")
+        others = labelled if not turn else labelled.where("component <> largest")
+        pivots = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= (PIVOTS if turn else 1))
+        pivots = stored(pivots.select("band", *[F.col(c).alias(f"{c}2") for c in ("doc_id", "n", "component", "common")]), "pivots")
+        compared = pivots.select("band", F.col("doc_id2").alias("doc_id"))
+        members = stored(labelled.join(compared, ["band", "doc_id"], "left_anti").select("doc_id", "n", "met", "band", "common"), "members")
+        pairs = labelled.join(pivots, "band").where("component <> component2").where(_enough(F.least("common", "common2"), F.col("n") + F.col("n2")))
+        pairs = pairs.select(*_pairs("doc_id", "doc_id2")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -138,6 +143,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         turn += 1
 
 
+def _open(labelled: DataFrame) -> DataFrame:
+    """Members of buckets with several components, and the largest component there."""
+    sizes = labelled.groupBy("band", "component").agg(F.count("*").alias("rows"))
+    several = sizes.groupBy("band").agg(F.count("*").alias("parts"), F.expr("max_by(component, struct(rows, component))").alias("largest")).where("parts > 1")
+    return labelled.drop("largest").join(several.select("band", "largest"), "band")
+
+
+def _enough(common: Column, sizes: Column) -> Column:
+    """Whether two sets of these sizes together can be similar enough with so many common shingles: c >= t (sizes - c)."""
+    return (100 + THRESHOLD) * common >= THRESHOLD * sizes
+
+
+def _linkable(labelled: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members that can still be linked to another component, with ``common``: how many of their shingles are there.
+
+    A document has at most that many shingles in common with one of another component; near copies with many changes of
+    their own are settled by this without being compared with each other.
+    """
+    docs = labelled.select("doc_id", "component", "n").distinct()
+    held = docs.join(sets, "doc_id").select("doc_id", "component", F.explode("found").alias("shingle")).distinct()
+    across = held.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("shingle")
+    common = held.join(across, "shingle").groupBy("doc_id").agg(F.count("*").alias("common"))
+    return labelled.drop("common").join(common, "doc_id").where(_enough(F.col("common"), F.col("n") + F.col("common")))
+
+
 def _result(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     label = classes.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("class", F.coalesce("component", "doc_id").alias("component_id"))
     return (

@@ -6,8 +6,9 @@ of this difference, calibrated on labelled documents.
 
 A window is one word. Toxic documents are mostly ordinary prose, in which the difference of a longer window drowns, so the toxic
 windows to train on are picked by the labels: words that hold a run of characters which toxic documents have significantly
-more often. A compressor gives up on windows of a few bytes, so each is led by a run of zeros, which costs the same with either
-dictionary and makes single bytes of difference show.
+more often. A compressor gives up on windows of a few bytes and finds little in them, so each is led by a run of zeros, which costs
+the same with either dictionary, and framed by marks: a word that a dictionary holds is then one match with its marks, while
+another word parts the marks and costs its letters.
 """
 
 from __future__ import annotations
@@ -34,20 +35,26 @@ SIGNIFICANT = 7.0
 #: Most windows that a dictionary is trained on, and windows that an ordinary document gives.
 MOST_WINDOWS = 60_000
 WINDOWS_PER_DOCUMENT = 20
-TOXIC_BYTES, ORDINARY_BYTES = 1024, 4096
-LEVEL = 5
-LEAD = b"\0" * 64
-#: Differences in bytes that are counted.
+TOXIC_BYTES, ORDINARY_BYTES = 2048, 8192
+LEVEL = 9
+LEAD, BEFORE, AFTER = b"\0" * 64, b"<<", b">>"
+#: Differences that are counted, in bytes and in shares of the word.
 STEPS = (2, 3, 4, 5, 6, 8)
+SHARES = (0.2, 0.3, 0.4, 0.5, 0.6)
 #: Words whose difference a task remembers.
 REMEMBERED = 400_000
 
 
 def windows(text: bytes) -> list[bytes]:
-    return [b" " + w + b" " for w in text.lower().split()]
+    return text.lower().split()
+
+
+def _framed(window: bytes) -> bytes:
+    return BEFORE + window + AFTER
 
 
 def _runs(window: bytes) -> set[bytes]:
+    window = b" " + window + b" "
     return {window[i : i + n] for n in RUNS for i in range(len(window) - n + 1)}
 
 
@@ -63,14 +70,15 @@ class Distance(dict):
     def __missing__(self, window: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        ordinary, toxic = (len(c.compress(LEAD + window)) for c in self.compressors)
+        ordinary, toxic = (len(c.compress(LEAD + _framed(window))) for c in self.compressors)
         self[window] = ordinary - toxic
         return ordinary - toxic
 
     def of(self, text: bytes) -> list[float]:
         found = windows(text)
         difference = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        counts = [int((difference >= step).sum()) for step in STEPS]
+        shares = difference / (np.fromiter(map(len, found), np.int64, len(found)) + 2)
+        counts = [int((difference >= step).sum()) for step in STEPS] + [int((shares >= share).sum()) for share in SHARES]
         return [*(math.log1p(c) for c in counts), math.log1p(len(found)), *(min(1.0, 20 * c / max(1, len(found))) for c in counts)]
 
 
@@ -119,6 +127,16 @@ def _marks(sample: DataFrame) -> set[bytes]:
     return {bytes(r["run"]) for r in found.where((a - b) > SIGNIFICANT * error).where("n1 >= 5").select("run").collect()}
 
 
+def _dictionary(samples: list[bytes], size: int) -> bytes:
+    """A trained dictionary of at most ``size`` bytes, smaller where there is little to train on."""
+    try:
+        return zstandard.train_dictionary(size, samples).as_bytes()
+    except zstandard.ZstdError:
+        if size <= 512:
+            raise
+        return _dictionary(samples, size // 2)
+
+
 def fit(docs: DataFrame, labels: DataFrame, learnt: Column, per_class: int = PER_CLASS) -> Model:
     """Learn ``labels.toxic`` from at most ``per_class`` documents of each class among the rows that ``learnt`` allows."""
     sample = stored(training_sample(docs, labels, "toxic", learnt, per_class).repartition(16, "doc_id"), "toxic-sample")
@@ -141,10 +159,11 @@ def fit(docs: DataFrame, labels: DataFrame, learnt: Column, per_class: int = PER
     kinds = {}
     for y, size in ((1, TOXIC_BYTES), (0, ORDINARY_BYTES)):
         rows = picked.where(F.col("label") == y).orderBy(F.desc("n"), "window").limit(MOST_WINDOWS).collect()
-        samples = [bytes(r["window"]) for r in rows for _ in range(r["n"])]
-        kinds[y] = samples[:: max(1, -(-len(samples) // MOST_WINDOWS))]
+        samples = [_framed(bytes(r["window"])) for r in rows for _ in range(r["n"])]
+        samples = samples[:: max(1, -(-len(samples) // MOST_WINDOWS))]
+        kinds[y] = [samples[i] for i in np.random.default_rng(0).permutation(len(samples))]
     try:
-        toxic, ordinary = (zstandard.train_dictionary(size, kinds[y]).as_bytes() for y, size in ((1, TOXIC_BYTES), (0, ORDINARY_BYTES)))
+        toxic, ordinary = (_dictionary(kinds[y], size) for y, size in ((1, TOXIC_BYTES), (0, ORDINARY_BYTES)))
     except zstandard.ZstdError:  # too little text of a kind to train on
         share = totals.get(1, 0) / max(1, sum(totals.values()))
         return Model(b"", b"", constant=share)
