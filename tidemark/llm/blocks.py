@@ -50,17 +50,22 @@ def in_blocks(docs: DataFrame, n: int) -> DataFrame:
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressor = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            blocks, ids, texts = batch.column("block").to_numpy(), batch.column("doc_id"), texts_of(pa.Table.from_batches([batch]))
+            blocks, ids, texts = batch.column("block").to_numpy(), batch.column("doc_id"), pc.cast(batch.column("text"), pa.large_binary())
             order = np.argsort(blocks, kind="stable")
             cuts = np.flatnonzero(np.diff(blocks[order], prepend=-1, append=n))
-            rows = [order[start:end] for start, end in zip(cuts[:-1], cuts[1:], strict=True)]
-            columns = [
-                pa.array([blocks[r[0]] for r in rows], pa.int64()),
-                pa.array([ids.take(pa.array(r)).to_pylist() for r in rows], pa.list_(pa.int64())),
-                pa.array([[len(texts[i]) for i in r] for r in rows], pa.list_(pa.int32())),
-                pa.array([compressor.compress(b"".join(texts[i] for i in r)) for r in rows], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "data"])
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                rows = pa.array(order[start:end])
+                own = pc.fill_null(texts.take(rows), b"")
+                ends = np.frombuffer(own.buffers()[1], np.int64)[own.offset : own.offset + len(own) + 1]
+                data = compressor.compress(own.buffers()[2].slice(ends[0], ends[-1] - ends[0])) if ends[-1] > ends[0] else compressor.compress(b"")
+                columns = [
+                    pa.array([blocks[order[start]]], pa.int64()),
+                    pa.array([ids.take(rows).to_pylist()], pa.list_(pa.int64())),
+                    pa.array([np.diff(ends).astype(np.int32)], pa.list_(pa.int32())),
+                    pa.array([data], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "data"])
+            pa.default_memory_pool().release_unused()
 
     placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("block"))
     return placed.mapInArrow(chunks, _CHUNK).repartition(n, "block")
@@ -76,6 +81,7 @@ def opened_chunks(chunks: pa.Table) -> pa.Table:
             at += size
         ids += own
     block = chunks.column("block")[0].as_py() if chunks.num_rows else None
+    pa.default_memory_pool().release_unused()
     return pa.table([pa.array([block] * len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array(texts, pa.large_binary())], names=["block", "doc_id", "text"])
 
 

@@ -13,6 +13,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,12 @@ def pieces_of(tokenizer_json: str) -> dict[int, str]:
     return pieces | {t["id"]: t["content"] for t in model["added_tokens"]}
 
 
+@lru_cache(1)
+def _tokenizer(tokenizer_json: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_str(tokenizer_json)
+
+
 def _id_type(tokenizer: Tokenizer) -> np.dtype:
     return np.dtype("<u2") if max(tokenizer.get_vocab().values(), default=0) < 1 << 16 else np.dtype("<u4")
 
@@ -76,6 +83,11 @@ class Pieces:
         return " ".join(self.table[ids[self.known[ids]]].tolist())
 
 
+@lru_cache(1)
+def _pieces(tokenizer_json: str) -> Pieces:
+    return Pieces(tokenizer_json)
+
+
 def encode(docs: DataFrame, tokenizer_json: str, decoded: bool = False) -> DataFrame:
     """Per document the ids of its whole text, their number, and the SHA-256 of the ids as little-endian 32-bit integers; if
     ``decoded``, also what :func:`decode` makes of the ids, in the same pass.
@@ -95,8 +107,7 @@ def encode(docs: DataFrame, tokenizer_json: str, decoded: bool = False) -> DataF
             yield int(buckets[start]), zstandard.compress(b"\n".join(words[start:end]))
 
     def encode_distinct(_, given: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(shared.value)
+        tokenizer = _tokenizer(shared.value)
         asked = [zstandard.decompress(payload).split(b"\n") for _, payload in given]
         distinct = sorted(set().union(*asked))
         ids: dict[bytes, bytes] = {}
@@ -131,7 +142,7 @@ def encode(docs: DataFrame, tokenizer_json: str, decoded: bool = False) -> DataF
         digests = [hashlib.sha256(e.astype("<u4")).hexdigest() for e in encoded]
         columns = []
         if decoded:
-            pieces = Pieces(shared.value)
+            pieces = _pieces(shared.value)
             columns = [pa.array([pieces.joined(e.astype(np.int64)) for e in encoded], pa.string())]
         values = pa.array(np.concatenate(encoded).astype(np.int32) if encoded else np.empty(0, np.int32))
         columns = [table.column("doc_id").cast(pa.int64()), pa.ListArray.from_arrays(offsets, values), pa.array(lengths), pa.array(digests, pa.string()), *columns]
@@ -151,7 +162,7 @@ def decode(encoded: DataFrame, tokenizer_json: str) -> DataFrame:
     schema = encoded.drop("decoded").schema.add("decoded", "string")
 
     def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(shared.value)
+        pieces = _pieces(shared.value)
         for batch in batches:
             lists = (ids.values for ids in batch.column("ids"))
             texts = ["" if ids is None else pieces.joined(ids.to_numpy(zero_copy_only=False).astype(np.int64)) for ids in lists]

@@ -104,12 +104,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     signed = stored(docs.mapInArrow(_signed, _SIGNED), "signed")
     classes = signed.where("class IS NOT NULL AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = stored(classes, "classes")
     banded = classes.select("doc_id", "n", F.explode("bands").alias("band"))
     crowded = banded.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1").select("band")
     members = stored(banded.join(crowded, "band"), "banded")
     # How many others a document meets over its bands: large for the text that near copies were made from.
     central = members.join(members.groupBy("band").agg(F.count("*").alias("rows")), "band").groupBy("doc_id").agg(F.sum("rows").alias("met"))
-    members = stored(members.join(central, "doc_id").withColumn("common", F.col("n")), "members")
+    members = stored(members.join(central, "doc_id"), "members")
     wanted = members.select("doc_id").distinct()
     sets = stored(docs.join(wanted, "doc_id").mapInArrow(_sets, "doc_id bigint, found array<bigint>").dropDuplicates(["doc_id", "found"]), "sets")
 
@@ -120,20 +121,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links, checked, turn = stored(links, "links"), None, 0
     while True:
         found = components(links)
-        labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        labelled = _open(labelled)
+        labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("alone", F.col("component").isNull())
+        labelled = _open(labelled.withColumn("component", F.coalesce("component", "doc_id")))
         if turn:
-            labelled = _open(_linkable(stored(labelled, "open"), sets))
+            labelled = _open(_linkable(stored(labelled, "open"), sets)).join(classes.select("doc_id", "bands"), "doc_id")
         labelled = stored(labelled, "labelled")
         if labelled.isEmpty():
             return _result(signed, classes, found)
         order = Window.partitionBy("band").orderBy(F.desc("met"), "doc_id")
         others = labelled if not turn else labelled.where("component <> largest")
-        pivots = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= (PIVOTS if turn else 1))
-        pivots = stored(pivots.select("band", *[F.col(c).alias(f"{c}2") for c in ("doc_id", "n", "component", "common")]), "pivots")
+        pivots = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= (PIVOTS if turn else 1)).drop("rank")
+        pivots = stored(pivots.select("band", *[F.col(c).alias(f"{c}2") for c in pivots.columns if c != "band"]), "pivots")
         compared = pivots.select("band", F.col("doc_id2").alias("doc_id"))
-        members = stored(labelled.join(compared, ["band", "doc_id"], "left_anti").select("doc_id", "n", "met", "band", "common"), "members")
-        pairs = labelled.join(pivots, "band").where("component <> component2").where(_enough(F.least("common", "common2"), F.col("n") + F.col("n2")))
+        members = stored(labelled.join(compared, ["band", "doc_id"], "left_anti").select("doc_id", "n", "met", "band"), "members")
+        near = _enough(F.least("n", "n2"), F.col("n") + F.col("n2"))
+        if turn:
+            bound = F.least(F.when(F.col("alone2"), F.col("single")).otherwise(F.col("joined")), F.when(F.col("alone"), F.col("single2")).otherwise(F.col("joined2")))
+            first_shared = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True)
+            near = near & _enough(bound, F.col("n") + F.col("n2")) & (first_shared == F.array_position("bands", F.col("band")))
+        pairs = labelled.join(pivots, "band").where("component <> component2").where(near)
         pairs = pairs.select(*_pairs("doc_id", "doc_id2")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
@@ -156,16 +162,21 @@ def _enough(common: Column, sizes: Column) -> Column:
 
 
 def _linkable(labelled: DataFrame, sets: DataFrame) -> DataFrame:
-    """Members that can still be linked to another component, with ``common``: how many of their shingles are there.
+    """Members that can still be linked to another component, with upper bounds for their common shingles.
 
-    A document has at most that many shingles in common with one of another component; near copies with many changes of
-    their own are settled by this without being compared with each other.
+    ``joined`` counts the shingles that occur in some other component of several documents, ``single`` those that occur in another
+    document that is a component by itself. A document has no more in common with one of either kind, so near copies with many
+    changes of their own are settled without being compared with each other.
     """
-    docs = labelled.select("doc_id", "component", "n").distinct()
-    held = docs.join(sets, "doc_id").select("doc_id", "component", F.explode("found").alias("shingle")).distinct()
-    across = held.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("shingle")
-    common = held.join(across, "shingle").groupBy("doc_id").agg(F.count("*").alias("common"))
-    return labelled.drop("common").join(common, "doc_id").where(_enough(F.col("common"), F.col("n") + F.col("common")))
+    docs = labelled.select("doc_id", "component", "alone", "n").distinct()
+    held = docs.join(sets, "doc_id").select("doc_id", "component", "alone", F.explode("found").alias("shingle")).distinct()
+    of_many = F.when(~F.col("alone"), F.col("component"))
+    holders = held.groupBy("shingle").agg(F.min(of_many).alias("low"), F.max(of_many).alias("high"), F.count_if("alone").alias("lone"))
+    holders = holders.where("low IS NOT NULL AND (lone > 0 OR low <> high) OR lone > 1")
+    elsewhere = F.col("low").isNotNull() & ((F.col("low") != F.col("component")) | (F.col("high") != F.col("component")))
+    other_lone = F.col("lone") > F.col("alone").cast("int")
+    counts = held.join(holders, "shingle").groupBy("doc_id").agg(F.count_if(elsewhere).alias("joined"), F.count_if(other_lone).alias("single"))
+    return labelled.join(counts, "doc_id").where(" OR ".join(f"{100 + THRESHOLD} * {c} >= {THRESHOLD} * (n + {c})" for c in ("joined", "single")))
 
 
 def _result(signed: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
