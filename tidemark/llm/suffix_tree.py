@@ -22,7 +22,6 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm import blocks as B
 
@@ -38,14 +37,19 @@ _END = B.word_hashes([b""])
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of documents as codes: ``words`` are the sorted hashes of the block's words, ``codes`` places among them."""
-    compressor, number, held = zstandard.ZstdCompressor(level=1), 0, []
+    """Blocks of documents as codes: ``words`` are the hashes of the block's words, the most frequent first, ``codes`` places
+    among them, their lowest bytes first and then the next, which compresses well."""
+    compressor, number, held = zstandard.ZstdCompressor(level=3), 0, []
 
     def block() -> pa.RecordBatch:
         ids, learn, hashes = zip(*held, strict=True)
-        words, codes = np.unique(np.concatenate(hashes), return_inverse=True)
+        words, codes, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        words, codes = words[order], rank[codes]
         key = (TaskContext.get().partitionId() << 24) + number
-        packed = [compressor.compress(words.tobytes()), compressor.compress(codes.astype(np.uint32).tobytes())]
+        packed = [compressor.compress(words.tobytes()), compressor.compress(codes.view(np.uint8).reshape(-1, 4).T.tobytes())]
         kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         values = [key, list(ids), list(learn), [len(h) for h in hashes], *packed]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=[c.split(" ")[0] for c in _CODED.split(", ")])
@@ -68,8 +72,12 @@ class Block:
     def __init__(self, rows: pa.Table):
         row, unzip = rows.slice(0, 1).to_pylist()[0], zstandard.ZstdDecompressor().decompress
         self.ids, self.sizes = row["ids"], np.array(row["sizes"], np.int64)
-        self.words = np.frombuffer(unzip(row["words"]), np.uint64)
-        self.codes = np.frombuffer(unzip(row["codes"]), np.uint32)
+        words = np.frombuffer(unzip(row["words"]), np.uint64)
+        order = np.argsort(words)
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order))
+        self.words = words[order]
+        self.codes = place[np.frombuffer(unzip(row["codes"]), np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()]
         self.learn = np.repeat(np.array(row["learn"], bool), self.sizes)
         starts = np.cumsum(self.sizes) - self.sizes
         self.place = np.arange(len(self.codes)) - np.repeat(starts, self.sizes)
@@ -149,9 +157,11 @@ class Level:
 class State:
     """What a block knows after some levels: each token's probability, and the count of the context that ends with it."""
 
-    def __init__(self, block: Block, answers: dict, totals: tuple[int, int]):
-        counts = _aligned(answers["0"], 1)[0]
-        tokens, words = totals
+    def __init__(self, block: Block, answers: dict):
+        own = answers["0"]
+        counts = _aligned({bucket: payload[16:] for bucket, payload in own.items()}, 1)[0]
+        tokens, words = (int(n) for n in sum(np.frombuffer(payload, np.uint64, 2) for payload in own.values()))
+        self.tokens = tokens
         self.known = counts[block.codes] if len(counts) else np.zeros(len(block.codes), np.uint64)
         self.base = (self.known.astype(float) + 1) / (tokens + words + 1)
         self.p, self.ending = self.base.copy(), self.known.astype(float)
@@ -184,25 +194,22 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     blocks = docs.select("doc_id", "text", learn.alias("learn")).mapInArrow(_coded, _CODED).repartition(n_buckets, "block")
 
     def ask_words(block: Block, _) -> Iterator[tuple[int, bytes]]:
-        return _sent(block.words, [np.bincount(block.codes, block.learn, len(block.words)).astype(np.uint64)], n_buckets, False)
+        asked = dict(_sent(block.words, [np.bincount(block.codes, block.learn, len(block.words)).astype(np.uint64)], n_buckets, False))
+        nothing = narrow([np.empty(0, np.uint64)] * 2)
+        return ((bucket, asked.get(bucket, nothing)) for bucket in range(n_buckets))  # each answers with its totals
 
     def count_words(bucket: int, given: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         sizes, (keys, counts) = _received(given, 1, False)
         distinct, where = np.unique(keys, return_inverse=True)
         sums = np.bincount(where, counts, len(distinct)).astype(np.uint64)
-        yield -1, f"{int(sums.sum())} {int((sums > 0).sum())}".encode()
-        yield from _back(given, sizes, [sums[where]])
+        totals = np.array([sums.sum(), (sums > 0).sum()], np.uint64).tobytes()
+        for block, counted in _back(given, sizes, [sums[where]]):
+            yield block, totals + counted
 
     answers = B.ask(blocks, None, "0", ask_words, count_words, n_buckets, Block)
-    # Tokens and distinct words, summed up over buckets; they travel as rows of a block that does not exist.
-    numbers = F.split(F.col("payload").cast("string"), " ")
-    row = answers.where("block = -1").agg(*(F.sum(numbers[i].cast("bigint")) for i in (0, 1))).first()
-    totals = (row[0] or 0, row[1] or 0)
-    answers = answers.where("block >= 0")
-
     def climbed(block: Block, so_far: dict, upto: int) -> tuple[State, Level | None]:
         """The block's state below level ``upto``, and that level."""
-        state = State(block, so_far, totals)
+        state = State(block, so_far)
         for depth in range(1, upto + 1):
             level = Level(block, depth, state.context_counts(), n_buckets)
             if depth == upto:
@@ -258,7 +265,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         state, level = climbed(block, so_far, DEPTH)
         state.climb(level, so_far, DEPTH)
         sums = [np.add.reduceat(x, block.starts) for x in ((state.known > 0).astype(np.int64), np.log10(state.base), np.log10(state.p))]
-        columns = [pa.array(block.ids, pa.int64()), pa.array(block.sizes), pa.array(sums[0]), pa.array(np.full(len(block.ids), totals[0], np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+        columns = [pa.array(block.ids, pa.int64()), pa.array(block.sizes), pa.array(sums[0]), pa.array(np.full(len(block.ids), state.tokens, np.int64)), pa.array(sums[1]), pa.array(sums[2])]
         return pa.table(columns, names=[c.split(" ")[0] for c in RESULT.split(", ")])
 
     return B.per_block(blocks, answers, scored, RESULT, Block)
