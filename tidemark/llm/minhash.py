@@ -33,7 +33,7 @@ BAND_VALUES = 4
 #: Similarity of linked documents, in hundredths.
 THRESHOLD = 75
 #: Pivots of a bucket in the rounds after the first.
-PIVOTS = 64
+PIVOTS = 256
 
 _SIGNED = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
 
