@@ -98,3 +98,38 @@ def test_texts_hold_the_words_taken(spark, monkeypatch, rows):
     for r in mixing.mix_documents(docs).collect():
         taken[r["doc_id"]] += r["taken"]
     assert +words == +taken
+
+
+def test_shards_hold_the_slots_that_drew_them(spark, monkeypatch, rows):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 7)
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 100)
+    docs = table(spark, rows)
+    mix = mixing.slots(mixing.source_targets(mixing.placed_documents(docs)))
+    slots = {(r["key"], r["slot"]): (r["shard"], r["turn"], r["take"]) for r in mix.collect()}
+    n_shards = -(-len(slots) // 100)
+    assert n_shards > 10 and {s for s, _, _ in slots.values()} == set(range(n_shards))
+    per_source = collections.Counter(k for k, _ in slots)
+    for r in mixing.shard_counts(mix).collect():  # six standard deviations about the mean
+        mean = per_source[r["key"]] / n_shards
+        assert abs(r["n_slots"] - mean) < 6 * mean**0.5 + 6
+
+    found, spread = collections.Counter(), collections.defaultdict(set)
+    texts, taken = collections.defaultdict(list), collections.Counter()
+    for p, part in enumerate(mixing.mixed_shards(docs).rdd.glom().collect()):
+        for r in part:
+            spread[r["shard"]].add(p)
+            slot = ("-" if r["source"] is None else "+" + r["source"], r["slot"])
+            assert slots[slot][:2] == (r["shard"], r["turn"]) and len(r["text"].split()) == r["n_words"]
+            found[slot] += r["n_words"]
+            taken[r["doc_id"]] += r["n_words"]
+            texts[r["doc_id"], r["turn"], r["place"] - r["low"]].append((r["low"], r["text"]))
+    assert dict(found) == {k: take for k, (_, _, take) in slots.items()}
+    assert all(len(p) == 1 for p in spread.values())
+    given = {t for _, t, _ in rows if t}
+    assert sum("".join(t for _, t in sorted(v)) in given for v in texts.values()) > 200  # whole documents, end to end
+
+    summed = collections.Counter()
+    for r in mixing.mix_documents(docs).collect():
+        summed[r["doc_id"]] += r["taken"]
+        assert (r["n_shards"] > 0) == (r["taken"] > 0) == (r["digest"] != 0)
+    assert +summed == taken

@@ -2,7 +2,7 @@
 
 The words of a source, document after document, are packed into blocks of ``BLOCK_WORDS``. A source's target fills a number of slots;
 every slot draws its output shard, so the numbers of a source's slots in the shards are a multinomial draw, while their sum
-meets the target. Slots go through a pseudorandom permutation of the source's block indices, another one in each pass over the
+meets the target. The texts that its slots take are brought to each shard. Slots go through a pseudorandom permutation of the source's block indices, another one in each pass over the
 source, and the slots' blocks are joined by index. Everything follows from hashes of keys, so a run repeats itself and a lost task
 is rebuilt alike. All steps work on (source, block) or (source, bucket) keys of bounded size, so a source with any share of the rows
 is spread over as many tasks as its size needs.
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: A word with the white space behind it, and the first one also with that in front of it: end to end they are the text.
+SPACED_WORD = r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 BLOCK_WORDS = 512
 #: Mean number of slots in an output shard.
 SHARD_SLOTS = 4096
@@ -95,24 +97,31 @@ def slots(targets: DataFrame) -> DataFrame:
     passes = passes.withColumn("wanted", F.least(F.col("words") - turn * size, size)).withColumn("short", BLOCK_WORDS * n - size)
     passes = passes.withColumn("short_at", _permuted(n - 1, n, F.col("key"), turn, backwards=True))
     count = F.least(n, F.floor((F.col("wanted") + F.col("short") - 1) / BLOCK_WORDS).cast("bigint") + 1)
-    runs = passes.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / SHARD_SLOTS).cast("bigint"))))
+    n_slots = F.sum(count).over(Window.partitionBy())
+    runs = passes.withColumn("n_slots", n_slots).withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / SHARD_SLOTS).cast("bigint"))))
     runs = runs.repartition("key", "turn", "run")  # a few source rows become as many tasks as there are slots for
     runs = runs.withColumn("index", F.explode(F.sequence(F.col("run") * SHARD_SLOTS, F.least(count, (F.col("run") + 1) * SHARD_SLOTS) - 1)))
     block = _permuted(F.col("index"), n, F.col("key"), turn)
     before = F.col("index") * BLOCK_WORDS - F.when(F.col("index") > F.col("short_at"), F.col("short")).otherwise(0)
     length = F.when(F.col("block") == n - 1, BLOCK_WORDS - F.col("short")).otherwise(BLOCK_WORDS)
     drawn = runs.withColumn("slot", turn * n + F.col("index")).withColumn("block", block).withColumn("take", F.least(length, F.col("wanted") - before)).where("take > 0")
-    return drawn.select("key", "slot", "turn", "block", "take")
+    return sharded(drawn, F.col("n_slots")).select("key", "slot", "shard", "turn", "block", "take")
 
 
-def sharded(mix: DataFrame, n_slots: int, seed: int = 0) -> DataFrame:
+def sharded(mix: DataFrame, n_slots: int | Column, seed: int = 0) -> DataFrame:
     """``mix`` with the output shard that each slot draws."""
-    shards = max(1, -(-n_slots // SHARD_SLOTS))
-    return mix.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "key", "slot"), F.lit(shards)))
+    n_slots = F.lit(n_slots) if isinstance(n_slots, int) else n_slots
+    shards = F.greatest(F.lit(1).cast("bigint"), F.ceil(n_slots / SHARD_SLOTS).cast("bigint"))
+    return mix.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "key", "slot"), shards))
+
+
+def shard_counts(mix: DataFrame) -> DataFrame:
+    """The draw: ``n_slots`` and ``words`` of each ``shard`` and ``key``."""
+    return mix.groupBy("shard", "key").agg(F.count("*").alias("n_slots"), F.sum("take").alias("words"))
 
 
 def pieces(placed: DataFrame, mix: DataFrame) -> DataFrame:
-    """What each slot takes of each document: ``doc_id``, ``key``, ``size``, ``start``, ``turn``, ``low`` (first word, from 0), ``n`` words.
+    """What each slot takes of each document: ``doc_id``, ``key``, ``size``, ``start``, ``turn``, ``slot``, ``shard``, ``low`` (first word, from 0), ``n`` words.
 
     Blocks are joined by index: a document is cut at block borders, and a (source, block) key has at most ``BLOCK_WORDS`` rows
     for each pass.
@@ -122,12 +131,53 @@ def pieces(placed: DataFrame, mix: DataFrame) -> DataFrame:
     low = F.greatest(F.col("start"), F.col("block") * BLOCK_WORDS)
     high = F.least(F.col("start") + F.col("size"), F.col("block") * BLOCK_WORDS + F.col("take"))
     # Slots are as many as blocks, which the planner cannot see from the few sources they come from: not to be broadcast.
-    joined = cut.join(mix.select("key", "block", "turn", "take").hint("merge"), ["key", "block"])
-    return joined.select("doc_id", "key", "text_hash", "size", "start", "turn", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
+    joined = cut.join(mix.select("key", "block", "turn", "slot", "shard", "take").hint("merge"), ["key", "block"])
+    return joined.select("doc_id", "key", "text_hash", "size", "start", "turn", "slot", "shard", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
+
+
+def _shard_rows(docs: DataFrame, placed: DataFrame, targets: DataFrame) -> DataFrame:
+    """The rows of the output shards: ``doc_id``, ``key``, ``start``, ``shard``, ``slot``, ``turn``, ``low``, ``n`` and ``text`` of each piece.
+
+    A document's words are found once, however many slots take of them. One column identifies a document on both sides, so that
+    its grouping is the join's too and texts are shuffled once for both.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()  # one type for both, also in what may be null
+    who = F.struct("doc_id", "key", "text_hash").cast(f"struct<doc_id:{kind},key:string,text_hash:bigint>").alias("who")
+    taken = pieces(placed, slots(targets)).select(who, "start", "turn", "slot", "shard", "low", "n").repartition("who")
+    runs = taken.groupBy("who", "start").agg(F.collect_list(F.struct("shard", "slot", "turn", "low", "n")).alias("runs"))
+    texts = docs.select(*identity(), "text").select(who, "text").groupBy("who").agg(F.min("text").alias("text"))
+    words = F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
+
+    def cut(w: Column, r: Column) -> Column:
+        text = F.array_join(F.slice(w, (r["low"] + 1).cast("int"), r["n"].cast("int")), "")
+        return F.struct(r["shard"].alias("shard"), r["slot"].alias("slot"), r["turn"].alias("turn"), r["low"].alias("low"), r["n"].alias("n"), text.alias("text"))
+
+    parts = F.flatten(F.transform(words, lambda w: F.transform("runs", lambda r: cut(w, r))))
+    joined = texts.hint("merge").join(runs, "who").select("who.doc_id", "who.key", "start", F.explode(parts).alias("part"))
+    return joined.select("doc_id", "key", "start", "part.*")
+
+
+def _in_shards(rows: DataFrame) -> DataFrame:
+    """Each shard whole in one partition, its slots in random order, the pieces of a slot as in their block."""
+    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("slot", "key"), "slot", "key", F.col("start") + F.col("low"))
+
+
+def mixed_shards(docs: DataFrame) -> DataFrame:
+    """The mix as output shards: a row for each piece of a document in a slot.
+
+    ``shard``, ``slot`` (number within its source), ``source``, ``turn`` (pass over the source), ``place`` (the piece's first word among the
+    words of its source), ``doc_id``, ``low`` (that word's place in the document), ``n_words`` and ``text``, as it stands in the document.
+    A shard lies in one partition, in the order to be read.
+    """
+    placed = placed_documents(docs)
+    rows = _in_shards(_shard_rows(docs, placed, stored(source_targets(placed), "targets")))
+    source = F.when(F.col("key") != "-", F.substring("key", F.lit(2), F.length("key")))
+    return rows.select("shard", "slot", source.alias("source"), "turn", (F.col("start") + F.col("low")).alias("place"), "doc_id", "low", F.col("n").alias("n_words"), "text")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """Per document: ``size``, its source's ``source_size`` and ``target``, and the words the mix takes of it (``taken``).
+    """Per document: ``size``, its source's ``source_size`` and ``target``, and what the output shards hold of it: ``taken`` words
+    in ``n_shards`` shards, and ``digest``, a hash of its pieces' shards, slots, places and texts (0 if there are none).
 
     Sizes are words of the text between ASCII white space; null texts, like blank ones, have none and are never taken. Sources are
     ranked by code point, null last as a source of its own. Every row counts, also rows that repeat or have a null ``doc_id``. Only ``doc_id``, ``text`` and ``source`` are read. With no words at all
@@ -135,12 +185,13 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """
     placed = placed_documents(docs)
     targets = stored(source_targets(placed), "targets")
-    taken = pieces(placed, slots(targets)).groupBy("doc_id", "key", "size", "start").agg(F.sum("n").alias("taken"))
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
-    for c in ("key", "start", "size"):
-        same &= F.col(f"a.{c}") == F.col(f"b.{c}")
-    joined = placed.alias("a").join(taken.alias("b"), same, "left").select("a.doc_id", "a.key", "a.size", F.coalesce("b.taken", F.lit(0)).cast("bigint").alias("taken"))
-    return joined.join(targets, "key").select("doc_id", "size", "source_size", "target", "taken")
+    shards = _in_shards(_shard_rows(docs, placed, targets))
+    held = shards.withColumn("hash", F.xxhash64("shard", "slot", "low", "n", "text")).groupBy("key", "start", "shard").agg(F.sum("n").alias("n"), F.bit_xor("hash").alias("hash"))
+    taken = held.groupBy("key", "start").agg(F.sum("n").alias("taken"), F.count("*").alias("n_shards"), F.bit_xor("hash").alias("digest"))
+    same = (F.col("a.key") == F.col("b.key")) & (F.col("a.start") == F.col("b.start")) & (F.col("a.size") > 0)  # no two documents with words start at one place
+    found = [F.coalesce(f"b.{c}", F.lit(0)).cast("bigint").alias(c) for c in ("taken", "n_shards", "digest")]
+    joined = placed.alias("a").join(taken.alias("b"), same, "left").select("a.doc_id", "a.key", "a.size", *found)
+    return joined.join(targets, "key").select("doc_id", "size", "source_size", "target", "taken", "n_shards", "digest")
 
 
 def mixed_texts(docs: DataFrame) -> DataFrame:
