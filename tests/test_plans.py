@@ -145,6 +145,22 @@ def test_the_whole_run(spark, bronze, tmp_path):
     spark.sql("DROP DATABASE run_test CASCADE")
 
 
+def test_orders_that_change_month_are_not_doubled(spark, bronze, tmp_path):
+    orders = bronze["orders"].filter("order_id IN ('o1', 'o2')")
+    orders = orders.unionByName(orders.filter("order_id = 'o1'").withColumn("order_id", F.lit("o11")))
+    suites = {"products": SUITES["products"]}
+    moved = orders.filter("order_id <> 'o2'").withColumn("order_date", F.lit("2024-08-03 10:00:00"))
+    for k, batch in enumerate((orders, moved)):  # o2 stays in the month that the others leave, which the second batch does not name
+        bronze["orders"] = batch
+        medallion.run_medallion(spark, bronze, str(tmp_path / str(k)), ORDER_BY, NOW, suites, "run_moved", effective="2024-06-01")
+        found = spark.table("run_moved.fact_orders").collect()
+        if k == 0:
+            keys = {r["order_id"]: r["order_key"] for r in found}
+    assert sorted(r["order_id"] for r in found) == sorted(keys) and {r["order_id"]: r["order_key"] for r in found} == keys
+    assert {r["order_id"]: r["month"] for r in found if r["order_id"] != "o2"} == dict.fromkeys(set(keys) - {"o2"}, 8)
+    spark.sql("DROP DATABASE run_moved CASCADE")
+
+
 def test_gold_has_the_declared_types(spark, cleaned):
     for name, df in gold.build_gold(spark, cleaned, unknown_members=True).items():
         assert [(f.name, f.dataType) for f in df.schema.fields] == [(f.name, f.dataType) for f in schemas.GOLD[name].fields]

@@ -65,7 +65,7 @@ def load_warehouse(
 ) -> dict[str, DataFrame]:
     """The first batch fills the star schema; later ones are merged in, the fact by the months that they touch.
 
-    The tables' files lie under ``root``, the fact's in directories by year and month of the order day.
+    An order whose day changed leaves the month that it was in. The tables' files lie under ``root``, the fact's in directories by year and month of the order day.
     """
     warehouse.create_star_schema(spark, database, root)
     existing = {name: spark.table(f"{database}.{name}") for name in schemas.GOLD}
@@ -84,7 +84,7 @@ def load_warehouse(
         months = F.col("date_key")
         fact = gold["fact_orders"].withColumns({"year": F.floor(months / 10000).cast("int"), "month": F.floor(months / 100).cast("int") % 100})
         if filled:
-            warehouse.upsert_partitions(fact, path, ["order_id"], columns)
+            warehouse.upsert_partitions(fact, path, ["order_id"], columns, follow_moves=True)
         else:
             write_partitioned(fact, path, columns)
         kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.GOLD["fact_orders"].fields)

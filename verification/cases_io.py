@@ -381,6 +381,25 @@ def upsert_partitions(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+MOVED = "CASE o_orderstatus WHEN 'P' THEN 'F' WHEN 'F' THEN 'O' ELSE 'O' END"
+
+
+@case(
+    "upsert_partitions_moved",
+    f"""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 OR o_orderstatus = 'P' THEN {MOVED} ELSE o_orderstatus END AS o_orderstatus,
+      CASE WHEN o_orderkey % 2 = 0 OR o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def upsert_partitions_moved(spark, sf_dir):
+    """Some orders change state and leave their old partition, one partition with its last row."""
+    orders = given(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = scratch_path(spark, "by-status")
+    files.write_partitioned(orders, path, ["o_orderstatus"])
+    some = orders.filter("o_orderkey % 2 = 0 OR o_orderstatus = 'P'")
+    changed = some.withColumns({"o_orderstatus": F.expr(MOVED), "o_totalprice": -F.col("o_totalprice")})
+    warehouse.upsert_partitions(changed, path, ["o_orderkey"], ["o_orderstatus"], follow_moves=True)
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 @case(
     "source_health",
     " UNION ALL ".join(f"SELECT '{t}' AS source, true AS healthy, count(*) AS row_count FROM {t}" for t in ("orders", "lineitem", "customer", "part"))
