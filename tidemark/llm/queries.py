@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import tidemark
-from tidemark.llm import bpe, fingerprint, minhash, mixing, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
+from tidemark.llm import bpe, fingerprint, minhash, mixing, periodic_runs, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
 from tidemark.llm.labelled import held_out
 from tidemark.session import scratch_path
 
@@ -166,3 +166,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, apart = table(spark, sf_dir, "documents"), held_out(2, 7)
     return suffix_tree.score(docs, ~apart).withColumn("held_out", apart)
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summarised(periodic_runs.find_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents"))))
