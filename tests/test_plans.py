@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import NOW, ORDER_BY
+from tests.conftest import NOW, ORDER_BY
 from tidemark import schemas
 from tidemark.plans import gold, medallion, sales, silver
 from tidemark.quality import audits
