@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import tidemark
-from tidemark.llm import bpe, fingerprint, minhash, mixing, periodic_runs, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
+from tidemark.llm import bpe, fingerprint, impact_search, minhash, mixing, periodic_runs, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
 from tidemark.llm.labelled import held_out
 from tidemark.session import scratch_path
 
@@ -171,3 +171,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_periodic_runs")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summarised(periodic_runs.find_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents"))))
+
+
+SQL_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op12_impact_search",
+    f"""
+WITH d AS (SELECT doc_id, {SQL_TERMS} AS terms FROM documents),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+tf AS (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+postings AS (SELECT doc_id, n, term, count(*) AS tf FROM tf GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term),
+wanted AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({SQL_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM wanted JOIN weights USING (term) JOIN postings USING (term), totals GROUP BY item_id, doc_id
+),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
