@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import tidemark
-from tidemark.llm import bpe, fingerprint, impact_search, minhash, mixing, periodic_runs, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
+from tidemark.llm import bpe, fingerprint, impact_search, minhash, mixing, periodic_runs, personal_data, quality, substring_dedup, suffix_tree, token_counts, topk, toxicity
 from tidemark.llm.labelled import held_out
 from tidemark.session import scratch_path
 
@@ -195,3 +195,9 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return impact_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_personal_data")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.summarised(personal_data.find_spans(docs, personal_data.fit(docs)))
