@@ -183,10 +183,12 @@ def test_an_empty_table_keeps_the_filled_one(spark, tmp_path):
     base = str(tmp_path)
     assert files.write_layer({"t": spark.range(5)}, base, "gold") == {"t": 5}
     assert files.write_layer({"t": spark.range(0)}, base, "gold") == {"t": 0}
-    assert spark.read.parquet(f"{base}/gold/t").count() == 5 and os.listdir(f"{base}/gold") == ["t"]
+    table = layers.read_layer(spark, base, "gold", ["t"])["t"]
+    assert table.count() == 5 and os.listdir(f"{base}/gold") == ["t"]
+    assert len([f for f in os.listdir(f"{base}/gold/t") if f.startswith("version-")]) == 1
     assert files.write_layer({"new": spark.range(0)}, base, "gold") == {"new": 0}
-    assert spark.read.parquet(f"{base}/gold/new").columns == ["id"]
-    assert files.written_bytes(spark.read.parquet(f"{base}/gold/t").filter("id > 1")) == 5 * 16
+    assert layers.read_table(spark, f"{base}/gold/new").columns == ["id"]
+    assert files.written_bytes(table.filter("id > 1")) == 5 * 16
 
 
 def test_csv_columns_go_by_name(spark, tmp_path, caplog):

@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import sieve as sieves
 from tidemark.sinks.files import written_bytes
 
 # A reference is broadcast when its columns, measured, take no more than this.
@@ -98,6 +99,44 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     return spark.createDataFrame(parts, kind)
 
 
+def as_of_lookup(
+    facts: DataFrame,
+    versions: DataFrame,
+    fact_key: str,
+    day: Column,
+    version_key: str,
+    valid_from: str,
+    value: str,
+    broadcast_bytes: int | None = None,
+    hot_from: DataFrame | None = None,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """``facts`` with the ``value`` of the version that was valid on ``day``: the latest that had begun, or the first one if none had.
+
+    A missing day takes the latest version; a missing or unknown key gives NULL. The facts' distinct keys and days are put in order with
+    the versions, and the last version is carried forward; so a key costs its days plus its versions, not their product, and one with a
+    third of all facts has no more rows there than the calendar has days. The answers are joined back by key and day with
+    :func:`left_lookup`, which splits a hot day of a hot key. ``hot_from`` is an earlier form of ``facts`` that ``day`` can be taken of.
+    """
+    when = F.coalesce(day.cast("date"), F.lit("9999-12-31").cast("date"))
+    moment = F.concat(F.unix_date("_day").cast("string"), F.lit(":"), F.col("_id").cast("string"))
+    asked = facts.filter(F.col(fact_key).isNotNull()).select(F.col(fact_key).alias("_id"), when.alias("_day")).distinct()
+    known = versions.select(F.col(version_key).alias("_id"), F.col(valid_from).alias("_day"), F.col(value).alias("_value"))
+    nothing = F.lit(None).cast(versions.schema[value].dataType)
+    line = known.withColumn("_asked", F.lit(False)).unionByName(asked.withColumns({"_value": nothing, "_asked": F.lit(True)}))
+    order = Window.partitionBy("_id").orderBy("_day", "_asked")
+    begun = F.last("_value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = F.first("_value", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    answers = line.select(moment.alias("_moment"), "_asked", F.coalesce(begun, first).alias(value)).filter("_asked").drop("_asked")
+
+    def keyed(df: DataFrame) -> DataFrame:
+        at = F.concat(F.unix_date(when).cast("string"), F.lit(":"), F.col(fact_key).cast("string"))
+        return df.withColumn("_at", at)
+
+    hot = None if hot_from is None else keyed(hot_from)
+    return left_lookup(keyed(facts), answers, "_at", "_moment", broadcast_bytes=broadcast_bytes, hot_from=hot, spread_by=spread_by).drop("_at")
+
+
 def validate_foreign_keys(
     df: DataFrame,
     fk_column: str,
@@ -106,11 +145,23 @@ def validate_foreign_keys(
     broadcast_bytes: int | None = None,
     hot_from: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
+    stored: DataFrame | None = None,
+    sieve: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows whose key exists in the reference, and rows without a key."""
+    """Rows whose key exists in the reference or in ``stored`` (of the same key column), and rows without a key.
+
+    ``sieve`` is a :mod:`tidemark.operators.sieve` over the keys of ``stored``. If the keys are too many to broadcast, rows that it and a
+    sieve over the reference's keys refuse go before the shuffle; what passes is looked up exactly.
+    """
     if fk_column not in df.columns or pk_column not in reference.columns:
         return df
-    keys = reference.select(pk_column).filter(F.col(pk_column).isNotNull())
+    keys = reference.select(pk_column)
+    if stored is not None:
+        keys = keys.unionByName(stored.select(pk_column))
+    keys = keys.filter(F.col(pk_column).isNotNull())
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    if sieve is not None and measured_bytes(keys) > limit:
+        df = sieves.sifted(df, fk_column, sieves.with_keys(sieve, reference.select(pk_column), pk_column), broadcast_bytes=broadcast_bytes)
     known = keys.distinct().withColumn("_known", F.lit(True))
     joined = left_lookup(df, known, fk_column, pk_column, broadcast_bytes=broadcast_bytes, measured=keys, hot_from=hot_from, spread_by=spread_by)
     return joined.filter(F.col("_known") | F.col(fk_column).isNull()).drop("_known")

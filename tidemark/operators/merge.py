@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import require_unique
@@ -42,61 +42,61 @@ def scd2_merge(
     store: Store = leave,
     first_from: str | None = None,
 ) -> DataFrame:
-    """Type-2 history: a changed row is closed the day before ``effective`` and a new version added.
+    """Type-2 history: every version lasts until the day before the next one begins, whatever order the changes arrive in.
 
-    A version that began on that very day is replaced and keeps its key; one that began later makes the merge fail. A natural
-    key the dimension does not know gets its first version, from ``first_from`` or else from ``effective``; one that is missing from
-    ``incoming`` stays as it is. ``incoming`` must hold one row per natural key. Only the new versions are
-    numbered, after the largest key in use. With a ``store`` that writes, the versions are joined once and
-    read three times; otherwise the join may be repeated.
+    ``effective`` as text is the day of ``incoming`` as a whole, one row for each natural key: a row that differs from the version in force
+    on that day begins a new one there, also between older ones. As a column it is the day of each row, of which a natural
+    key may have many: each is a change from its day on and begins a version, so that shuffled batches give the history of sorted ones.
+    A change on the very day a version began replaces its attributes; the version keeps its key. A natural key that is new
+    gets its first version, of a whole from ``first_from`` if given; one that is missing from ``incoming`` stays as it is, and so do columns of
+    the dimension that are neither key, attribute nor period. Rows without a natural key are left out; a day may not be missing.
+
+    Old versions and changes meet in one shuffle by natural key; all else are windows over that order. New versions are numbered after
+    the largest key in use. With a ``store`` that writes, this is done once; otherwise reading the result may repeat it.
     """
-    require_unique(incoming, [natural_key], "the source of a history")
-    effective = F.lit(effective).cast("date") if isinstance(effective, str) else effective
-    first = effective if first_from is None else F.lit(first_from).cast("date")
-    columns = dimension.columns
-    current = dimension.filter("is_current")
-    new = incoming.select(
-        F.col(natural_key).alias("_id"), *[F.col(a).alias(f"_new_{a}") for a in attributes]
-    )
-    paired = current.join(new, F.col(natural_key) == F.col("_id"), "full")
-    changed = F.lit(False)
-    for a in attributes:
-        changed = changed | ~F.col(a).eqNullSafe(F.col(f"_new_{a}"))
-    has_old, has_new = F.col(natural_key).isNotNull(), F.col("_id").isNotNull()
-    differs = has_old & has_new & changed
-    if not paired.filter(differs & (F.col("valid_from") > effective)).isEmpty():
-        raise ValueError("a version begins after the effective day")
-    replaced = differs & (F.col("valid_from") == effective)
-    closes = differs & ~replaced
-    old_values = {c: F.col(c) for c in columns}
-    old_values.update({a: F.when(replaced, F.col(f"_new_{a}")).otherwise(F.col(a)) for a in attributes})
-    old_values["valid_to"] = F.when(closes, F.date_sub(effective, 1)).otherwise(F.col("valid_to"))
-    old_values["is_current"] = ~closes
-    new_values = {c: F.lit(None).cast(dimension.schema[c].dataType) for c in columns}
-    new_values.update({a: F.col(f"_new_{a}") for a in attributes})
-    new_values.update(
-        {
-            natural_key: F.col("_id"),
-            "valid_from": F.when(has_old, effective).otherwise(first),
-            "valid_to": F.lit(OPEN_END).cast("date"),
-            "is_current": F.lit(True),
-        }
-    )
-
-    def version(values: dict[str, Column]) -> Column:
-        typed = [values[f.name].cast(f.dataType).alias(f.name) for f in dimension.schema.fields]
-        return F.struct(*typed)
-
-    versions = F.array_compact(
-        F.array(F.when(has_old, version(old_values)), F.when(has_new & (~has_old | closes), version(new_values)))
-    )
-    merged = store("versions", paired.select(F.inline(versions)))
-    last_key = dimension.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
-    added = surrogate_key(
-        merged.filter(F.col(surrogate).isNull()).drop(surrogate), surrogate, [natural_key], start=last_key
-    ).select(*columns)
-    return (
-        dimension.filter("not is_current")
-        .unionByName(merged.filter(F.col(surrogate).isNotNull()))
-        .unionByName(added)
-    )
+    whole = isinstance(effective, str)
+    day = F.lit(effective) if whole else F.coalesce(effective, F.raise_error(F.lit("a change without a day")))
+    changes = incoming.select(natural_key, *attributes, day.cast("date").alias("valid_from")).filter(F.col(natural_key).isNotNull())
+    require_unique(changes, [natural_key, "valid_from"], "the source of a history")
+    merged = store("versions", _versions(dimension, changes, natural_key, list(attributes), surrogate, whole, first_from))
+    last_key = merged.agg(F.coalesce(F.max(surrogate), F.lit(0))).scalar()
+    unkeyed = merged.filter(F.col(surrogate).isNull()).drop(surrogate)
+    order = [natural_key] if whole else [natural_key, "valid_from"]
+    added = surrogate_key(unkeyed, surrogate, order, start=F.greatest(last_key, F.lit(0))).select(*dimension.columns)
+    return merged.filter(F.col(surrogate).isNotNull()).unionByName(added)
+
+
+def _versions(
+    dimension: DataFrame, changes: DataFrame, natural_key: str, attributes: list[str], surrogate: str, whole: bool, first_from: str | None
+) -> DataFrame:
+    """The versions after ``changes``, new ones without a key."""
+    columns, kinds = dimension.columns, {f.name: f.dataType for f in dimension.schema.fields}
+    given = {natural_key, "valid_from", *attributes}
+    fresh = changes.select(*[(F.col(c) if c in given else F.lit(None)).cast(kinds[c]).alias(c) for c in columns], F.lit(True).alias("_new"))
+    both = dimension.withColumn("_new", F.lit(False)).unionByName(fresh)
+    history = Window.partitionBy(natural_key).orderBy("valid_from", "_new")
+
+    def near(shift, c: str | Column) -> Column:
+        return shift(c).over(history)
+
+    # A change on the day a version began: the change takes over what the version has besides its attributes.
+    with_next = near(F.lead, "_new") & (near(F.lead, "valid_from") == F.col("valid_from")) & ~F.col("_new")
+    with_last = F.col("_new") & ~near(F.lag, "_new") & (near(F.lag, "valid_from") == F.col("valid_from"))
+    paired = both.withColumns({"_replaced": F.coalesce(with_next, F.lit(False)), "_replaces": F.coalesce(with_last, F.lit(False))})
+    inherited = {c: F.when(F.col("_replaces"), near(F.lag, c)).otherwise(F.col(c)) for c in columns if c not in given}
+    kept = paired.withColumns(inherited).filter("NOT _replaced").withColumn("_new", F.col("_new") & ~F.col("_replaces"))
+    if whole:  # what is in force on the day says the same: the version before or, before all versions, the first one
+        state = F.struct(*attributes)
+        in_force = F.coalesce(near(F.lag, state), near(F.lead, state))
+        known = near(F.lag, "_new").isNotNull() | near(F.lead, "_new").isNotNull()
+        kept = kept.withColumns({"_said": F.col("_new") & known & state.eqNullSafe(in_force), "_known": known}).filter("NOT _said")
+        if first_from is not None:
+            first = F.col("_new") & ~F.col("_known")
+            kept = kept.withColumn("valid_from", F.when(first, F.lit(first_from).cast("date")).otherwise(F.col("valid_from")))
+    kept = kept.withColumns({"_next": near(F.lead, "valid_from"), "_next_new": F.coalesce(near(F.lead, "_new"), F.lit(False))})
+    until, new = F.date_sub("_next", 1), F.col("_new")
+    periods = {
+        "valid_to": F.when(new, F.coalesce(until, F.lit(OPEN_END).cast("date"))).when(F.col("_next_new"), F.least("valid_to", until)).otherwise(F.col("valid_to")),
+        "is_current": F.when(new, F.col("_next").isNull()).otherwise(F.col("is_current") & ~F.col("_next_new")),
+    }
+    return kept.withColumns(periods).select(*columns)

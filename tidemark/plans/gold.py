@@ -11,7 +11,7 @@ from tidemark import schemas
 from tidemark.functions import dates, money
 from tidemark.operators.conform import conformed, misfits
 from tidemark.operators.keys import kept_keys, surrogate_key
-from tidemark.operators.lookup import left_lookup
+from tidemark.operators.lookup import as_of_lookup, left_lookup
 from tidemark.operators.merge import OPEN_END, scd2_merge, upsert_rows
 from tidemark.sinks.files import Store, leave
 
@@ -88,34 +88,22 @@ def fact_key_lookup(
 ) -> DataFrame:
     """Surrogate keys for natural ones, -1 where there is none.
 
-    ``as_of`` takes the customer version that was valid on the day of the order; use it once the
-    dimension holds history.
+    ``as_of`` takes the customer version that was valid on the day of the order, of which the first counts from the beginning of time
+    on and the last one for orders without a date; use it once the dimension holds history.
     """
     hot_from = orders if hot_from is None else hot_from
     spread_by = ["order_id"] if "order_id" in orders.columns else None
-    customer_columns = ["customer_key", F.col("customer_id").alias("_customer")]
-    in_period = None
+    options = {"broadcast_bytes": broadcast_bytes, "hot_from": hot_from, "spread_by": spread_by}
     if as_of:
-        customer_columns += [F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")]
-        in_period = F.col("order_date").cast("date").between(F.col("_from"), F.col("_to"))
-    found = left_lookup(
-        orders,
-        customers.select(*customer_columns),
-        "customer_id",
-        "_customer",
-        also=in_period,
-        broadcast_bytes=broadcast_bytes,
-        hot_from=hot_from,
-        spread_by=spread_by,
-    ).drop("_from", "_to")
+        found = as_of_lookup(orders, customers, "customer_id", F.col("order_date"), "customer_id", "valid_from", "customer_key", **options)
+    else:
+        found = left_lookup(orders, customers.select("customer_key", F.col("customer_id").alias("_customer")), "customer_id", "_customer", **options)
     found = left_lookup(
         found,
         products.select("product_key", F.col("product_id").alias("_product")),
         "product_id",
         "_product",
-        broadcast_bytes=broadcast_bytes,
-        hot_from=hot_from,
-        spread_by=spread_by,
+        **options,
     )
     unknown = F.lit(UNKNOWN_KEY).cast("bigint")
     return found.withColumns(
@@ -147,11 +135,11 @@ def fact_orders(
     """One row per order line, with all columns or only ``columns``; keys that are not asked for are not looked up.
 
     Orders are numbered before the look-ups: the pass that sizes the key buckets then reads nothing but
-    the order id, and that for hot keys nothing but the foreign key. Orders of the fact ``known`` keep their key.
+    the order id, and that for hot keys nothing but the foreign key. Orders that bring their ``order_key`` keep it, as do orders of the fact ``known``.
     """
     columns = list(columns or schemas.GOLD["fact_orders"].names)
     found = orders
-    if "order_key" in columns:
+    if "order_key" in columns and "order_key" not in found.columns:
         found = surrogate_key(found, "order_key", ["order_id"]) if known is None else kept_keys(found, known, "order_key", "order_id")
     if "customer_key" in columns or "product_key" in columns:
         found = fact_key_lookup(found, customers, products, as_of, broadcast_bytes, hot_from=orders)
@@ -183,11 +171,18 @@ def build_gold(
     gold = {name: store(name, df) for name, df in gold.items()}
     if "orders" in silver and "dim_customer" in gold and "dim_product" in gold:
         fact = fact_orders(silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"])
-        rejected("fact_orders", misfits(fact, "fact_orders"))
-        gold["fact_orders"] = store("fact_orders", conformed(fact, "fact_orders"))
+        gold["fact_orders"] = _fitting(fact, store, rejected)
     return gold
 
 
+def _fitting(fact: DataFrame, store: Store, rejected: Store) -> DataFrame:
+    """The fact rows that fit; the others go to ``rejected``. If both are written, all rows are first, so that keys are looked up once."""
+    if rejected is not leave:
+        fact = store("fact_checked", fact)
+    rejected("fact_orders", misfits(fact, "fact_orders"))
+    return store("fact_orders", conformed(fact, "fact_orders"))
+
+
 def incremental_gold(
     spark: SparkSession,
     silver: Mapping[str, DataFrame],
@@ -196,27 +191,29 @@ def incremental_gold(
     store: Store = leave,
     rejected: Store = leave,
 ) -> dict[str, DataFrame]:
-    """A later batch: the dimensions with the batch merged in, and the fact rows of the batch alone.
+    """A later batch of whatever tables: the dimensions with the batch merged in, and the fact rows of the batch alone.
 
-    Known customers, products and orders keep their keys and new ones are numbered from the largest on. Changed customers get a new
-    version from ``effective`` on, and each order the version of its day. The fact rows are to be upserted by order id.
+    Known customers, products and orders keep their keys and new ones are numbered from the largest on; a dimension without a batch stays. Changed
+    customers get a new version from ``effective`` on, and each order the version of its day. The fact rows are to be upserted by order id;
+    orders that bring an ``order_key`` keep it, for the others ``existing`` needs the fact.
     """
-    gold = {"dim_date": existing["dim_date"]}
-    gold["dim_customer"] = store(
-        "dim_customer",
-        scd2_merge(
-            existing["dim_customer"], silver["customers"], "customer_id", CUSTOMER_ATTRIBUTES, effective, "customer_key",
-            store, FIRST_VALID_FROM,
-        ),
-    )
-    described = _described_products(silver["products"])
-    batch = conformed(kept_keys(described, existing["dim_product"], "product_key", "product_id"), "dim_product")
-    gold["dim_product"] = store("dim_product", upsert_rows(existing["dim_product"], store("product_batch", batch), ["product_id"]))
-    fact = fact_orders(
-        silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"], as_of=True, known=existing["fact_orders"]
-    )
-    rejected("fact_orders", misfits(fact, "fact_orders"))
-    gold["fact_orders"] = store("fact_orders", conformed(fact, "fact_orders"))
+    gold = {name: existing[name] for name in ("dim_date", "dim_customer", "dim_product")}
+    if "customers" in silver:
+        gold["dim_customer"] = store(
+            "dim_customer",
+            scd2_merge(
+                existing["dim_customer"], silver["customers"], "customer_id", CUSTOMER_ATTRIBUTES, effective, "customer_key",
+                store, FIRST_VALID_FROM,
+            ),
+        )
+    if "products" in silver:
+        described = _described_products(silver["products"])
+        batch = conformed(kept_keys(described, existing["dim_product"], "product_key", "product_id"), "dim_product")
+        gold["dim_product"] = store("dim_product", upsert_rows(existing["dim_product"], store("product_batch", batch), ["product_id"]))
+    if "orders" in silver:
+        known = None if "order_key" in silver["orders"].columns else existing["fact_orders"]
+        fact = fact_orders(silver["orders"], gold["dim_customer"], gold["dim_product"], gold["dim_date"], as_of=True, known=known)
+        gold["fact_orders"] = _fitting(fact, store, rejected)
     return gold
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,27 +69,55 @@ def silver_orders(df: DataFrame, order_by: Sequence[str], now=None) -> DataFrame
     return processed_at(df, now)
 
 
+PARENTS = (("customers", "customer_id"), ("products", "product_id"))
+
+
 def valid_orders(
-    orders: DataFrame, silver: Mapping[str, DataFrame], broadcast_bytes: int | None = None
+    orders: DataFrame,
+    silver: Mapping[str, DataFrame],
+    broadcast_bytes: int | None = None,
+    known: Mapping[str, DataFrame] | None = None,
+    sieves: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Orders whose customer and product, where given, survived the cleaning."""
-    kept = orders
-    for name, key in (("customers", "customer_id"), ("products", "product_id")):
-        if name in silver:
-            kept = lookup.validate_foreign_keys(kept, key, silver[name], key, broadcast_bytes, hot_from=orders, spread_by=["order_id"])
+    """Orders whose customer and product, where given, survived the cleaning or are ``known`` from earlier batches."""
+    kept, known, sieves = orders, known or {}, sieves or {}
+    for name, key in PARENTS:
+        if name in silver or name in known:
+            reference = silver.get(name, known.get(name))
+            stored, sieve = (known.get(name), sieves.get(name)) if name in silver else (None, None)
+            kept = lookup.validate_foreign_keys(
+                kept, key, reference, key, broadcast_bytes, hot_from=orders, spread_by=["order_id"], stored=stored, sieve=sieve
+            )
     return kept
 
 
+def missing_parents(orders: DataFrame, silver: Mapping[str, DataFrame], known: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """``column_name``, ``value`` and ``rows`` of the customers and products that orders name and neither the batch nor an earlier one has."""
+    parts, known = [], known or {}
+    for name, key in PARENTS:
+        sources = [tables[name].select(key) for tables in (silver, known) if name in tables]
+        if sources:
+            orphans = lookup.orphan_rows(orders, key, reduce(DataFrame.unionByName, sources), key)
+            parts.append(orphans.select(F.lit(key).alias("column_name"), F.col(key).alias("value"), "rows"))
+    if not parts:
+        return orders.sparkSession.createDataFrame([], "column_name string, value string, rows bigint")
+    return reduce(DataFrame.unionByName, parts)
+
+
 def build_silver(
     bronze: Mapping[str, DataFrame],
     order_by: Mapping[str, Sequence[str]],
     now=None,
     normalize_first: bool = False,
     store: Store = leave,
+    known: Mapping[str, DataFrame] | None = None,
+    sieves: Mapping[str, DataFrame] | None = None,
+    rejected: Store = leave,
 ) -> dict[str, DataFrame]:
     """Whichever of customers, products and orders are given. ``order_by`` decides which duplicate is first.
 
-    With a ``store`` that writes, orders are checked against customers and products read from files.
+    With a ``store`` that writes, orders are checked against customers and products read from files. ``known`` are customers and products of
+    earlier batches, by their ids, which orders may name too, and ``sieves`` those over their ids. What orders name and nobody knows goes to ``rejected``, counted.
     """
     silver: dict[str, DataFrame] = {}
     if "customers" in bronze:
@@ -97,6 +126,8 @@ def build_silver(
     if "products" in bronze:
         silver["products"] = store("products", silver_products(bronze["products"], order_by["products"], now))
     if "orders" in bronze:
-        orders = silver_orders(valid_orders(bronze["orders"], silver), order_by["orders"], now)
+        if rejected is not leave:
+            rejected("missing_parents", missing_parents(bronze["orders"], silver, known))
+        orders = silver_orders(valid_orders(bronze["orders"], silver, known=known, sieves=sieves), order_by["orders"], now)
         silver["orders"] = store("orders", orders)
     return silver

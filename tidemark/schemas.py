@@ -78,6 +78,8 @@ NATURAL_KEYS = {
     "dim_product": ["product_id"],
     "fact_orders": ["order_id"],
 }
+# The column in which warehouse tables keep the time that a row was loaded.
+LOADED_AT = "created_at"
 PRIMARY_KEYS = {
     "dim_date": "date_key",
     "dim_customer": "customer_key",

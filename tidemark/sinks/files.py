@@ -7,11 +7,11 @@ import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.layers import table_path
+from tidemark.sources.layers import POINTER, current_path, read_table, table_path
 
 log = logging.getLogger(__name__)
 
@@ -31,21 +31,25 @@ CSV_OPTIONS = {
 
 def write_csv(
     df: DataFrame, path: str, delimiter: str = ",", encoding: str = "UTF-8", mode: str = "overwrite"
-) -> None:
-    """With a header in each file, values as they are, quotes doubled."""
-    df.write.mode(mode).options(**CSV_OPTIONS, sep=delimiter, encoding=encoding).csv(path)
+) -> int | None:
+    """With a header in each file, values as they are, quotes doubled. Overwriting goes by :func:`_replaced` and returns the rows."""
+    writer = lambda rows: rows.write.format("csv").options(**CSV_OPTIONS, sep=delimiter, encoding=encoding)
+    if mode == "overwrite":
+        return _replaced(df, path, writer)
+    writer(df).mode(mode).save(path)
+    return None
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    """JSON Lines, which can be split and appended to."""
-    df.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str) -> int:
+    """JSON Lines, which can be split and appended to. Returns the rows."""
+    return _replaced(df, path, lambda rows: rows.write.format("json"))
 
 
 def write_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dict[str, int]:
     """Write each table as Snappy Parquet under ``base/layer/name``; returns the rows per table.
 
-    The rows are counted while writing. An empty table leaves a directory with its schema, so that
-    reading the layer works, unless an earlier version is there: that one stays.
+    The rows are counted while writing. An empty table leaves a version with its schema, so that
+    reading the layer works, unless an earlier version is there: that one stays. ``layers.read_layer`` reads the current versions.
     """
     rows = {}
     for name, df in tables.items():
@@ -64,12 +68,13 @@ def layer_store(base: str, layer: str) -> Store:
     """Write each table and go on with what was written.
 
     Later steps then read only the columns they need, never repeat the cleaning, and survive the loss of
-    an executor without going back to bronze.
+    an executor without going back to bronze. Where nothing was written, they go on with no rows, not with those of an earlier run.
     """
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        write_layer({name: df}, base, layer)
-        return df.sparkSession.read.parquet(table_path(base, layer, name))
+        if write_layer({name: df}, base, layer)[name] == 0:
+            return df.sparkSession.createDataFrame([], df.schema)
+        return read_table(df.sparkSession, table_path(base, layer, name))
 
     return store
 
@@ -89,13 +94,18 @@ def write_object_store(df: DataFrame, path: str, data_format: str = "parquet") -
     return rows > 0 and verify_write(df.sparkSession, path, rows, data_format)
 
 
-# Bytes of the tables written in this session, by path (see ``written_bytes``).
+# Bytes of the table versions written in this session, by folder (see ``written_bytes``). A version is written once, so a size holds for good.
 _WRITTEN: dict[str, int] = {}
 
 
 def _write_counted(df: DataFrame, path: str, data_format: str) -> int:
-    """Write beside ``path`` and move into place, so that a failed write leaves what was there, as does one of no rows."""
-    seen, place = Observation(), f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    """Write a version of its own under ``path`` and let the pointer name it; returns the rows.
+
+    No data file is moved or overwritten: readers see the version before until the pointer, one small file, is replaced. A failed
+    write leaves it as it is, as does one of no rows where there is a version with rows. The version before the last one goes.
+    """
+    spark, version = df.sparkSession, f"version-{uuid.uuid4().hex}"
+    place, seen = f"{path.rstrip('/')}/{version}", Observation()
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     text = sum((F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)) for c in strings), start=F.lit(0))
     size = F.count(F.lit(1)) * 16 * len(df.columns) + text
@@ -105,12 +115,47 @@ def _write_counted(df: DataFrame, path: str, data_format: str) -> int:
     else:
         writer = writer.options(**CSV_OPTIONS)
     writer.save(place)
-    rows = seen.get["rows"]
-    if _move(df.sparkSession, place, path, replace=rows > 0):
-        _WRITTEN[_plain(path)] = seen.get["bytes"]
+    rows, before = seen.get["rows"], current_path(spark, path)
+    if rows == 0 and before != path:
+        _remove(spark, place)
+        return 0
+    _point(spark, path, version)
+    _WRITTEN[_plain(place)] = seen.get["bytes"]
+    for folder in _folders(spark, path):
+        if folder not in (version, before.rsplit("/", 1)[-1]):
+            _remove(spark, f"{path.rstrip('/')}/{folder}")
     return rows
 
 
+def _point(spark: SparkSession, path: str, version: str) -> None:
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}")
+    stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(pointer, True)
+    stream.write(bytearray(version, "utf-8"))
+    stream.close()
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """The versions under ``path``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder) if f.getPath().getName().startswith("version-")]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _replaced(df: DataFrame, path: str, writer: Callable[[DataFrame], DataFrameWriter]) -> int:
+    """Write beside ``path`` and take its place; returns the rows. A failed write leaves what was there, as does one of no rows.
+
+    For plain folders that others read by their path; layers and tables are switched by pointers instead.
+    """
+    seen, place = Observation(), f"{path.rstrip('/')}__{uuid.uuid4().hex}"
+    writer(df.observe(seen, F.count(F.lit(1)).alias("rows"))).save(place)
+    _move(df.sparkSession, place, path, replace=seen.get["rows"] > 0)
+    return seen.get["rows"]
+
+
 def _move(spark: SparkSession, source: str, target: str, replace: bool) -> bool:
     """Put ``source`` in the place of ``target``; if that exists and is not to be replaced, drop ``source``."""
     jvm = spark._jvm.org.apache.hadoop.fs
@@ -134,19 +179,31 @@ def _plain(path: str) -> str:
 
 
 def written_bytes(df: DataFrame) -> int | None:
-    """Bytes of the one table written in this session that ``df`` reads, as counted then; an upper bound for its columns."""
-    folders = {_plain(f.rsplit("/", 1)[0]) for f in df.inputFiles()}
-    return _WRITTEN.get(folders.pop()) if len(folders) == 1 else None
+    """Bytes of the one table version written in this session that ``df`` reads, as counted then; an upper bound for its columns.
+
+    The folder is taken from the plan, without a list of its files.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    if leaves.length() != 1 or leaves.apply(0).getClass().getSimpleName() != "LogicalRelation":
+        return None
+    relation = leaves.apply(0).relation()
+    if relation.getClass().getSimpleName() != "HadoopFsRelation" or relation.location().rootPaths().length() != 1:
+        return None
+    return _WRITTEN.get(_plain(relation.location().rootPaths().apply(0).toString()))
 
 
-def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Hive directories ``col=value``. Rows without a value go to the default partition.
+def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> int:
+    """Hive directories ``col=value``. Rows without a value go to the default partition. Returns the rows; no rows replace none.
 
     The rebalance hint gathers each value in few files and splits a value that is too large for one
     task, where a plain ``repartition`` by value would not.
     """
-    balanced = df.hint("rebalance", *[F.col(c) for c in columns])
-    balanced.write.mode("overwrite").option("compression", "snappy").partitionBy(*columns).parquet(path)
+
+    def writer(rows: DataFrame) -> DataFrameWriter:
+        balanced = rows.hint("rebalance", *[F.col(c) for c in columns])
+        return balanced.write.format("parquet").option("compression", "snappy").partitionBy(*columns)
+
+    return _replaced(df, path, writer)
 
 
 def list_dataset_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
@@ -159,6 +216,7 @@ def list_dataset_files(spark: SparkSession, path: str, pattern: str = "*") -> Da
 
 def verify_write(spark: SparkSession, path: str, rows: int, data_format: str = "parquet") -> bool:
     """The files are there, none is empty, and they hold ``rows`` rows."""
+    path = current_path(spark, path)
     size = list_dataset_files(spark, path, f"*.{data_format}").agg(
         F.count(F.lit(1)).alias("files"), F.count_if(F.col("size_bytes") == 0).alias("empty")
     ).first()

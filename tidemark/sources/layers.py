@@ -11,8 +11,31 @@ def table_path(base: str, layer: str, name: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{name}"
 
 
+# The file that names the version of a table that counts.
+POINTER = "_CURRENT"
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """The folder that the table's pointer names, or ``path`` itself where there is none."""
+    jvm = spark._jvm
+    pointer = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}")
+    system = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(pointer):
+        return path
+    stream = system.open(pointer)
+    try:
+        return f"{path.rstrip('/')}/{jvm.org.apache.commons.io.IOUtils.toString(stream, 'UTF-8').strip()}"
+    finally:
+        stream.close()
+
+
+def read_table(spark: SparkSession, path: str, data_format: str = "parquet", **options: str) -> DataFrame:
+    """The current version of a table that was written in versions, or any folder of files."""
+    return spark.read.format(data_format).options(**options).load(current_path(spark, path))
+
+
 def read_layer(spark: SparkSession, base: str, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(table_path(base, layer, name)) for name in names}
+    return {name: read_table(spark, table_path(base, layer, name)) for name in names}
 
 
 def sql_query(

@@ -11,7 +11,7 @@ from tidemark.quality import audits, checks
 from tidemark.quality.suites import SUITES
 from tidemark.session import scratch_path
 from tidemark.sinks import files
-from tidemark.sources import delimited
+from tidemark.sources import delimited, layers
 from verification import tables_sql as q
 from verification.bronze import NOW, given, raw_customers, raw_products
 from verification.cases_io import CUSTOMERS, CUSTOMERS_SQL
@@ -166,7 +166,7 @@ def publish_empty(spark, sf_dir):
     base, parts = scratch_path(spark, "store"), given(spark, sf_dir, "part")
     files.publish_layer({"part": parts}, base, "silver")
     published = files.publish_layer({"part": parts.filter("p_partkey IS NULL")}, base, "silver")["part"]
-    back = spark.read.parquet(f"{base}/silver/part").agg(F.count(F.lit(1)).alias("row_count"))
+    back = layers.read_layer(spark, base, "silver", ["part"])["part"].agg(F.count(F.lit(1)).alias("row_count"))
     return back.withColumn("published", F.lit(published))
 
 
@@ -176,7 +176,7 @@ def write_object_store_multiline(spark, sf_dir):
     path, parts = scratch_path(spark, "object"), given(spark, sf_dir, "part")
     broken = parts.select("p_partkey", F.concat("p_name", F.lit("\n"), "p_brand").alias("text"))
     verified = files.write_object_store(broken, path, "csv")
-    back = spark.read.options(**files.CSV_OPTIONS, multiLine="true").csv(path).filter(F.contains("text", F.lit("\n")))
+    back = layers.read_table(spark, path, "csv", **files.CSV_OPTIONS, multiLine="true").filter(F.contains("text", F.lit("\n")))
     return back.agg(F.count(F.lit(1)).alias("row_count")).withColumn("verified", F.lit(verified))
 
 
