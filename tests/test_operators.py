@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import dedup, filters, keys, lookup, merge, nulls
+from tidemark.operators import dedup, filters, keys, lookup, merge, nulls, sieve
 
 
 def rows(df, *order):
@@ -244,8 +244,85 @@ def test_history(spark):
     assert again.count() == third.count() and again.filter("valid_from > valid_to").isEmpty()
     with pytest.raises(ValueError, match="repeats"):
         merged(first, [("c-1", "A"), ("c-1", "B")], "2026-01-01")
-    with pytest.raises(ValueError, match="after"):
-        merged(first, [("c-777", "A")], "2025-05-01")
+    late = merged(first, [("c-777", "A"), ("c-1", None), ("c-2", "BA")], "2025-05-01")  # before the version of June; the others say nothing new
+    states = [(r["state"], str(r["valid_from"]), str(r["valid_to"]), r["is_current"]) for r in late.filter("customer_id = 'c-777'").orderBy("valid_from").collect()]
+    assert states == [("SP", "2024-01-01", "2025-04-30", False), ("A", "2025-05-01", "2025-05-31", False), ("RJ", "2025-06-01", "9999-12-31", True)]
+    assert late.count() == 6 and sorted(r["customer_key"] for r in late.collect()) == [1, 2, 3, 4, 5, 6]
     spans = third.alias("a").join(third.alias("b"), F.expr(
         "a.customer_id = b.customer_id AND a.customer_key < b.customer_key AND a.valid_from <= b.valid_to AND b.valid_from <= a.valid_to"))
     assert spans.isEmpty()
+
+
+def test_shuffled_changes_give_the_history_of_sorted_ones(spark):
+    rng = random.Random(1)
+    kinds = "id string, v string, day string"
+    changes = [(f"c{i}", rng.choice("ABC"), f"2024-0{m}-1{i % 10}") for i in range(12) for m in range(1, 8) if rng.random() < 0.6]
+    empty = spark.createDataFrame([(-1, "unknown", None, "1900-01-01", "9999-12-31", True)], "k bigint, id string, v string, valid_from string, valid_to string, is_current boolean")
+    empty = empty.withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+
+    def history(batches):
+        dimension = empty
+        for batch in batches:
+            incoming = spark.createDataFrame(batch, kinds)
+            merged = merge.scd2_merge(dimension, incoming, "id", ["v"], F.col("day").cast("date"), "k")
+            dimension = spark.createDataFrame(merged.collect(), empty.schema)
+        return dimension.collect()
+
+    def periods(rows):
+        return sorted((r["id"], r["v"] or "", r["valid_from"], r["valid_to"], r["is_current"]) for r in rows)
+
+    whole = history([sorted(changes, key=lambda c: c[2])])
+    mixed = rng.sample(changes, len(changes))
+    parts = history([mixed[:10], mixed[10:25], mixed[25:]])
+    assert periods(parts) == periods(whole) and len(whole) == len(changes) + 1
+    assert sorted(r["k"] for r in parts) == [-1, *range(1, len(changes) + 1)]  # an unknown member alone does not make 0 a key
+    for i in {c[0] for c in changes}:
+        own = sorted((r for r in parts if r["id"] == i), key=lambda r: r["valid_from"])
+        assert [r["is_current"] for r in own] == [False] * (len(own) - 1) + [True]
+        assert all((b["valid_from"] - a["valid_to"]).days == 1 for a, b in zip(own, own[1:], strict=False))
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_as_of_lookup(spark, broadcast_bytes):
+    versions = spark.createDataFrame([("a", "2024-01-01", 1), ("a", "2024-03-01", 2), ("b", "2024-02-01", 3)], "vid string, day string, k bigint")
+    versions = versions.withColumn("day", F.col("day").cast("date"))
+    facts = spark.createDataFrame(
+        [(1, "a", "2024-02-28 10:00:00"), (2, "a", "2024-03-01 00:00:00"), (3, "a", "2020-01-01 00:00:00"), (4, "a", None), (5, "b", "2030-01-01 00:00:00"),
+         (6, None, "2024-01-01 00:00:00"), (7, "x", None), (8, "a", "2024-02-28 10:00:00")], "n int, id string, at string",
+    ).withColumn("at", F.col("at").cast("timestamp"))
+    found = lookup.as_of_lookup(facts, versions, "id", F.col("at"), "vid", "day", "k", broadcast_bytes, hot_from=facts)
+    assert found.columns == ["n", "id", "at", "k"]
+    assert [r["k"] for r in found.orderBy("n").collect()] == [1, 2, 1, 2, 3, None, None, 1]
+
+
+def test_many_versions_cost_their_number_not_a_product(spark):
+    """Ten thousand versions and as many facts of one key: no operator makes more rows than versions and facts together."""
+    versions = spark.range(10_000).selectExpr("'a' AS vid", "date_add(date'1990-01-01', CAST(id AS INT)) AS day", "id AS k")
+    facts = spark.range(10_000).selectExpr("id AS n", "'a' AS id", "date_add(date'1990-01-01', CAST(id AS INT)) AS at")
+    found = lookup.as_of_lookup(facts, versions, "id", F.col("at"), "vid", "day", "k")
+    assert found.filter("k = n").count() == 10_000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Window" in plan
+
+
+def test_sieves(spark):
+    blocks = sieve.blocks_for(3000)
+    ids = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"))
+    whole = sieve.sieve(ids, "k", blocks)
+    parts = sieve.with_keys(sieve.sieve(ids.filter("length(k) < 4"), "k", blocks), ids.filter("length(k) >= 4"), "k")
+    assert sorted((r["block"], bytes(r["bits"])) for r in whole.collect()) == sorted((r["block"], bytes(r["bits"])) for r in parts.collect())
+    assert 0 < sieve.fill(whole) < 0.5
+    asked = spark.range(9000).selectExpr("CASE WHEN id = 8999 THEN NULL ELSE concat('k', id) END AS k", "id")
+    for limit in (None, 0):
+        passed = {r["id"] for r in sieve.sifted(asked, "k", parts, limit).collect()}
+        assert set(range(3000)) <= passed and 8999 in passed and len(passed) < 3000 + 100
+    with pytest.raises(ValueError, match="sizes"):
+        sieve.n_blocks(whole.unionByName(sieve.sieve(ids, "k", blocks + 1)))
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_foreign_keys_of_the_batch_and_of_earlier_ones(spark, limit):
+    orders = spark.createDataFrame([("d", "c1"), ("e", "c2"), ("f", "c9"), ("g", None)], "id string, key string")
+    batch, stored = spark.createDataFrame([("c2",)], "pk string"), spark.createDataFrame([("c1",), ("c3",)], "pk string")
+    kept = lookup.validate_foreign_keys(orders, "key", batch, "pk", limit, stored=stored, sieve=sieve.sieve(stored, "pk", 1))
+    assert sorted(r["id"] for r in kept.collect()) == ["d", "e", "g"]

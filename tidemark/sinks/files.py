@@ -7,6 +7,8 @@ import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,14 +37,14 @@ def write_csv(
     """With a header in each file, values as they are, quotes doubled. Overwriting goes by :func:`_replaced` and returns the rows."""
     writer = lambda rows: rows.write.format("csv").options(**CSV_OPTIONS, sep=delimiter, encoding=encoding)
     if mode == "overwrite":
-        return _replaced(df, path, writer)
+        return _replaced(df, path, "csv", writer)
     writer(df).mode(mode).save(path)
     return None
 
 
 def write_json(df: DataFrame, path: str) -> int:
     """JSON Lines, which can be split and appended to. Returns the rows."""
-    return _replaced(df, path, lambda rows: rows.write.format("json"))
+    return _replaced(df, path, "json", lambda rows: rows.write.format("json"))
 
 
 def write_layer(tables: Mapping[str, DataFrame], base: str, layer: str) -> dict[str, int]:
@@ -115,18 +117,31 @@ def _write_counted(df: DataFrame, path: str, data_format: str) -> int:
     else:
         writer = writer.options(**CSV_OPTIONS)
     writer.save(place)
-    rows, before = seen.get["rows"], current_path(spark, path)
+    counted, before = _counted(spark, seen, place, data_format), current_path(spark, path)
+    rows = counted["rows"]
     if rows == 0 and before != path:
         _remove(spark, place)
         return 0
     _point(spark, path, version)
-    _WRITTEN[_plain(place)] = seen.get["bytes"]
+    _WRITTEN[_plain(place)] = counted["bytes"]
     for folder in _folders(spark, path):
         if folder not in (version, before.rsplit("/", 1)[-1]):
             _remove(spark, f"{path.rstrip('/')}/{folder}")
     return rows
 
 
+def _counted(spark: SparkSession, seen: Observation, place: str, data_format: str) -> Mapping[str, int]:
+    """What a write counted. A plan that Spark knows to give no rows may be run without counting; then the files are asked."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        try:
+            rows = spark.read.format(data_format).load(place).count()
+        except AnalysisException:  # no file at all
+            rows = 0
+        return {"rows": rows, "bytes": 0}
+
+
 def _point(spark: SparkSession, path: str, version: str) -> None:
     pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTER}")
     stream = pointer.getFileSystem(spark._jsc.hadoopConfiguration()).create(pointer, True)
@@ -145,15 +160,17 @@ def _remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def _replaced(df: DataFrame, path: str, writer: Callable[[DataFrame], DataFrameWriter]) -> int:
+def _replaced(df: DataFrame, path: str, data_format: str, writer: Callable[[DataFrame], DataFrameWriter]) -> int:
     """Write beside ``path`` and take its place; returns the rows. A failed write leaves what was there, as does one of no rows.
 
     For plain folders that others read by their path; layers and tables are switched by pointers instead.
     """
     seen, place = Observation(), f"{path.rstrip('/')}__{uuid.uuid4().hex}"
-    writer(df.observe(seen, F.count(F.lit(1)).alias("rows"))).save(place)
-    _move(df.sparkSession, place, path, replace=seen.get["rows"] > 0)
-    return seen.get["rows"]
+    written = writer(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    written.save(place)
+    rows = _counted(df.sparkSession, seen, place, data_format)["rows"]
+    _move(df.sparkSession, place, path, replace=rows > 0)
+    return rows
 
 
 def _move(spark: SparkSession, source: str, target: str, replace: bool) -> bool:
@@ -203,7 +220,7 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> int:
         balanced = rows.hint("rebalance", *[F.col(c) for c in columns])
         return balanced.write.format("parquet").option("compression", "snappy").partitionBy(*columns)
 
-    return _replaced(df, path, writer)
+    return _replaced(df, path, "parquet", writer)
 
 
 def list_dataset_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

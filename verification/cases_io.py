@@ -243,7 +243,7 @@ def write_object_store(spark, sf_dir):
         path = scratch_path(spark, "object")
         if files.write_object_store(customers, path, data_format):
             reader = spark.read.options(**files.CSV_OPTIONS).schema(schemas.BRONZE["customers"]).format(data_format)
-            parts.append(reader.load(path).withColumn("origin", F.lit(data_format)))
+            parts.append(reader.load(layers.current_path(spark, path)).withColumn("origin", F.lit(data_format)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -291,6 +291,23 @@ def partition_groups(spark, sf_dir):
     return groups.select(F.coalesce(F.col("quantity").cast("string"), F.lit("none")).alias("quantity"), "row_count")
 
 
+@case("write_partitioned_empty", "SELECT p_size, count(*) AS row_count FROM part GROUP BY p_size")
+def write_partitioned_empty(spark, sf_dir):
+    """No rows do not take the place of some."""
+    path, parts = scratch_path(spark, "by-size"), given(spark, sf_dir, "part").select("p_partkey", "p_size")
+    files.write_partitioned(parts, path, ["p_size"])
+    files.write_partitioned(parts.filter("p_partkey IS NULL"), path, ["p_size"])
+    return spark.read.parquet(path).groupBy("p_size").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@case("write_csv_empty", CUSTOMERS_SQL)
+def write_csv_empty(spark, sf_dir):
+    customers = raw_customers(spark, sf_dir).select(*CUSTOMERS)
+    path = written(customers, "customers")
+    files.write_csv(customers.filter("customer_id IS NULL"), path)
+    return delimited.read_csv(spark, path, schemas.BRONZE["customers"], delimiter=",", encoding="UTF-8")
+
+
 @case(
     "list_dataset_files",
     "SELECT DISTINCT 'year=' || year(CAST(order_date AS TIMESTAMP)) || '/month=' || month(CAST(order_date AS TIMESTAMP)) AS directory, "
@@ -331,7 +348,7 @@ def _warehouse(spark, sf_dir) -> tuple[str, str]:
 @case("create_star_schema", FACT)
 def create_star_schema(spark, sf_dir):
     database, _ = _warehouse(spark, sf_dir)
-    return spark.table(f"{database}.fact_orders")
+    return spark.table(f"{database}.fact_orders").select(*schemas.GOLD["fact_orders"].names)
 
 
 @case(

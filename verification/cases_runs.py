@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.operators import merge
-from tidemark.plans import gold, silver
+from tidemark.plans import gold, medallion, silver
 from tidemark.quality import audits, checks
 from tidemark.quality.suites import SUITES
 from tidemark.session import scratch_path
 from tidemark.sinks import files
 from tidemark.sources import delimited, layers
 from verification import tables_sql as q
-from verification.bronze import NOW, given, raw_customers, raw_products
+from verification.bronze import NOW, ORDER_BY, bronze, given, raw_customers, raw_products
 from verification.cases_io import CUSTOMERS, CUSTOMERS_SQL
 from verification.cases_relational import clean, written
 from verification.registry import case
@@ -72,7 +74,7 @@ HISTORY_SQL = f"""
       CAST(total_amount AS DOUBLE) AS total_amount
     FROM silver_orders o
     LEFT JOIN ({HISTORY_SQL}) h ON h.customer_id = o.customer_id AND CASE WHEN {SECOND.format('o.order_id')}
-        THEN CAST(order_date AS DATE) BETWEEN h.valid_from AND h.valid_to ELSE h.early END
+        THEN CAST(order_date AS DATE) <= h.valid_to AND (h.valid_from = DATE '2024-01-01' OR CAST(order_date AS DATE) >= h.valid_from) ELSE h.early END
     LEFT JOIN silver_products p ON p.product_id = o.product_id AND ({SECOND.format('o.order_id')} OR {FIRST.format('p.product_id')})""",
 )
 def incremental_gold(spark, sf_dir):
@@ -97,6 +99,131 @@ def incremental_key_audit(spark, sf_dir):
     return found.groupBy("table_name").agg(F.sum("violations").alias("violations"))
 
 
+def _run(spark, batches, after=lambda database: None):
+    """Whole runs of bronze batches into a warehouse of its own; ``after`` sees it after the first one. The tables at the end."""
+    database, base = f"runs_{uuid.uuid4().hex[:12]}", scratch_path(spark, "runs")
+    for k, batch in enumerate(batches):
+        medallion.run_medallion(spark, batch, f"{base}/{k}", ORDER_BY, NOW, {}, database, effective=EFFECTIVE)
+        if k == 0:
+            seen = after(database)
+    return {name: spark.table(f"{database}.{name}") for name in schemas.GOLD}, seen
+
+
+def _joined(tables):
+    fact, customers, products = tables["fact_orders"], tables["dim_customer"], tables["dim_product"]
+    return fact.join(customers, "customer_key").join(products, "product_key")
+
+
+def _digit_column(c):
+    return F.regexp_extract(c, "([0-9]+)", 1).cast("bigint")
+
+
+ORDERS_OF = f"""SELECT order_id, customer_id, coalesce(product_id, 'unknown') AS product_id FROM (
+      SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY {q.ORDER_FIRST}) AS rn FROM raw_orders
+      WHERE (product_id IS NULL OR product_id IN (SELECT product_id FROM silver_products)) AND ({{}}))
+    WHERE rn = 1 AND quantity > 0 AND CAST(order_date AS TIMESTAMP) <= TIMESTAMP '{NOW}'"""
+HALVES = """(SELECT customer_id FROM (SELECT *, row_number() OVER (PARTITION BY email, row_seq % 2 ORDER BY row_seq) AS rn FROM raw_customers) WHERE rn = 1 {})"""
+
+
+@case(
+    "delta_batch",
+    ORDERS_OF.format(
+        f"customer_id IN {HALVES.format('AND row_seq % 2 = 0')} OR ({_digits('order_id')} % 3 = 0 AND customer_id IN {HALVES.format('')})"
+    ),
+)
+def delta_batch(spark, sf_dir):
+    """The second batch brings the other customers, no products, and orders of customers and products of both batches."""
+    given_tables = bronze(spark, sf_dir)
+    even, late = F.col("row_seq") % 2 == 0, _digit_column("order_id") % 3 == 0
+    first = {**given_tables, "customers": given_tables["customers"].filter(even), "orders": given_tables["orders"].filter(~late)}
+    second = {"customers": given_tables["customers"].filter(~even), "orders": given_tables["orders"].filter(late)}
+    return _joined(_run(spark, [first, second])[0]).select("order_id", "customer_id", "product_id")
+
+
+@case("orders_only_batch", "SELECT order_id, customer_id, coalesce(product_id, 'unknown') AS product_id, CAST(total_amount AS DOUBLE) AS total_amount FROM silver_orders")
+def orders_only_batch(spark, sf_dir):
+    """The second batch has orders alone."""
+    given_tables, late = bronze(spark, sf_dir), _digit_column("order_id") % 3 == 0
+    first = {**given_tables, "orders": given_tables["orders"].filter(~late)}
+    second = {"orders": given_tables["orders"].filter(late)}
+    return _joined(_run(spark, [first, second])[0]).select("order_id", "customer_id", "product_id", "total_amount")
+
+
+@case(
+    "redelivered_orders",
+    f"""SELECT order_id, o.customer_id, true AS same_key, CASE WHEN {_digits('o.customer_id')} % 7 = 0
+        AND ({_digits('order_id')} % 17 = 0 OR CAST(order_date AS DATE) >= DATE '{EFFECTIVE}') THEN 'moved' ELSE city END AS city
+    FROM silver_orders o JOIN silver_customers USING (customer_id)""",
+)
+def redelivered_orders(spark, sf_dir):
+    """All orders come twice, some from before the first version, some without a date; meanwhile some customers moved."""
+    tables = bronze(spark, sf_dir)
+    undated = F.when(_digit_column("order_id") % 17 != 0, F.col("order_date"))
+    past = tables["orders"].filter(F.col("order_date").cast("timestamp") <= F.lit(NOW).cast("timestamp"))
+    first = {**tables, "orders": past.withColumn("order_date", undated)}
+    moved = F.when(_digit_column("customer_id") % 7 == 0, "moved").otherwise(F.col("city"))
+    second = {"customers": tables["customers"].withColumn("city", moved), "orders": first["orders"]}
+
+    def keys(database):
+        columns = ["order_id", F.col("order_key").alias("first_key")]
+        return written(spark, "keys")("orders", spark.table(f"{database}.fact_orders").select(*columns))
+
+    end, before = _run(spark, [first, second], keys)
+    same = F.coalesce(F.col("first_key") == F.col("order_key"), F.lit(False)).alias("same_key")
+    return _joined(end).join(before, "order_id", "full").select("order_id", "customer_id", same, "city")
+
+
+@case("empty_batch", "SELECT order_id, customer_id, city, CAST(total_amount AS DOUBLE) AS total_amount FROM silver_orders JOIN silver_customers USING (customer_id)")
+def empty_batch(spark, sf_dir):
+    """A second batch of no rows changes nothing."""
+    tables = bronze(spark, sf_dir)
+    nothing = {name: df.filter(F.lit(False)) for name, df in tables.items()}
+    return _joined(_run(spark, [tables, nothing])[0]).select("order_id", "customer_id", "city", "total_amount")
+
+
+CHANGES = 4
+
+
+@case(
+    "scd2_changes",
+    f"""SELECT customer_id, city, CAST(valid_from AS VARCHAR) AS valid_from, is_current, CAST(coalesce(until - 1, DATE '9999-12-31') AS VARCHAR) AS valid_to
+    FROM (SELECT *, lead(valid_from) OVER w AS until, lead(valid_from) OVER w IS NULL AS is_current FROM (
+        SELECT customer_id, city, valid_from FROM dim_customer
+        UNION ALL SELECT customer_id, 'city ' || j, DATE '2023-11-01' + CAST((j * 40 + {_digits('customer_id')} % 20) AS INTEGER)
+        FROM dim_customer, (SELECT unnest(range({CHANGES})) AS j) WHERE {_digits('customer_id')} % {CHANGES} >= j)
+      WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from))""",
+)
+def scd2_changes(spark, sf_dir):
+    """Up to four dated changes for each customer, some before the first version, arrive in two batches and not in their order."""
+    store = written(spark, "silver")
+    customers = store("customers", silver.silver_customers(raw_customers(spark, sf_dir), ["row_seq"], NOW))
+    dimension = store("dim_customer", gold.dim_customer(customers))
+    number, j = _digit_column("customer_id"), F.col("j")
+    moves = customers.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(CHANGES - 1)))).filter(number % CHANGES >= j)
+    moves = moves.withColumns({"city": F.concat(F.lit("city "), j), "day": F.date_add(F.lit("2023-11-01").cast("date"), (j * 40 + number % 20).cast("int"))})
+    for late in (True, False):
+        batch = moves.filter((j % 2 == 0) == late)
+        dimension = merge.scd2_merge(dimension, batch, "customer_id", gold.CUSTOMER_ATTRIBUTES, F.col("day"), "customer_key", store=written(spark, "history"))
+    return dimension.select("customer_id", "city", "valid_from", "is_current", "valid_to")
+
+
+@case(
+    "fact_key_as_of",
+    f"""SELECT order_id, o.customer_id, CAST(CASE WHEN {_digits('o.customer_id')} IS NULL THEN -1 ELSE {_digits('o.customer_id')} * 1000
+      + greatest(0, least({_digits('o.customer_id')} % 90, (CAST(order_date AS DATE) - DATE '2024-01-01') // 10)) END AS BIGINT) AS customer_key
+    FROM silver_orders o""",
+)
+def fact_key_as_of(spark, sf_dir):
+    """Up to ninety versions for each customer, a new one every ten days; orders from before the first one take the first."""
+    tables = clean(spark, sf_dir)
+    number = _digit_column("customer_id")
+    versions = tables["customers"].select("customer_id", F.explode(F.sequence(F.lit(0).cast("bigint"), number % 90)).alias("j")).select(
+        "customer_id", (number * 1000 + F.col("j")).alias("customer_key"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("j") * 10).cast("int")).alias("valid_from"),
+    )
+    products = gold.dim_product(tables["products"])
+    return gold.fact_key_lookup(tables["orders"], versions, products, as_of=True).select("order_id", "customer_id", "customer_key")
+
+
 @case(
     "scd2_same_day",
     """SELECT customer_key, customer_id, CASE WHEN CAST(regexp_extract(customer_id, '([0-9]+)', 1) AS BIGINT) % 7 = 0 THEN 'moved' ELSE city END AS city,
