@@ -120,6 +120,6 @@ def test_profile(spark):
 
 def test_monitor(spark):
     tables = {"a": spark.range(3), "b": spark.range(0)}
-    assert {tuple(r) for r in audits.warehouse_monitor(tables).collect()} == {("a", 3, False), ("b", 0, True)}
+    assert {tuple(r) for r in audits.warehouse_monitor(tables).collect()} == {("a", 3, False, None), ("b", 0, True, None)}
     with pytest.raises(ValueError, match="b"):
         audits.require_filled(tables)

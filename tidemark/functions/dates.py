@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column
@@ -23,9 +24,12 @@ def as_moment(now: datetime | date | str | Column | None) -> Column:
     return F.lit(str(now)).cast("timestamp")
 
 
-def parsed_timestamp(c: Column, date_format: str | None = None) -> Column:
-    """NULL instead of an error for text that is no date."""
-    return F.try_to_timestamp(c, F.lit(date_format)) if date_format else F.try_to_timestamp(c)
+def parsed_timestamp(c: Column, date_format: str | Sequence[str | None] | None = None) -> Column:
+    """NULL instead of an error for text that is no date. Of several formats the first one that the text fits wins; None is ISO 8601."""
+    formats = [date_format] if date_format is None or isinstance(date_format, str) else list(date_format)
+    if not formats:
+        raise ValueError("no format to read dates by")
+    return F.coalesce(*[F.try_to_timestamp(c) if f is None else F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
 def date_key(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +53,8 @@ def round_currency(df: DataFrame, columns: Iterable[str], decimals: int = 2) ->
     return df.withColumns(changed) if changed else df
 
 
-def parse_dates(df: DataFrame, columns: Iterable[str], date_format: str | None = None) -> DataFrame:
-    """Text to timestamp; what cannot be read becomes NULL. Columns that are dates already stay."""
+def parse_dates(df: DataFrame, columns: Iterable[str], date_format: str | Sequence[str | None] | None = None) -> DataFrame:
+    """Text to timestamp, by a format or the first of several that fits; what cannot be read becomes NULL. Columns that are dates already stay."""
     textual = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     return rewrite(df, [c for c in columns if c in textual], lambda c: dates.parsed_timestamp(c, date_format))
 

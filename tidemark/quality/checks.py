@@ -7,7 +7,7 @@ are each an aggregate over their own column only, taken into that row as scalar
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -37,13 +37,26 @@ class _Plan:
     table: str
     now: Column
     measures: list[Column] = field(default_factory=list)
+    merges: list[Column] = field(default_factory=list)
     rows: list[Column] = field(default_factory=list)
 
-    def measure(self, value: Column) -> Column:
+    def measure(self, value: Column, merge: Callable[[Column], Column] = F.sum) -> Column:
+        """A column of the common pass; ``merge`` brings the values of parts of the table together."""
         name = f"m{len(self.measures)}"
         self.measures.append(value.alias(name))
+        self.merges.append(merge(F.col(name)).alias(name))
         return F.col(name)
 
+    def distinct(self, column: str) -> DataFrame:
+        """One row: ``total_rows``, ``filled`` and ``different`` values of a column."""
+        return self.df.select(self.present(column).alias("v")).agg(
+            F.count(F.lit(1)).alias("total_rows"), F.count("v").alias("filled"), F.count_distinct("v").alias("different")
+        )
+
+    def invalid(self, column: str, bad: Column) -> DataFrame:
+        """One row: a ``sample`` of the values for which ``bad`` holds."""
+        return distinct_sample(self.df.filter(bad), column)
+
     def present(self, column: str) -> Column:
         """The column with NaN as NULL."""
         c = F.col(column)
@@ -69,12 +82,14 @@ class _Plan:
     def absent(self, check: str, column: str) -> None:
         self.result(check, column, F.lit(False), error=F.lit("no such column"))
 
+    def stats(self) -> DataFrame:
+        return self.df.agg(F.count(F.lit(1)).alias("total_rows"), *self.measures)
+
     def run(self) -> DataFrame:
         spark = self.df.sparkSession
         if not self.rows:
             return spark.createDataFrame([], RESULT)
-        stats = self.df.agg(F.count(F.lit(1)).alias("total_rows"), *self.measures)
-        results = stats.select(F.inline(F.array(*self.rows)))
+        results = self.stats().select(F.inline(F.array(*self.rows)))
         # An empty table gives no result, except that it cannot be fresh.
         return results.filter((F.col("total_rows") > 0) | (F.col("check_name") == "freshness"))
 
@@ -102,9 +117,6 @@ def _uniqueness(plan: _Plan, columns: Sequence[str]) -> None:
         if column not in plan.df.columns:
             plan.absent("uniqueness", column)
             continue
-        counts = plan.df.select(plan.present(column).alias("v")).agg(
-            F.count(F.lit(1)).alias("total_rows"), F.count("v").alias("filled"), F.count_distinct("v").alias("different")
-        )
         filled, repeated = F.col("filled"), F.col("filled") - F.col("different")
         share = repeated.cast("double") / F.nullif(filled, F.lit(0)).cast("double")
         result = plan.row(
@@ -116,7 +128,7 @@ def _uniqueness(plan: _Plan, columns: Sequence[str]) -> None:
             actual=F.coalesce(F.round(share * 100, 2), F.lit(0.0)),
         )
         # The whole result is one scalar, so that the subquery is planned once.
-        plan.rows.append(counts.select(result.alias("result")).scalar())
+        plan.rows.append(plan.distinct(column).select(result.alias("result")).scalar())
 
 
 def _ranges(plan: _Plan, bounds: Mapping[str, Sequence[float]]) -> None:
@@ -132,8 +144,8 @@ def _ranges(plan: _Plan, bounds: Mapping[str, Sequence[float]]) -> None:
             violations=outside,
             min_allowed=F.lit(low),
             max_allowed=F.lit(high),
-            actual_min=plan.measure(F.min(c)),
-            actual_max=plan.measure(F.max(c)),
+            actual_min=plan.measure(F.min(c), F.min),
+            actual_max=plan.measure(F.max(c), F.max),
         )
 
 
@@ -148,7 +160,7 @@ def _allowed_values(plan: _Plan, vocabularies: Mapping[str, Sequence]) -> None:
             column,
             invalid == 0,
             violations=invalid,
-            sample=distinct_sample(plan.df.filter(bad), column).scalar(),
+            sample=plan.invalid(column, bad).scalar(),
         )
 
 
@@ -162,7 +174,7 @@ def _freshness(plan: _Plan, column: str | None, max_age_hours: float) -> None:
     if column not in plan.df.columns:
         plan.result("freshness", column, F.lit(False), error=F.lit("no time to judge by"))
         return
-    latest = plan.measure(F.max(F.col(column).cast("timestamp")))
+    latest = plan.measure(F.max(F.col(column).cast("timestamp")), F.max)
     age = age_hours(latest, plan.now)
     plan.result(
         "freshness",
@@ -211,8 +223,13 @@ def check_freshness(df, table: str, column: str, max_age_hours: float = 24, now=
 
 def run_suite(df: DataFrame, suite: Mapping, now=None) -> DataFrame:
     """All checks of a suite as one query."""
-    checks = suite.get("checks", {})
     plan = _Plan(df, suite["table_name"], as_moment(now))
+    add_suite(plan, suite)
+    return plan.run()
+
+
+def add_suite(plan: _Plan, suite: Mapping) -> None:
+    checks = suite.get("checks", {})
     if "completeness" in checks:
         wanted = checks["completeness"]
         _completeness(plan, wanted.get("columns", []), wanted.get("threshold", 0.98))
@@ -223,7 +240,6 @@ def run_suite(df: DataFrame, suite: Mapping, now=None) -> DataFrame:
     if "freshness" in checks:
         wanted = checks["freshness"]
         _freshness(plan, wanted.get("column"), wanted.get("max_age_hours", 24))
-    return plan.run()
 
 
 def check_min_date(df: DataFrame, table: str, column: str, earliest: str, now=None) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,17 +115,22 @@ def by_name(df: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
     return df.select(*wanted, *more)
 
 
+def exact_path(path: str) -> str:
+    """A path for a reader that takes patterns."""
+    return re.sub(r"([\\{}\[\]*?,^])", r"\\\1", path)
+
+
 def read_csv_directory(
     spark: SparkSession, directory: str, schema: T.StructType, pattern: str = "*.csv"
 ) -> DataFrame:
     """All files of a directory as one table, tagged with ``source_file``.
 
-    Files are grouped by dialect and header, and each group is one scan, of the files whose names a look at the directory
-    yields. Columns are found by their names in the header; those a file lacks are NULL. A malformed line does
+    Files are grouped by dialect and header, and each group is one scan of its own files, whose names the driver has from listing
+    the directory anyway. Columns are found by their names in the header; those a file lacks are NULL. A malformed line does
     not fail the read: its text is kept in ``_corrupt_record``.
     """
     found = sniff_csv_dialect(spark, directory, pattern)
-    groups = found.groupBy("encoding", "delimiter", "header").agg(F.count(F.lit(1)).alias("files"), F.min("file_path").alias("file_path")).collect()
+    groups = found.groupBy("encoding", "delimiter", "header").agg(F.array_sort(F.collect_list("file_path")).alias("files")).collect()
     tolerant = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     if not groups:
         return spark.createDataFrame([], tolerant.add("source_file", T.StringType()))
@@ -134,17 +141,12 @@ def read_csv_directory(
             .option("escape", '"')
             .option("sep", group["delimiter"])
             .option("encoding", group["encoding"])
-            .option("pathGlobFilter", pattern)
         )
-        header = reader.csv(group["file_path"]).columns
+        files = [exact_path(unquote(f)) for f in group["files"]]  # scans report encoded paths
+        header = reader.csv(files[0]).columns
         ordered = in_file_order(schema, header).add("_corrupt_record", T.StringType())
         reader = reader.schema(ordered).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-        df = reader.csv(directory).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("source_file"))
-        if len(groups) > 1:
-            own = found.filter(
-                (F.col("encoding") == group["encoding"]) & (F.col("delimiter") == group["delimiter"]) & (F.col("header") == group["header"])
-            )
-            df = df.join(own.select(F.col("file_path").alias("_file")), "_file", "left_semi")
+        df = reader.csv(files).select("*", F.col("_metadata.file_name").alias("source_file"))
         part = nan_to_null(by_name(df, tolerant, "source_file"))
         whole = part if whole is None else whole.unionByName(part)
     return whole
@@ -194,3 +196,31 @@ def file_profile(df: DataFrame, listed: DataFrame | None = None) -> DataFrame:
         every = listed.select(name.alias("file_name"), "size_bytes", "last_modified").join(counts, "file_name", "left")
         per_file = every.withColumn("row_count", F.coalesce("row_count", F.lit(0)))
     return per_file.withColumns({"column_count": F.lit(len(df.columns)), "data_types": F.lit(kinds)})
+
+
+def profile_files(listed: DataFrame, read: Callable[[DataFrameReader, list[str]], DataFrame]) -> DataFrame:
+    """:func:`file_profile` of the ``listed`` files (see ``files.list_dataset_files``), with -1 rows for one that cannot be read.
+
+    ``read`` makes a table of a reader and paths; it should give a schema. All files are read at once, leaving out those that Spark cannot
+    read; only files that gave no row are tried again, to tell empty from broken, one by one if together they fail. A file that breaks off in the
+    middle counts as far as it can be read.
+    """
+    spark = listed.sparkSession
+    paths = [exact_path(r["path"]) for r in listed.select("path").collect()]  # the driver has listed them already
+    whole = read(spark.read.option("ignoreCorruptFiles", True), paths)
+    profile = file_profile(whole, listed)
+    silent = {r["path"] for r in listed.join(profile.filter("row_count = 0").select("file_name"), F.substring_index("path", "/", -1) == F.col("file_name")).collect()}
+
+    def readable(some: list[str]) -> bool:
+        try:
+            read(spark.read, [exact_path(p) for p in some]).write.format("noop").mode("overwrite").save()
+        except Exception as problem:
+            log.warning("%s cannot be read: %s", some[0] if len(some) == 1 else f"one of {len(some)} files", str(problem).split("\n", 1)[0])
+            return False
+        return True
+
+    broken = [] if not silent or readable(sorted(silent)) else [p for p in sorted(silent) if not readable([p])]
+    names = [(p.rsplit("/", 1)[-1],) for p in broken]
+    bad = spark.createDataFrame(names, "file_name string").withColumn("_broken", F.lit(True))
+    marked = profile.join(F.broadcast(bad), "file_name", "left")
+    return marked.withColumn("row_count", F.when(F.col("_broken"), F.lit(-1)).otherwise(F.col("row_count"))).drop("_broken")

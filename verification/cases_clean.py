@@ -85,6 +85,21 @@ def parse_dates(spark, sf_dir):
     return df.select("customer_id", "registration_date")
 
 
+MIXED = "CASE row_seq % 4 WHEN 0 THEN '2024-03-0' || (1 + row_seq % 9) WHEN 1 THEN '0' || (1 + row_seq % 9) || '/04/2024' WHEN 2 THEN '0' || (1 + row_seq % 9) || '.05.2024 07:30' ELSE 'soon' END"
+
+
+@case(
+    "parse_dates_formats",
+    """SELECT customer_id, CASE row_seq % 4 WHEN 0 THEN '2024-03-0' || (1 + row_seq % 9) || ' 00:00:00' WHEN 1 THEN '2024-04-0' || (1 + row_seq % 9) || ' 00:00:00'
+      WHEN 2 THEN '2024-05-0' || (1 + row_seq % 9) || ' 07:30:00' END AS registration_date FROM raw_customers""",
+)
+def parse_dates_formats(spark, sf_dir):
+    """Dates in three notations in one column, and text that is none."""
+    mixed = raw_customers(spark, sf_dir).withColumn("registration_date", F.expr(MIXED))
+    parsed = cleaning.parse_dates(mixed, ["registration_date"], [None, "dd/MM/yyyy", "dd.MM.yyyy HH:mm"])
+    return parsed.select("customer_id", "registration_date")
+
+
 @case(
     "handle_nulls_fill_value",
     "SELECT customer_id, coalesce(phone, 'N/A') AS phone, coalesce(email, 'none:given') AS email FROM raw_customers",

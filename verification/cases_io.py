@@ -87,6 +87,22 @@ def file_profile(spark, sf_dir):
     return whole.select("file_name", has_size.alias("has_size"), "row_count", "column_count", "data_types")
 
 
+@case(
+    "file_profile_broken",
+    """SELECT CAST(-1 AS BIGINT) AS row_count, 2 AS column_count UNION ALL SELECT count(*), 2 FROM part WHERE p_partkey % 3 = 0
+    UNION ALL SELECT count(*), 2 FROM part WHERE p_partkey % 3 > 0 UNION ALL SELECT 0, 2""",
+)
+def file_profile_broken(spark, sf_dir):
+    """Of four files one is no Parquet at all and one has no rows."""
+    path, parts = scratch_path(spark, "some-broken"), given(spark, sf_dir, "part").select("p_partkey", "p_name")
+    for some in (parts.filter("p_partkey % 3 = 0"), parts.filter("p_partkey % 3 > 0"), parts.filter("p_partkey < 0")):
+        some.coalesce(1).write.mode("append").parquet(path)
+    parts.select("p_name").coalesce(1).write.mode("append").text(path)
+    schema = parts.schema
+    found = delimited.profile_files(files.list_dataset_files(spark, path, "part-*"), lambda reader, paths: reader.schema(schema).parquet(*paths))
+    return found.select("row_count", "column_count")
+
+
 @case(
     "ingest_product_catalog",
     f"""SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_retailprice AS price, (p_partkey % 9) * 0.5::DOUBLE AS rating,

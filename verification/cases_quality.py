@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.labels import ORDER_STATUSES, PAYMENT_METHODS
 from tidemark.plans.medallion import check_layer
-from tidemark.quality import audits, checks, report
+from tidemark.quality import audits, checks, history, report
 from tidemark.quality.suites import SUITES
+from tidemark.session import scratch_path
+from tidemark.sinks import warehouse
 from tidemark.sources.delimited import schema_check as check_schema
 from verification.bronze import NOW, given, raw_customers, raw_orders, raw_products
-from verification.cases_relational import clean, star, stored_star
+from verification.cases_relational import clean, star, stored_star, written
 from verification.registry import case
 
 
@@ -219,11 +224,29 @@ def key_integrity_audit(spark, sf_dir):
 @case(
     "warehouse_monitor",
     union(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) = 0 AS is_empty FROM {t}" for t in schemas.GOLD
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, count(*) = 0 AS is_empty, '{NOW}' AS latest FROM {t}" for t in schemas.GOLD
     ),
 )
 def warehouse_monitor(spark, sf_dir):
-    return audits.warehouse_monitor(star(spark, sf_dir))
+    loaded = {name: warehouse.with_load_time(df, NOW) for name, df in star(spark, sf_dir).items()}
+    return audits.warehouse_monitor(loaded)
+
+
+@case("run_suite_history", ALL_SUITES)
+def run_suite_history(spark, sf_dir):
+    """The suites over three batches of each table, of which only the states are kept."""
+    store, parts = written(spark, "batches"), []
+    periods = {"customers": F.date_format("registration_date", "yyyy-MM"), "products": F.col("category"), "orders": F.date_format("order_date", "yyyy-MM")}
+    tables = clean(spark, sf_dir)
+    for name, df in tables.items():
+        kept = history.SuiteHistory(spark, scratch_path(spark, "states"), SUITES[name], periods[name])
+        place = F.pmod(F.xxhash64(df.columns[0]), F.lit(3))
+        for number in range(3):
+            batch = store(f"{name}-{number}", df.filter(place == number))
+            kept.add(batch, number)
+        kept.add(batch, number)  # once more, as after a failure
+        parts.append(rows_of(kept.results(df, NOW)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @case(
