@@ -40,6 +40,8 @@ def test_parse_dates(values):
     assert [str(p) for p in parsed] == ["2024-05-15 10:00:00", "None", "None", "2024-05-15 00:00:00"]
     formatted = values("string", ["15/05/2024", "2024-05-15"], lambda df: c.parse_dates(df, ["v"], "dd/MM/yyyy"))
     assert [str(p) for p in formatted] == ["2024-05-15 00:00:00", "None"]
+    several = values("string", ["15/05/2024", "2024-05-15", "15.05.24 07:30", "x", None], lambda df: c.parse_dates(df, ["v"], ["dd/MM/yyyy", None, "dd.MM.yy HH:mm"]))
+    assert [None if v is None else str(v) for v in several] == ["2024-05-15 00:00:00", "2024-05-15 00:00:00", "2024-05-15 07:30:00", None, None]
 
 
 def test_nan_to_null(values):

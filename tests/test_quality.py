@@ -123,3 +123,9 @@ def test_monitor(spark):
     assert {tuple(r) for r in audits.warehouse_monitor(tables).collect()} == {("a", 3, False, None), ("b", 0, True, None)}
     with pytest.raises(ValueError, match="b"):
         audits.require_filled(tables)
+
+
+def test_distinct_numbers(spark):
+    keys = [(k,) for k in (-1, 1, 2, 2, 32768, 32769, 10**9, None, None)]
+    assert tuple(audits.distinct_numbers(spark.createDataFrame(keys, "k bigint"), "k").first()) == (9, 7, 6)
+    assert tuple(audits.distinct_numbers(spark.createDataFrame([], "k bigint"), "k").first()) == (0, 0, 0)

@@ -206,3 +206,22 @@ def test_scratch_is_where_the_session_says(spark):
     path = session.scratch_path(spark, "x")
     assert path.startswith(folder.rstrip("/") if folder else "/")
     assert path != session.scratch_path(spark, "x")
+
+
+def test_one_broken_file_among_three(spark, tmp_path):
+    (tmp_path / "a [1].csv").write_text("id,name\n1,x\n2,y\n")
+    (tmp_path / "b.csv").write_text("id,name\n")
+    (tmp_path / "c.csv.gz").write_bytes(b"no gzip at all")
+    listed = files.list_dataset_files(spark, str(tmp_path))
+    found = delimited.profile_files(listed, lambda reader, paths: reader.option("header", True).schema("id int, name string").csv(paths))
+    assert {r["file_name"]: (r["row_count"], r["column_count"]) for r in found.collect()} == {"a [1].csv": (2, 2), "b.csv": (0, 2), "c.csv.gz": (-1, 2)}
+
+
+def test_a_directory_is_read_once_by_each_header(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"{k}, {{a}} b%20.csv").write_text(f"id,name\n{k},x\n")
+        (tmp_path / f"{k}-other.csv").write_text(f"name;id\ny;{k}\n")
+    df = delimited.read_csv_directory(spark, str(tmp_path), table_schema(id="integer", name="string"))
+    assert sorted((r["id"], r["name"]) for r in df.collect()) == [(k, c) for k in range(3) for c in "xy"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") + plan.count("Scan csv") in (2, 4) and "Join" not in plan and plan.count("InMemoryFileIndex(3 paths)") >= 2

@@ -185,8 +185,9 @@ def file_profile(df: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     A file without rows shows only if ``listed`` names it (see ``files.list_dataset_files``).
     """
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    plain = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # scans report encoded names
     per_file = df.groupBy(
-        F.col("_metadata.file_name").alias("file_name"),
+        plain.alias("file_name"),
         F.col("_metadata.file_size").alias("size_bytes"),
         F.col("_metadata.file_modification_time").alias("last_modified"),
     ).agg(F.count(F.lit(1)).alias("row_count"))
