@@ -19,7 +19,7 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
@@ -65,3 +65,13 @@ def test_stages_pass_odd_tables_on(spark, documents):
         assert stage(spark, documents([], extra=True), SF).count() == 0, name
     assert sorted(str(r["doc_id"]) for r in stages.near_dedup(spark, documents(rows), SF).collect()) == sorted(["1", "1", "2", "3", "None", "4"])
     assert corpus_pipeline.STAGES[-1][1](spark, documents(rows), SF).count() == len(rows)
+
+
+def test_copies_that_share_or_lack_an_id_are_one_group(spark, documents):
+    text = " ".join(f"w{k}" for k in range(40))
+    other = " ".join(f"v{k}" for k in range(40))
+    rows = [(1, text), (1, text), (None, text), (None, text + " end"), (2, text), (2, other), (None, other), (None, "alone and short"), (3, ""), (3, ""), (None, None)]
+    kept = stages.near_dedup(spark, documents(rows, extra=True), SF)
+    assert kept.columns == documents(rows, extra=True).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, text), (2, other), (None, "alone and short"), (3, ""), (3, ""), (None, None)], key=repr)

@@ -1,18 +1,19 @@
 """The stages of the corpus pipeline. All but the last return the columns that they are given.
 
-Rows that share a ``doc_id`` go through every stage; a null or empty text has an empty bag of passages, is linked with nothing,
-loses nothing and is never taken by the mix. Empty tables stay empty. Other columns, whatever their names, are passed on.
+Rows that share a ``doc_id`` go through every stage, near-duplicates among them as any others; a null or empty text has an empty bag of passages, is
+linked with nothing, loses nothing and is never taken by the mix. Empty tables stay empty. Other columns, whatever their names, are passed on.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, minhash, mixing
 from tidemark.llm import quality as quality_model
 from tidemark.llm import substring_dedup as substrings
+from tidemark.llm.components import stored
 from tidemark.llm.labelled import held_out
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,9 +40,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """Of each group of near-duplicates one row, one with the smallest id; rows without an id come last.
+
+    Rows are told apart by numbers of their own, so copies that share an id or have none are one group too.
+    """
+    row, component = _free_name(docs, "row"), _free_name(docs, "component")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), F.col("component_id").alias(component))
+    ids = rows.select(F.col(row).alias("_row"), "doc_id").join(found, "_row")
+    first = F.row_number().over(Window.partitionBy(component).orderBy(F.asc_nulls_last("doc_id"), "_row"))
+    kept = ids.withColumn("_place", first).where("_place = 1").select("_row")
+    return rows.join(kept, rows[row] == kept["_row"], "left_semi").drop(row)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
