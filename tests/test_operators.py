@@ -181,6 +181,24 @@ def test_known_ids_keep_their_keys(spark):
     assert found["b"] == 3 and sorted((found["c"], found["d"])) == [8, 9]
 
 
+def test_medians_of_several_columns_take_the_passes_of_one(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(rng.gauss(0, 9), rng.randrange(1000) if rng.random() < 0.8 else None, None, rng.choice([1.5, float("nan")])) for _ in range(3001)]
+    df = spark.createDataFrame(rows, "a double, b int, c double, d double").withColumn("e", F.col("b").cast("decimal(10,2)")).cache()
+    passes = []
+    agg = type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *columns: (passes.append(len(columns)), agg(self, *columns))[1])
+    alone = nulls.exact_medians(df, ["b"], finish_rows=20)
+    one, passes[:] = len(passes), []
+    found = nulls.exact_medians(df, ["a", "b", "c", "d", "e"], finish_rows=20)
+    b = [r[1] for r in rows if r[1] is not None]
+    assert found["a"] == pytest.approx(statistics.median(r[0] for r in rows)) and found["b"] == alone["b"] == statistics.median(b)
+    assert (found["c"], found["d"], float(found["e"])) == (None, 1.5, statistics.median(b))
+    assert len(passes) <= one + 2
+    filled = nulls.handle_nulls(df, {"b": "fill_median", "c": "drop", "e": "fill_median"})  # c is always missing: nothing is left for e
+    assert filled.count() == 0 and nulls.handle_nulls(df, {"b": "fill_median", "e": "fill_median"}).filter("b IS NULL OR e IS NULL").isEmpty()
+
+
 def test_median_of_decimals_is_a_decimal(spark):
     df = spark.createDataFrame([("1.10",), ("2.25",), (None,), ("90071992547409.93",), ("3.00",)], "t string").selectExpr("CAST(t AS DECIMAL(18,2)) AS v")
     filled = nulls.handle_nulls(df, {"v": "fill_median"})

@@ -218,6 +218,26 @@ def handle_nulls_median(spark, sf_dir):
     return nulls.handle_nulls(raw_orders(spark, sf_dir), {"quantity": "fill_median"}).select(*LINE, "quantity")
 
 
+GAPS = {"discount_percent": "l_suppkey % 5 = 0", "shipping_cost": "l_partkey % 3 = 0"}
+
+
+def _cents_median(column: str) -> str:
+    return f"(SELECT floor(median(CAST({column} * 100 AS BIGINT)) + 0.5) / 100 FROM raw_orders WHERE NOT {GAPS[column]})"
+
+
+@case(
+    "handle_nulls_median_columns",
+    f"SELECT {LINE_SQL}, CAST(coalesce(quantity, (SELECT median(quantity) FROM raw_orders)) AS DOUBLE) AS quantity, "
+    + ", ".join(f"CAST(CASE WHEN {gap} THEN {_cents_median(c)} ELSE {c} END AS DOUBLE) AS {c}" for c, gap in GAPS.items())
+    + " FROM raw_orders",
+)
+def handle_nulls_median_columns(spark, sf_dir):
+    """Three columns with gaps, whose medians are found together."""
+    holes = {c: F.when(~F.expr(gap), F.col(c)) for c, gap in GAPS.items()}
+    filled = nulls.handle_nulls(raw_orders(spark, sf_dir).withColumns(holes), dict.fromkeys(["quantity", *GAPS], "fill_median"), finish_rows=1000)
+    return filled.select(*LINE, F.col("quantity").cast("double"), *GAPS)
+
+
 @case(
     "handle_nulls_median_rounds",
     f"SELECT {LINE_SQL}, CAST(coalesce(unit_price, (SELECT floor(median(CAST(unit_price * 100 AS BIGINT)) + 0.5) / 100 FROM (SELECT CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE unit_price END AS unit_price FROM raw_orders))) AS DOUBLE) AS unit_price "
