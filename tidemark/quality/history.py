@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import as_moment
 from tidemark.operators.key_index import KeyIndex
 from tidemark.quality.checks import SAMPLE_SIZE, _Plan, add_suite
+from tidemark.sinks.files import write_layer
+from tidemark.sources.layers import read_table, table_path
 
 
 class _Batch(_Plan):
@@ -99,8 +101,9 @@ class SuiteHistory:
             own = own.join(earlier, "value", "left_anti")
         new = own.select("value", F.lit(1).cast("bigint").alias("seen"), F.lit(number).alias("batch"))
         total, present = filled.first()
-        different = new.count()
-        index.record(new)
+        different = write_layer({column: new}, self.path, "new_values")[column]
+        if different:
+            index.record(read_table(self.spark, table_path(self.path, "new_values", column)))
         return column, total, present, different
 
     def results(self, schema: DataFrame, now=None) -> DataFrame:
