@@ -10,7 +10,9 @@ Hot groups: documents with equal sets are one class from the start. Within a buc
 instead of each other, the one that meets most others over all buckets, as does the text that near copies were made from; what
 the pivots join needs no further comparison. Only buckets whose members are still in several
 components go on, and only with members that have enough shingles which occur in another component. Of these, members outside the bucket's largest component are pivots, ``PIVOTS`` of them in a round, and leave the bucket when
-they have been compared with its other components. In the end its members are in one component. So a pair that shares a bucket
+they have been compared with its other components. Before a pair is confirmed, the shingles that each end has in common with
+any other component are counted in ``PARTS`` parts of the hash range: two sets have no more in common than the smaller counts of all
+parts together, so near copies that were changed in different places are not confirmed. In the end its members are in one component. So a pair that shares a bucket
 is compared, or its ends are already connected, and a round compares at most ``PIVOTS`` times as many pairs as there are members.
 """
 
@@ -34,6 +36,8 @@ BAND_VALUES = 4
 THRESHOLD = 75
 #: Pivots of a bucket in the rounds after the first.
 PIVOTS = 256
+#: Parts of the hash range in which shared shingles are counted.
+PARTS = 64
 
 _SIGNED = "doc_id bigint, n_shingles bigint, class binary, bands array<bigint>"
 
@@ -139,6 +143,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             bound = F.least(F.when(F.col("alone2"), F.col("single")).otherwise(F.col("joined")), F.when(F.col("alone"), F.col("single2")).otherwise(F.col("joined2")))
             first_shared = F.array_position(F.zip_with("bands", "bands2", lambda x, y: x == y), True)
             near = near & _enough(bound, F.col("n") + F.col("n2")) & (first_shared == F.array_position("bands", F.col("band")))
+            in_parts = F.aggregate(F.zip_with("shared", "shared2", lambda x, y: F.least(x, y)), F.lit(0).cast("bigint"), lambda x, y: x + y)
+            near = near & _enough(in_parts, F.col("n") + F.col("n2"))
         pairs = labelled.join(pivots, "band").where("component <> component2").where(near)
         pairs = pairs.select(*_pairs("doc_id", "doc_id2")).distinct()
         if checked is not None:
@@ -166,7 +172,7 @@ def _linkable(labelled: DataFrame, sets: DataFrame) -> DataFrame:
 
     ``joined`` counts the shingles that occur in some other component of several documents, ``single`` those that occur in another
     document that is a component by itself. A document has no more in common with one of either kind, so near copies with many
-    changes of their own are settled without being compared with each other.
+    changes of their own are settled without being compared with each other. ``shared`` counts both kinds by part of the hash range.
     """
     docs = labelled.select("doc_id", "component", "alone", "n").distinct()
     held = docs.join(sets, "doc_id").select("doc_id", "component", "alone", F.explode("found").alias("shingle")).distinct()
@@ -175,7 +181,13 @@ def _linkable(labelled: DataFrame, sets: DataFrame) -> DataFrame:
     holders = holders.where("low IS NOT NULL AND (lone > 0 OR low <> high) OR lone > 1")
     elsewhere = F.col("low").isNotNull() & ((F.col("low") != F.col("component")) | (F.col("high") != F.col("component")))
     other_lone = F.col("lone") > F.col("alone").cast("int")
-    counts = held.join(holders, "shingle").groupBy("doc_id").agg(F.count_if(elsewhere).alias("joined"), F.count_if(other_lone).alias("single"))
+    part = F.pmod(F.col("shingle"), F.lit(PARTS)).cast("int").alias("part")
+    in_parts = held.join(holders, "shingle").groupBy("doc_id", part)
+    in_parts = in_parts.agg(F.count_if(elsewhere).alias("joined"), F.count_if(other_lone).alias("single"), F.count("*").alias("rows"))
+    by_part = F.map_from_entries(F.collect_list(F.struct("part", "rows"))).alias("by_part")
+    counts = in_parts.groupBy("doc_id").agg(F.sum("joined").alias("joined"), F.sum("single").alias("single"), by_part)
+    every = F.sequence(F.lit(0), F.lit(PARTS - 1))
+    counts = counts.withColumn("shared", F.transform(every, lambda p: F.coalesce(F.try_element_at("by_part", p), F.lit(0).cast("bigint")))).drop("by_part")
     return labelled.join(counts, "doc_id").where(" OR ".join(f"{100 + THRESHOLD} * {c} >= {THRESHOLD} * (n + {c})" for c in ("joined", "single")))
 
 
