@@ -57,3 +57,12 @@ def test_empty_table(documents):
 def test_covers_hold_every_difference():
     for period, cover in substring_dedup.COVERS.items():
         assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+
+
+def test_rows_without_an_id_are_dealt_out_evenly(documents):
+    rows = [(None if i % 3 == 0 else i, f"text {i}") for i in range(1500)]
+    dealt = blocks.in_blocks(documents(rows), 8).collect()
+    sizes = {}
+    for r in dealt:
+        sizes[r["block"]] = sizes.get(r["block"], 0) + len(r["ids"])
+    assert len(sizes) == 8 and max(sizes.values()) < 1.5 * 1500 / 8

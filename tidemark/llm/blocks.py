@@ -43,8 +43,8 @@ _CHUNK = "block bigint, ids array<bigint>, sizes array<int>, data binary"
 def in_blocks(docs: DataFrame, n: int) -> DataFrame:
     """``doc_id`` and ``text`` dealt out by ``n`` blocks once, as compressed chunks; :func:`per_block` opens them.
 
-    The block follows from the row alone, so a task that is run again rebuilds the same blocks, and every pass over the
-    blocks reads the same exchange.
+    The block follows from the row's id and text alone, so a task that is run again rebuilds the same blocks, and every pass over the
+    blocks reads the same exchange. Rows without an id, or with one id, are dealt out by their texts; only equal rows share a block.
     """
 
     def chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -67,7 +67,7 @@ def in_blocks(docs: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "data"])
             pa.default_memory_pool().release_unused()
 
-    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id"), F.lit(n)).alias("block"))
+    placed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"))
     return placed.mapInArrow(chunks, _CHUNK).repartition(n, "block")
 
 
