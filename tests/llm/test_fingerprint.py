@@ -59,3 +59,19 @@ def test_likeness_estimates_the_common_share():
     lines = [rng.integers(33, 126, 40, np.uint8).tobytes().replace(b"\n", b"x") for _ in range(300)]
     found = [fp.likeness(fp.vectors(b"\n".join(lines[:200])), fp.vectors(b"\n".join(lines[200 - k :][:200]))) for k in (200, 150, 100)]
     assert np.allclose(found, [1, 0.75, 0.5], atol=0.2)
+
+
+def test_likeness_of_long_repeats_and_shifted_lines():
+    line = b"the same line of forty-one characters, xx"
+    many = b"\n".join([line] * 65536)
+    assert fp.likeness(fp.vectors(many), fp.vectors(many + b"\nz")) > 0.99
+    text = prose(random.Random(5), 3000, 10**6).encode()
+    assert fp.likeness(fp.vectors(text), fp.vectors(b"q" + text)) > 0.99
+    assert fp.likeness(fp.vectors(text), fp.vectors(prose(random.Random(6), 3000, 10**6).encode())) < 0.3
+
+
+def test_pieces_join_to_the_line():
+    for line in (b"", b"a", b"ab" * 500, bytes(range(256)) * 9):
+        assert b"".join(fp.pieces(line)) == line
+    cut = fp.pieces(prose(random.Random(7), 20000, 10**6).encode())
+    assert 20 < sum(map(len, cut)) / len(cut) < 50

@@ -4,8 +4,9 @@ A fingerprint is the sum of vectors, one for each paragraph (line), so it does n
 inserted or deleted by adding or subtracting their vectors. It has two parts:
 
 - ``LANES`` sums modulo 2^64 of evenly distributed values, one vector for each paragraph: equality of the multisets;
-- ``SIGNS`` sums modulo 2^16 of +1 or -1, one vector for each piece of ``PIECE`` bytes of a paragraph: for two fingerprints the mean
-  square of their difference estimates how many pieces they do not share (standard error about 1/sqrt(SIGNS / 2)).
+- ``SIGNS`` sums modulo 2^32 of +1 or -1, one vector for each piece of a paragraph: for two fingerprints the mean square of their
+  difference estimates how many pieces they do not share (standard error about 1/sqrt(SIGNS / 2)). A paragraph is cut by its content,
+  where a hash of the last ``LOOK`` bytes says so, into pieces of ``PIECE`` bytes on average, so a letter put in changes the pieces around it only.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from tidemark.llm import blocks as B
 
 LANES = 16
 SIGNS = 128
-PIECE = 48
+PIECE = 32
+LOOK = 6
 #: Most ranges of ids to deal documents out by. Beyond it ranges grow; tasks stream them in order and hold two documents at a time.
 MOST_RANGES = 10_000
 
@@ -35,20 +37,31 @@ _LANE = B.mixed(np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97
 Vectors = tuple[np.ndarray, np.ndarray]
 
 
+def pieces(line: bytes) -> list[bytes]:
+    """A paragraph cut by its content; where to cut depends on the ``LOOK`` bytes before, fewer at the start."""
+    values = np.frombuffer(line, np.uint8).astype(np.uint32) + np.uint32(1)
+    seen = np.zeros(len(values), np.uint32)
+    for k in range(min(LOOK, len(values))):
+        seen[k:] = seen[k:] + values[: len(values) - k] * np.uint32((0x9E3779B1 * (2 * k + 1) ** 5) & 0xFFFFFFFF)
+    seen = (seen ^ (seen >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    cuts = [0, *(np.flatnonzero((seen >> np.uint32(16)) % PIECE == 0) + 1).tolist()]
+    return [line[a:b] for a, b in zip(cuts, [*cuts[1:], len(line)], strict=True) if a < b]
+
+
 def vectors(text: bytes) -> Vectors:
     """Both sums for a text; zero for an empty one."""
     even, signed = np.zeros(LANES, np.uint64), np.zeros(SIGNS, np.int64)
     if not text:
-        return even, signed.astype(np.uint16)
+        return even, signed.astype(np.uint32)
     lines = text.split(b"\n")
     for start in range(0, len(lines), 4096):
         ids = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines[start : start + 4096])), np.uint64).reshape(-1, 2)
         even += B.mixed((ids[:, :1] ^ _LANE) + B.mixed(ids[:, 1:] + _LANE)).sum(axis=0, dtype=np.uint64)
-    pieces = [line[i : i + PIECE] for line in lines for i in range(0, len(line), PIECE)]
-    for start in range(0, len(pieces), 4096):
-        bits = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, pieces[start : start + 4096])), np.uint8).reshape(-1, SIGNS // 8)
+    cut = [piece for line in lines for piece in pieces(line)]
+    for start in range(0, len(cut), 4096):
+        bits = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, cut[start : start + 4096])), np.uint8).reshape(-1, SIGNS // 8)
         signed += 2 * np.unpackbits(bits, axis=1).sum(axis=0, dtype=np.int64) - len(bits)
-    return even, signed.astype(np.uint16)
+    return even, signed.astype(np.uint32)
 
 
 def added(one: Vectors, other: Vectors) -> Vectors:
@@ -62,14 +75,14 @@ def removed(one: Vectors, other: Vectors) -> Vectors:
 
 
 def text_form(of: Vectors) -> str:
-    return of[0].astype("<u8").tobytes().hex() + of[1].astype("<u2").tobytes().hex()
+    return of[0].astype("<u8").tobytes().hex() + of[1].astype("<u4").tobytes().hex()
 
 
 def likeness(one: Vectors, other: Vectors) -> float:
     """Estimated share of pieces in common, 0 to 1; 1 for equal fingerprints only."""
     if all(np.array_equal(a, b) for a, b in zip(one, other, strict=True)):
         return 1.0
-    a, b, apart = ((x.astype(np.int16).astype(float) ** 2).sum() for x in (one[1], other[1], one[1] - other[1]))
+    a, b, apart = ((x.astype(np.int32).astype(float) ** 2).sum() for x in (one[1], other[1], one[1] - other[1]))
     return float(min(max(1 - apart / (a + b), 0.0), 0.999999)) if a + b else 0.0
 
 
