@@ -9,15 +9,14 @@ SCHEMA = "vec_id bigint, embedding array<float>, group int, ids string"
 
 
 def expected(rows, k=5):
-    found = {}
+    found = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            v = [math.floor(256 * float(np.float32(x))) for x in v]
-            found[i] = min(found.get(i, v), v)
+            found.append((i, [math.floor(256 * float(np.float32(x))) for x in v]))
     out = []
-    for q in found:
+    for n, (q, own) in enumerate(found):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(found[q], found[c], strict=False)), c) for c in found if c != q)
+            scores = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), c) for m, (c, v) in enumerate(found) if m != n)
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -45,6 +44,12 @@ def test_few_or_no_candidates(spark):
     assert run(spark, [(0, [1.0]), (3, [-2.0]), (50, [0.1])]) == expected([(0, [1.0]), (3, [-2.0]), (50, [0.1])])
 
 
+def test_repeated_ids_and_large_components(spark):
+    rows = [(50, [1.0, 2.0]), (1, [3.0, 1.0]), (1, [0.5, 1.0]), (2, [2.0**46, 0.0]), (3, [-1.0, 0.25]), (100, [0.0, 2.0**45]), (100, [1.0, 1.0]), (100, [1.0, 1.0])]
+    assert run(spark, rows[:5]) == expected(rows[:5]) and len(run(spark, rows[:5])) == 4
+    assert run(spark, rows) == expected(rows)
+
+
 def test_scores_beyond_floating_point():
     q, x = np.array([[2**30, 3]]), np.array([[2**29 + 1, 7], [-(2**30), 1]])
     assert topk.exact_scores(q, x).tolist() == [[2**30 * (2**29 + 1) + 21, -(2**60) + 3]]
