@@ -77,10 +77,45 @@ def test_permutations(spark):
         assert sorted(r["p"] for r in back) == list(range(n)) and all(r["id"] == r["b"] for r in back)
 
 
-def test_shards_are_drawn_evenly(spark):
-    slots = spark.range(20000).selectExpr("'k' AS key", "id AS slot")
-    counts = [r["count"] for r in mixing.sharded(slots, 20000).groupBy("shard").count().collect()]
-    assert len(counts) == 5 and max(counts) < 4400
+def test_shards_draw_counts_and_slots_follow_them(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 500)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 4)
+    monkeypatch.setattr(mixing, "CHUNK_SLOTS", 32)
+    given = [("+a", 30000, 20001.5), ("+b", 4001, 8002.0), ("+c", 7, 9.0), ("+d", 0, 0.0), ("-", 6000, 5999.0)] + [(f"+t{k}", 3, 3.0) for k in range(200)]
+    targets = spark.createDataFrame(given, "key string, source_size bigint, target double")
+    sources, n_slots = mixing._sources_to_fill(targets)
+    total = {r["key"]: r["of"]["n_slots"] for r in sources.collect()}
+    mix = [tuple(r) for r in mixing.slots(targets).collect()]
+    words, numbers = collections.Counter(), collections.defaultdict(list)
+    for key, slot, _, _, _, take in mix:
+        assert 0 < take <= 4
+        words[key] += take
+        numbers[key].append(slot)
+    assert words == {k: int(t) for k, _, t in given if t}
+    assert n_slots == sum(total.values()) and all(sorted(numbers[k]) == list(range(n)) for k, n in total.items())
+
+    shards = mixing.n_shards(n_slots)
+    drawn = [(r["shard"], r["key"], r["n"]) for r in mixing.drawn_counts(sources, n_slots).collect()]
+    per_shard, per_source = collections.Counter(), collections.Counter()
+    for shard, key, n in drawn:
+        per_shard[shard] += n
+        per_source[key] += n
+    assert set(per_shard) == set(range(shards)) and max(per_shard.values()) - min(per_shard.values()) <= 1 and sum(per_shard.values()) == n_slots
+    assert all(abs(n - total[k]) < 6 * total[k] ** 0.5 + 6 for k, n in per_source.items())
+    # The variance of a source's draws is that of a multinomial.
+    share = total["+a"] / n_slots
+    of_a = [n for _, k, n in drawn if k == "+a"]
+    variance = sum((n - n_slots / shards * share) ** 2 for n in of_a) / shards
+    assert 0.2 < variance / (n_slots / shards * share * (1 - share)) < 3
+
+    counts, upto = collections.Counter(), collections.Counter()
+    for shard, key, n in sorted(drawn):
+        before, upto[key] = upto[key], upto[key] + n
+        counts[shard, key] = upto[key] * total[key] // per_source[key] - before * total[key] // per_source[key]
+    held = collections.Counter((shard, key) for key, _, shard, _, _, _ in mix)
+    assert {k: n for k, n in held.items() if k[1] in per_source} == +counts
+    assert all(len({s for s, k in held if k == key}) == 1 for key in total if key not in per_source)
+    assert mixing.slots(targets.where("false")).count() == 0
 
 
 def test_texts_hold_the_words_taken(spark, monkeypatch, rows):

@@ -1,8 +1,9 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
-The words of a source, document after document, are packed into blocks of ``BLOCK_WORDS``. A source's target fills a number of slots;
-every slot draws its output shard, so the numbers of a source's slots in the shards are a multinomial draw, while their sum
-meets the target. The texts that its slots take are brought to each shard. Slots go through a pseudorandom permutation of the source's block indices, another one in each pass over the
+The words of a source, document after document, are packed into blocks of ``BLOCK_WORDS``. A source's target fills a number of slots.
+Every output shard draws how many slots each source has in it, a multinomial draw with the sources' numbers of slots as weights; the
+draws of a source are then scaled so that they sum up to its slots and the target is met. Slots are numbered by running sums of these
+counts over the shards. They go through a pseudorandom permutation of the source's block indices, another one in each pass over the
 source, and the slots' blocks are joined by index. Everything follows from hashes of keys, so a run repeats itself and a lost task
 is rebuilt alike. All steps work on (source, block) or (source, bucket) keys of bounded size, so a source with any share of the rows
 is spread over as many tasks as its size needs.
@@ -21,6 +22,9 @@ SPACED_WORD = r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 BLOCK_WORDS = 512
 #: Mean number of slots in an output shard.
 SHARD_SLOTS = 4096
+#: Slots that one task draws and numbers; points in a chunk at least, and most chunks.
+POINTS = 4 * SHARD_SLOTS
+CHUNK_SLOTS, MOST_CHUNKS = 256, 1 << 20
 #: Mean number of documents in a bucket, within which positions are summed up.
 BUCKET_DOCS = 4096
 #: Weights by rank of the source, repeating; the share of all words to take; how often a source may be taken.
@@ -85,38 +89,83 @@ def placed_documents(docs: DataFrame) -> DataFrame:
     return stored(placed.select("doc_id", "key", "text_hash", "size", (F.col("offset") + F.col("inside")).alias("start")), "placed")
 
 
-def slots(targets: DataFrame) -> DataFrame:
-    """The mix: ``key``, ``slot``, ``shard``, ``turn`` (pass over the source), ``block`` and ``take``, how many of its words.
+def _sources_to_fill(targets: DataFrame) -> tuple[DataFrame, int]:
+    """The sources that get slots, and the number of all slots.
 
+    ``of`` has a source's ``n_slots`` (number), ``blocks``, ``short`` (words that its last block lacks) and ``last_take`` (words of its last slot).
     A pass takes every block once. The last pass stops when the target is met: slots before it hold full blocks but
     perhaps the source's last block, which is shorter, so the words before a slot are known without a running sum.
     """
-    size, n, turn = F.col("source_size"), F.col("blocks"), F.col("turn")
+    size, n, turn, wanted, whole = (F.col(c) for c in ("source_size", "blocks", "turn", "wanted", "whole"))
     sources = targets.where("source_size > 0 AND target >= 1").withColumn("words", F.floor("target").cast("bigint")).withColumn("blocks", F.ceil(size / BLOCK_WORDS).cast("bigint"))
-    passes = sources.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("words") - 1) / size).cast("bigint"))))
-    passes = passes.withColumn("wanted", F.least(F.col("words") - turn * size, size)).withColumn("short", BLOCK_WORDS * n - size)
-    passes = passes.withColumn("short_at", _permuted(n - 1, n, F.col("key"), turn, backwards=True))
-    count = F.least(n, F.floor((F.col("wanted") + F.col("short") - 1) / BLOCK_WORDS).cast("bigint") + 1)
-    n_slots = F.sum(count).over(Window.partitionBy())
-    runs = passes.withColumn("n_slots", n_slots).withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((count - 1) / SHARD_SLOTS).cast("bigint"))))
-    runs = runs.repartition("key", "turn", "run")  # a few source rows become as many tasks as there are slots for
-    runs = runs.withColumn("index", F.explode(F.sequence(F.col("run") * SHARD_SLOTS, F.least(count, (F.col("run") + 1) * SHARD_SLOTS) - 1)))
-    block = _permuted(F.col("index"), n, F.col("key"), turn)
-    before = F.col("index") * BLOCK_WORDS - F.when(F.col("index") > F.col("short_at"), F.col("short")).otherwise(0)
-    length = F.when(F.col("block") == n - 1, BLOCK_WORDS - F.col("short")).otherwise(BLOCK_WORDS)
-    drawn = runs.withColumn("slot", turn * n + F.col("index")).withColumn("block", block).withColumn("take", F.least(length, F.col("wanted") - before)).where("take > 0")
-    return sharded(drawn, F.col("n_slots")).select("key", "slot", "shard", "turn", "block", "take")
-
-
-def sharded(mix: DataFrame, n_slots: int | Column, seed: int = 0) -> DataFrame:
-    """``mix`` with the output shard that each slot draws."""
-    n_slots = F.lit(n_slots) if isinstance(n_slots, int) else n_slots
-    shards = F.greatest(F.lit(1).cast("bigint"), F.ceil(n_slots / SHARD_SLOTS).cast("bigint"))
-    return mix.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "key", "slot"), shards))
+    sources = sources.withColumn("turn", F.expr("(words - 1) div source_size")).withColumn("wanted", F.col("words") - turn * size).withColumn("short", BLOCK_WORDS * n - size)
+    sources = sources.withColumn("short_at", _permuted(n - 1, n, F.col("key"), turn, backwards=True)).withColumn("whole", F.ceil(wanted / BLOCK_WORDS).cast("bigint"))
+
+    def words_of(slots: Column) -> Column:
+        return slots * BLOCK_WORDS - F.when(F.col("short_at") < slots, F.col("short")).otherwise(0)
+
+    sources = sources.withColumn("count", whole + F.when(words_of(whole) < wanted, 1).otherwise(0))
+    of = F.struct((turn * n + F.col("count")).alias("n_slots"), "blocks", "short", (wanted - words_of(F.col("count") - 1)).alias("last_take"))
+    kept = stored(sources.select("key", of.alias("of")), "mix-sources")
+    return kept, kept.agg(F.sum("of.n_slots")).first()[0] or 0
+
+
+def n_shards(n_slots: int) -> int:
+    return max(1, -(-n_slots // SHARD_SLOTS))
+
+
+def drawn_counts(sources: DataFrame, n_slots: int) -> DataFrame:
+    """What each shard draws: ``shard``, ``key``, ``of`` and ``n``, how many of its slots fell to the source; sources with none are left out.
+
+    A draw is a point among all slots, put in order by source. It meets the source whose slots it falls between by the
+    chunk of points that it lies in, so a source with any share of the slots is spread over its chunks.
+    """
+    chunk = max(CHUNK_SLOTS, n_slots // MOST_CHUNKS)
+    below = F.coalesce(F.sum("of.n_slots").over(Window.partitionBy().orderBy("key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
+    ranges = sources.withColumn("low", below).withColumn("high", F.col("low") + F.col("of.n_slots"))
+    ranges = ranges.withColumn("chunk", F.explode(F.expr(f"sequence(low div {chunk}, (high - 1) div {chunk})")))
+    points = sources.sparkSession.range(0, n_slots, 1, max(1, -(-n_slots // POINTS)))
+    points = points.select(F.expr(f"id * {n_shards(n_slots)} div {max(1, n_slots)}").alias("shard"), F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(max(1, n_slots))).alias("point"))
+    points = points.withColumn("chunk", F.expr(f"point div {chunk}"))
+    met = points.hint("merge").join(ranges, "chunk").where("point >= low AND point < high")
+    return met.groupBy("shard", "key", "of").agg(F.count("*").alias("n"))
+
+
+def slot_runs(sources: DataFrame, n_slots: int) -> DataFrame:
+    """The counts, fitted to the targets, and the slots that they give: ``shard``, ``key``, ``of``, ``first``, ``end`` (exclusive).
+
+    Running sums of a source's draws over the shards are scaled to its number of slots. A source that no shard drew, which only
+    happens to the smallest, has its slots in one shard.
+    """
+    drawn = stored(drawn_counts(sources, n_slots), "shard-draws")
+    missed = sources.join(drawn.select("key").distinct(), "key", "left_anti")
+    missed = missed.select(F.pmod(F.xxhash64("key"), F.lit(n_shards(n_slots))).cast("bigint").alias("shard"), "key", "of", F.lit(1).cast("bigint").alias("n"))
+    own = Window.partitionBy("key")
+    sums = drawn.unionByName(missed).withColumn("upto", F.sum("n").over(own.orderBy("shard"))).withColumn("all", F.sum("n").over(own))
+
+    def fitted(upto: str) -> Column:  # the product may need more than 64 bits
+        return F.expr(f"CAST((CAST({upto} AS DECIMAL(19, 0)) * CAST(of.n_slots AS DECIMAL(19, 0))) div CAST(all AS DECIMAL(19, 0)) AS BIGINT)")
+
+    return sums.select("shard", "key", "of", fitted("upto - n").alias("first"), fitted("upto").alias("end")).where("first < end")
+
+
+def slots(targets: DataFrame) -> DataFrame:
+    """The mix: ``key``, ``slot``, ``shard``, ``turn`` (pass over the source), ``block`` and ``take``, how many of its words."""
+    return _slots(*_sources_to_fill(targets))
+
+
+def _slots(sources: DataFrame, n_slots: int) -> DataFrame:
+    n, slot = F.col("of.blocks"), F.col("slot")
+    runs = slot_runs(sources, n_slots).repartition(max(1, -(-n_slots // POINTS)), "shard", "key")
+    each = runs.withColumn("slot", F.explode(F.sequence("first", F.col("end") - 1))).withColumn("turn", F.expr("slot div of.blocks"))
+    each = each.withColumn("block", _permuted(slot % n, n, F.col("key"), F.col("turn")))
+    length = F.when(F.col("block") == n - 1, BLOCK_WORDS - F.col("of.short")).otherwise(BLOCK_WORDS)
+    take = F.when(slot == F.col("of.n_slots") - 1, F.col("of.last_take")).otherwise(length)
+    return each.select("key", "slot", "shard", "turn", "block", take.cast("bigint").alias("take"))
 
 
 def shard_counts(mix: DataFrame) -> DataFrame:
-    """The draw: ``n_slots`` and ``words`` of each ``shard`` and ``key``."""
+    """What the shards of a mix hold: ``n_slots`` and ``words`` of each ``shard`` and ``key``."""
     return mix.groupBy("shard", "key").agg(F.count("*").alias("n_slots"), F.sum("take").alias("words"))
 
 
@@ -135,15 +184,15 @@ def pieces(placed: DataFrame, mix: DataFrame) -> DataFrame:
     return joined.select("doc_id", "key", "text_hash", "size", "start", "turn", "slot", "shard", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
 
 
-def _shard_rows(docs: DataFrame, placed: DataFrame, targets: DataFrame) -> DataFrame:
-    """The rows of the output shards: ``doc_id``, ``key``, ``start``, ``shard``, ``slot``, ``turn``, ``low``, ``n`` and ``text`` of each piece.
+def _shard_rows(docs: DataFrame, placed: DataFrame, mix: DataFrame) -> DataFrame:
+    """The rows of the output shards of ``mix``: ``doc_id``, ``key``, ``start``, ``shard``, ``slot``, ``turn``, ``low``, ``n`` and ``text`` of each piece.
 
     A document's words are found once, however many slots take of them. One column identifies a document on both sides, so that
     its grouping is the join's too and texts are shuffled once for both.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()  # one type for both, also in what may be null
     who = F.struct("doc_id", "key", "text_hash").cast(f"struct<doc_id:{kind},key:string,text_hash:bigint>").alias("who")
-    taken = pieces(placed, slots(targets)).select(who, "start", "turn", "slot", "shard", "low", "n").repartition("who")
+    taken = pieces(placed, mix).select(who, "start", "turn", "slot", "shard", "low", "n").repartition("who")
     runs = taken.groupBy("who", "start").agg(F.collect_list(F.struct("shard", "slot", "turn", "low", "n")).alias("runs"))
     texts = docs.select(*identity(), "text").select(who, "text").groupBy("who").agg(F.min("text").alias("text"))
     words = F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
@@ -157,9 +206,11 @@ def _shard_rows(docs: DataFrame, placed: DataFrame, targets: DataFrame) -> DataF
     return joined.select("doc_id", "key", "start", "part.*")
 
 
-def _in_shards(rows: DataFrame) -> DataFrame:
+def _in_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame) -> DataFrame:
     """Each shard whole in one partition, its slots in random order, the pieces of a slot as in their block."""
-    return rows.repartition("shard").sortWithinPartitions("shard", F.xxhash64("slot", "key"), "slot", "key", F.col("start") + F.col("low"))
+    sources, n_slots = _sources_to_fill(targets)
+    rows = _shard_rows(docs, placed, _slots(sources, n_slots))
+    return rows.repartition(n_shards(n_slots), "shard").sortWithinPartitions("shard", F.xxhash64("slot", "key"), "slot", "key", F.col("start") + F.col("low"))
 
 
 def mixed_shards(docs: DataFrame) -> DataFrame:
@@ -170,7 +221,7 @@ def mixed_shards(docs: DataFrame) -> DataFrame:
     A shard lies in one partition, in the order to be read.
     """
     placed = placed_documents(docs)
-    rows = _in_shards(_shard_rows(docs, placed, stored(source_targets(placed), "targets")))
+    rows = _in_shards(docs, placed, stored(source_targets(placed), "targets"))
     source = F.when(F.col("key") != "-", F.substring("key", F.lit(2), F.length("key")))
     return rows.select("shard", "slot", source.alias("source"), "turn", (F.col("start") + F.col("low")).alias("place"), "doc_id", "low", F.col("n").alias("n_words"), "text")
 
@@ -185,7 +236,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """
     placed = placed_documents(docs)
     targets = stored(source_targets(placed), "targets")
-    shards = _in_shards(_shard_rows(docs, placed, targets))
+    shards = _in_shards(docs, placed, targets)
     held = shards.withColumn("hash", F.xxhash64("shard", "slot", "low", "n", "text")).groupBy("key", "start", "shard").agg(F.sum("n").alias("n"), F.bit_xor("hash").alias("hash"))
     taken = held.groupBy("key", "start").agg(F.sum("n").alias("taken"), F.count("*").alias("n_shards"), F.bit_xor("hash").alias("digest"))
     same = (F.col("a.key") == F.col("b.key")) & (F.col("a.start") == F.col("b.start")) & (F.col("a.size") > 0)  # no two documents with words start at one place
