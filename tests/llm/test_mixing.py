@@ -96,6 +96,7 @@ def test_shards_draw_counts_and_slots_follow_them(spark, monkeypatch):
 
     shards = mixing.n_shards(n_slots)
     drawn = [(r["shard"], r["key"], r["n"]) for r in mixing.drawn_counts(sources, n_slots).collect()]
+    assert sorted(drawn) == sorted((r["shard"], r["key"], r["n"]) for r in mixing.drawn_counts(sources, n_slots, few=0).collect())
     per_shard, per_source = collections.Counter(), collections.Counter()
     for shard, key, n in drawn:
         per_shard[shard] += n

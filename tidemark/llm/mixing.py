@@ -25,6 +25,8 @@ SHARD_SLOTS = 4096
 #: Slots that one task draws and numbers; points in a chunk at least, and most chunks.
 POINTS = 4 * SHARD_SLOTS
 CHUNK_SLOTS, MOST_CHUNKS = 256, 1 << 20
+#: Ranges of sources, one for each chunk, up to which they are broadcast.
+FEW_RANGES = 100_000
 #: Mean number of documents in a bucket, within which positions are summed up.
 BUCKET_DOCS = 4096
 #: Weights by rank of the source, repeating; the share of all words to take; how often a source may be taken.
@@ -114,11 +116,12 @@ def n_shards(n_slots: int) -> int:
     return max(1, -(-n_slots // SHARD_SLOTS))
 
 
-def drawn_counts(sources: DataFrame, n_slots: int) -> DataFrame:
+def drawn_counts(sources: DataFrame, n_slots: int, few: int | None = None) -> DataFrame:
     """What each shard draws: ``shard``, ``key``, ``of`` and ``n``, how many of its slots fell to the source; sources with none are left out.
 
     A draw is a point among all slots, put in order by source. It meets the source whose slots it falls between by the
-    chunk of points that it lies in, so a source with any share of the slots is spread over its chunks.
+    chunk of points that it lies in, so a source with any share of the slots is spread over its chunks. The ranges of sources are
+    broadcast if their number, counted beforehand, is at most ``few`` (``FEW_RANGES``); else both sides are shuffled by chunk.
     """
     chunk = max(CHUNK_SLOTS, n_slots // MOST_CHUNKS)
     below = F.coalesce(F.sum("of.n_slots").over(Window.partitionBy().orderBy("key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint"))
@@ -127,7 +130,9 @@ def drawn_counts(sources: DataFrame, n_slots: int) -> DataFrame:
     points = sources.sparkSession.range(0, n_slots, 1, max(1, -(-n_slots // POINTS)))
     points = points.select(F.expr(f"id * {n_shards(n_slots)} div {max(1, n_slots)}").alias("shard"), F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(max(1, n_slots))).alias("point"))
     points = points.withColumn("chunk", F.expr(f"point div {chunk}"))
-    met = points.hint("merge").join(ranges, "chunk").where("point >= low AND point < high")
+    n_ranges = sources.count() + n_slots // chunk + 1  # a source has one more than the borders of chunks inside it
+    joined = points.join(F.broadcast(ranges), "chunk") if n_ranges <= (FEW_RANGES if few is None else few) else points.hint("merge").join(ranges, "chunk")
+    met = joined.where("point >= low AND point < high")
     return met.groupBy("shard", "key", "of").agg(F.count("*").alias("n"))
 
 
