@@ -63,6 +63,19 @@ def test_directory_of_mixed_files(spark, tmp_path):
         delimited.read_csv(spark, str(tmp_path), PAIR, pattern="*.csv")
 
 
+def test_file_of_ascii_goes_with_the_others(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id;val\n")
+    (tmp_path / "b.csv").write_bytes("id;val\n1;\x80é\n".encode("latin-1"))
+    (tmp_path / "c.csv").write_text("id;val\n2;x\n")
+    found = delimited.sniff_csv_dialect(spark, str(tmp_path)).select("encoding", "delimiter").distinct().collect()
+    assert [tuple(r) for r in found] == [("ISO-8859-1", ";")]
+    assert sorted(r["id"] for r in delimited.read_csv(spark, str(tmp_path), PAIR).collect()) == [1, 2]
+    (tmp_path / "d.csv").write_text("id;val\n3;é\n", encoding="utf-8")
+    assert {r["encoding"] for r in delimited.sniff_csv_dialect(spark, str(tmp_path)).collect()} == {"UTF-8", "ISO-8859-1"}
+    with pytest.raises(ValueError):
+        delimited.read_csv(spark, str(tmp_path), PAIR)
+
+
 def test_csv_values_survive(spark, tmp_path):
     df = spark.createDataFrame([(1, '  say "hi", x '), (2, None), (3, "back\\slash")], PAIR)
     files.write_csv(df, str(tmp_path / "out"))

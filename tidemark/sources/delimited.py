@@ -24,8 +24,10 @@ def sniff_csv_dialect(spark: SparkSession, path: str, pattern: str = "*.csv") ->
     """One row per file: encoding, delimiter, header line and number of lines.
 
     The files are read as text, so they stay splittable and only counters per file are shuffled. The
-    whole file decides about the encoding: it is UTF-8 if every line is, otherwise Latin-1. The
-    delimiter is the first of ``DELIMITERS`` in the header outside quotes, a comma if there is none.
+    whole file decides about the encoding: it is UTF-8 if every line is, otherwise Latin-1. A file of
+    ASCII alone, such as one of a header without rows, reads the same in both and goes with the others
+    of its delimiter if these agree. The delimiter is the first of ``DELIMITERS`` in the header outside
+    quotes, a comma if there is none.
     """
     lines = _text(spark, path, pattern).select(
         "value",
@@ -36,6 +38,7 @@ def sniff_csv_dialect(spark: SparkSession, path: str, pattern: str = "*.csv") ->
     )
     files = lines.groupBy("file_path", "file_name").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
+        F.bool_and(F.octet_length("value") == F.char_length("value")).alias("is_ascii"),
         F.min_by("value", "position").alias("header"),
         F.count(F.lit(1)).alias("lines"),
     )
@@ -43,11 +46,13 @@ def sniff_csv_dialect(spark: SparkSession, path: str, pattern: str = "*.csv") ->
     delimiter = F.lit(DELIMITERS[0])
     for candidate in reversed(DELIMITERS):
         delimiter = F.when(F.contains(unquoted, F.lit(candidate)), candidate).otherwise(delimiter)
+    telling = files.filter("NOT (is_ascii AND is_utf8)").groupBy(delimiter.alias("_delimiter")).agg(F.bool_or("is_utf8").alias("_utf8"))
+    files = files.withColumn("delimiter", delimiter).join(F.broadcast(telling), F.col("delimiter") == F.col("_delimiter"), "left")
     return files.select(
         "file_path",
         "file_name",
-        F.when(F.col("is_utf8"), UTF8).otherwise(LATIN1).alias("encoding"),
-        delimiter.alias("delimiter"),
+        F.when(F.col("is_utf8") & ~(F.col("is_ascii") & ~F.coalesce("_utf8", F.lit(True))), UTF8).otherwise(LATIN1).alias("encoding"),
+        "delimiter",
         # A Latin-1 header is decoded as such, so that the text is well formed.
         F.when(F.col("is_utf8"), F.col("header"))
         .otherwise(F.decode(F.col("header").cast("binary"), LATIN1))
