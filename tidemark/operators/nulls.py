@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -140,7 +141,17 @@ def exact_medians(df: DataFrame, columns: Sequence[str], finish_rows: int = 100_
         searches[c] = _Search(v, v.isNotNull() & ~F.isnan(v) if floating else v.isNotNull(), isinstance(kind, T.DecimalType))
     if not searches:
         return {}
-    every = list(searches.values())
+    # Rounds read the columns alone, from the executors' disks, and do not repeat what made them.
+    df = df.select(*searches).persist(StorageLevel.DISK_ONLY)
+    try:
+        _find(df, list(searches.values()), finish_rows)
+    finally:
+        df.unpersist()
+    return {c: s.median() for c, s in searches.items()}
+
+
+def _find(df: DataFrame, every: Sequence[_Search], finish_rows: int) -> None:
+    """Find the middle ranks of all columns."""
     first = df.agg(*[F.struct(F.count_if(s.present).alias("n"), s.sketch().alias("q")).alias(f"s{k}") for k, s in enumerate(every)]).first()
     for s, (n, bracket) in zip(every, first, strict=True):
         s.rows, s.bracket = n, bracket
@@ -153,7 +164,6 @@ def exact_medians(df: DataFrame, columns: Sequence[str], finish_rows: int = 100_
             s.narrow(*counts)
     if narrow := [s for s in every if s.open_ranks()]:
         _ranked(df, narrow)
-    return {c: s.median() for c, s in searches.items()}
 
 
 def _ranked(df: DataFrame, searches: Sequence[_Search]) -> None:
