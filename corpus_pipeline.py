@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import stages
 from tidemark.llm.queries import importable
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shuffles_dropped
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -29,6 +29,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with shuffles_dropped(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

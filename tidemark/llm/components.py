@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, shuffles_dropped
+
+_PLACES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: cuts the lineage with a copy that outlives executors."""
+    """``df`` written to the shared folder and read again: cuts the lineage with a copy that outlives executors.
+
+    What the write shuffled is dropped with its end; :func:`removed` drops the copy.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
+    kept = df.sparkSession.read.parquet(path)
+    _PLACES[kept] = path
+    return kept
+
+
+def removed(*tables: DataFrame) -> None:
+    """Drop copies that :func:`stored` returned; whatever was built on them has to be stored itself."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(_PLACES.pop(table))
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -23,7 +40,7 @@ def _stored_edges(edges: DataFrame) -> tuple[DataFrame, tuple]:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node``, ``component`` (smallest node reachable) for the ends of ``links`` (columns ``u``, ``v``); lone nodes are left out.
+    """``node``, ``component`` (smallest node reachable) for the ends of ``links`` (columns ``u``, ``v``); lone nodes are left out. It is stored.
 
     Every round shuffles the edges a fixed number of times and keeps at most as many of them. Minima are pre-aggregated; the joins
     that hand them out are keyed by node, and a node with very many edges is split by the skew join.
@@ -35,8 +52,11 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.withColumnRenamed("m", "v"))
-        before = mark
+        before, earlier = mark, edges
         edges, mark = _stored_edges(small.distinct())
+        removed(earlier)
         if mark == before:
             roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+            found = stored(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots), "components")
+            removed(edges)
+            return found

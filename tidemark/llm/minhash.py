@@ -19,6 +19,7 @@ is compared, or its ends are already connected, and a round compares at most ``P
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import blocks as B
-from tidemark.llm.components import components, stored
+from tidemark.llm.components import components, removed, stored
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 80
@@ -111,10 +112,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = stored(classes, "classes")
     banded = classes.select("doc_id", "n", F.explode("bands").alias("band"))
     crowded = banded.groupBy("band").agg(F.count("*").alias("rows")).where("rows > 1").select("band")
-    members = stored(banded.join(crowded, "band"), "banded")
+    met = stored(banded.join(crowded, "band"), "banded")
     # How many others a document meets over its bands: large for the text that near copies were made from.
-    central = members.join(members.groupBy("band").agg(F.count("*").alias("rows")), "band").groupBy("doc_id").agg(F.sum("rows").alias("met"))
-    members = stored(members.join(central, "doc_id"), "members")
+    central = met.join(met.groupBy("band").agg(F.count("*").alias("rows")), "band").groupBy("doc_id").agg(F.sum("rows").alias("met"))
+    members = stored(met.join(central, "doc_id"), "members")
+    removed(met)
     wanted = members.select("doc_id").distinct()
     sets = stored(docs.join(wanted, "doc_id").mapInArrow(_sets, "doc_id bigint, found array<bigint>").dropDuplicates(["doc_id", "found"]), "sets")
 
@@ -122,16 +124,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     several = signed.where("class IS NOT NULL AND doc_id IS NOT NULL").join(classes.select("class", F.col("doc_id").alias("v")), "class")
     links = several.where("doc_id <> v").groupBy("doc_id").agg(F.min("v").alias("low"), F.max("v").alias("high")).where("low <> high")
     links = several.join(links.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("u"), "v")
-    links, checked, turn = stored(links, "links"), None, 0
+    links, checked, turn = stored(links, "links"), [], 0
     while True:
         found = components(links)
         labelled = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("alone", F.col("component").isNull())
         labelled = _open(labelled.withColumn("component", F.coalesce("component", "doc_id")))
+        used = [members]
         if turn:
-            labelled = _open(_linkable(stored(labelled, "open"), sets)).join(classes.select("doc_id", "bands"), "doc_id")
+            used.append(stored(labelled, "open"))
+            labelled = _open(_linkable(used[-1], sets)).join(classes.select("doc_id", "bands"), "doc_id")
         labelled = stored(labelled, "labelled")
+        removed(*used)
         if labelled.isEmpty():
-            return _result(signed, classes, found)
+            result = stored(_result(signed, classes, found), "near-duplicates")
+            removed(signed, classes, sets, links, found, labelled, *checked)
+            return result
         order = Window.partitionBy("band").orderBy(F.desc("met"), "doc_id")
         others = labelled if not turn else labelled.where("component <> largest")
         pivots = others.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= (PIVOTS if turn else 1)).drop("rank")
@@ -147,11 +154,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             near = near & _enough(in_parts, F.col("n") + F.col("n2"))
         pairs = labelled.join(pivots, "band").where("component <> component2").where(near)
         pairs = pairs.select(*_pairs("doc_id", "doc_id2")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["u", "v"], "left_anti")
+        if checked:
+            pairs = pairs.join(reduce(DataFrame.unionByName, checked), ["u", "v"], "left_anti")
         pairs = stored(pairs, "pairs")
-        checked = pairs if checked is None else checked.unionByName(pairs)
+        checked, before = [*checked, pairs], links
         links = stored(links.unionByName(_confirmed(pairs, sets)), "links")
+        removed(before, found, labelled, pivots)
         turn += 1
 
 

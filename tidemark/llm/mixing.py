@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import stored
+from tidemark.llm.components import removed, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the white space behind it, and the first one also with that in front of it: end to end they are the text.
@@ -80,15 +80,17 @@ def identity() -> list[Column]:
 
 def placed_documents(docs: DataFrame) -> DataFrame:
     """Identity, ``size``, and ``start``, the document's place among the words of its source; no texts."""
-    sized = stored(docs.select(*identity(), n_words().alias("size")), "sized")
-    buckets = max(1, -(-sized.count() // BUCKET_DOCS))
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)))
+    counted = stored(docs.select(*identity(), n_words().alias("size")), "sized")
+    buckets = max(1, -(-counted.count() // BUCKET_DOCS))
+    sized = counted.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(buckets)))
     sums = sized.groupBy("key", "bucket").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("key", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset"))
     within = Window.partitionBy("key", "bucket").orderBy("doc_id", "text_hash", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0))).join(offsets, ["key", "bucket"])
-    return stored(placed.select("doc_id", "key", "text_hash", "size", (F.col("offset") + F.col("inside")).alias("start")), "placed")
+    found = stored(placed.select("doc_id", "key", "text_hash", "size", (F.col("offset") + F.col("inside")).alias("start")), "placed")
+    removed(counted)
+    return found
 
 
 def _sources_to_fill(targets: DataFrame) -> tuple[DataFrame, int]:
