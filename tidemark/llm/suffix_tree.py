@@ -84,44 +84,64 @@ class Block:
         self.starts = starts
 
 
-# Payloads whose columns are as narrow as their values allow. Answers are aligned with requests, so they hold no keys.
+# Payloads whose columns are cut into their bytes, the lowest of all values first, and compressed where that helps: small counts take some
+# bits. Sorted keys are sent as the steps of their high bits and their low bits. Answers are aligned with requests, so they hold no keys.
+
+#: Bits of a pair's key that are sent besides its bucket, and low bits of pairs' and of whole keys that are sent as they are.
+PAIR_BITS = 40
+LOW_BITS = {True: 24, False: 40}
 
 
 def narrow(columns: list[np.ndarray]) -> bytes:
-    n, out = len(columns[0]), []
+    n, compressor, out = len(columns[0]), zstandard.ZstdCompressor(level=1), []
     for c in columns:
-        if c.dtype.kind == "u":
-            c = c.astype(np.min_scalar_type(int(c.max(initial=0))))
-        out.append((ord(c.dtype.char), c.tobytes()))
-    return np.uint32(n).tobytes() + bytes(k for k, _ in out) + b"".join(b for _, b in out)
+        width = (int(c.max(initial=0)).bit_length() + 7) // 8 if c.dtype.kind == "u" else c.dtype.itemsize
+        c = c.astype(np.uint64) if c.dtype.kind == "u" else c
+        data = c.view(np.uint8).reshape(n, c.dtype.itemsize).T[:width].tobytes()
+        small = compressor.compress(data)
+        packed = len(small) < len(data)
+        data = small if packed else data
+        out.append(np.array([ord(c.dtype.char), width, packed, len(data)], np.uint32).tobytes() + data)
+    return np.uint32(n).tobytes() + b"".join(out)
 
 
 def widened(payload: bytes, n_columns: int) -> list[np.ndarray]:
-    n, at, columns = int(np.frombuffer(payload, np.uint32, 1)[0]), 4 + n_columns, []
-    for k in payload[4:at]:
-        kind = np.dtype(chr(k))
-        columns.append(np.frombuffer(payload, kind, n, at).astype(np.uint64 if kind.kind == "u" else kind))
-        at += n * kind.itemsize
+    n, at, columns = int(np.frombuffer(payload, np.uint32, 1)[0]), 4, []
+    for _ in range(n_columns):
+        kind, width, packed, size = (int(x) for x in np.frombuffer(payload, np.uint32, 4, at))
+        kind, data = np.dtype(chr(kind)), payload[at + 16 : at + 16 + size]
+        data = zstandard.ZstdDecompressor().decompress(data) if packed else data
+        own = np.zeros((n, kind.itemsize), np.uint8)
+        own[:, :width] = np.frombuffer(data, np.uint8).reshape(width, n).T
+        columns.append(own.view(kind).ravel())
+        at += 16 + size
     return columns
 
 
+def _placed(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of pairs, and ``PAIR_BITS`` of each pair's place in its bucket, in the order of the keys."""
+    bits = n_buckets.bit_length()
+    scaled, rest = (keys >> np.uint64(bits)) * np.uint64(n_buckets), 64 - bits
+    place = (scaled & np.uint64((1 << rest) - 1)) >> np.uint64(max(0, rest - PAIR_BITS))
+    return (scaled >> np.uint64(rest)).astype(np.int64), place
+
+
 def _sent(keys: np.ndarray, columns: list[np.ndarray], n_buckets: int, short: bool) -> Iterator[tuple[int, bytes]]:
-    """Requests for sorted keys: whole, or, for pairs, 40 bits besides the bucket."""
-    buckets = B.bucket_of(keys, n_buckets)
-    cuts = np.flatnonzero(np.diff(buckets, prepend=-1, append=n_buckets))
+    """Requests for sorted keys: whole, or, for pairs, ``PAIR_BITS`` besides the bucket."""
+    buckets, keys = _placed(keys, n_buckets) if short else (B.bucket_of(keys, n_buckets), keys)
+    cuts, low = np.flatnonzero(np.diff(buckets, prepend=-1, append=n_buckets)), np.uint64(LOW_BITS[short])
     for start, end in zip(cuts[:-1], cuts[1:], strict=True):
         own = keys[start:end]
-        key = [(own & np.uint64(0xFFFFFFFF)), (own >> np.uint64(32)) & np.uint64(0xFF)] if short else [own]
-        yield int(buckets[start]), narrow([*key, *(c[start:end] for c in columns)])
+        yield int(buckets[start]), narrow([np.diff(own >> low, prepend=np.uint64(0)), own & ((np.uint64(1) << low) - np.uint64(1)), *(c[start:end] for c in columns)])
 
 
 def _received(given: list[tuple[int, bytes]], n_columns: int, short: bool) -> tuple[np.ndarray, list[np.ndarray]]:
     """The requests of a bucket end to end: number of entries of each block, and columns, the keys first."""
-    tables = [widened(p, n_columns + 1 + short) for _, p in given]
-    columns = [np.concatenate(c) for c in zip(*tables, strict=True)]
-    if short:
-        columns = [columns[0] | (columns[1] << np.uint64(32)), *columns[2:]]
-    return np.array([len(t[0]) for t in tables]), columns
+    tables = []
+    for _, payload in given:
+        steps, low, *rest = widened(payload, n_columns + 2)
+        tables.append([(np.cumsum(steps, dtype=np.uint64) << np.uint64(LOW_BITS[short])) | low, *rest])
+    return np.array([len(t[0]) for t in tables]), [np.concatenate(c) for c in zip(*tables, strict=True)]
 
 
 def _back(given: list[tuple[int, bytes]], sizes: np.ndarray, columns: list[np.ndarray]) -> Iterator[tuple[int, bytes]]:
@@ -195,7 +215,7 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
 
     def ask_words(block: Block, _) -> Iterator[tuple[int, bytes]]:
         asked = dict(_sent(block.words, [np.bincount(block.codes, block.learn, len(block.words)).astype(np.uint64)], n_buckets, False))
-        nothing = narrow([np.empty(0, np.uint64)] * 2)
+        nothing = narrow([np.empty(0, np.uint64)] * 3)
         return ((bucket, asked.get(bucket, nothing)) for bucket in range(n_buckets))  # each answers with its totals
 
     def count_words(bucket: int, given: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
@@ -226,14 +246,15 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
 
     def count_pairs(_, given: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         sizes, (keys, counts) = _received(given, 1, True)
-        distinct, first, where = np.unique(np.where(counts > 0, keys, ~np.uint64(0)), return_index=True, return_inverse=True)
-        sums = np.bincount(where, counts, len(distinct)).astype(np.uint64)
-        every, back = np.unique(keys, return_inverse=True)
-        hit, at = B.found_in(every, distinct)
-        sums = np.where(hit, sums[at], 0).astype(np.uint64)[back]
+        order = np.argsort(keys, kind="stable")  # the blocks' keys are sorted
+        ranked, of = keys[order], counts[order]
+        new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+        group, sums = np.cumsum(new) - 1, np.empty(len(keys), np.uint64)
+        sums[order] = np.add.reduceat(of, np.flatnonzero(new))[group]
+        learnt = np.flatnonzero(of > 0)
         owner = np.zeros(len(keys), np.uint64)  # one block for each pair reports it to its context
-        owner[first] = 1
-        yield from _back(given, sizes, [sums, owner & (counts > 0).astype(np.uint64)])
+        owner[order[learnt[np.diff(group[learnt], prepend=-1) > 0]]] = 1
+        yield from _back(given, sizes, [sums, owner])
 
     def asking_contexts(depth: int):
         def ask_contexts(block: Block, so_far: dict) -> Iterator[tuple[int, bytes]]:
@@ -246,14 +267,16 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
             gains = np.bincount(level.context, gain, len(level.contexts)).astype(np.float32)
             sizes = np.zeros(len(level.contexts), np.uint64)
             sizes[level.context] = state.context_counts()[level.first].astype(np.uint64)
+            sizes[gains == 0] = 0  # whoever reports a gain tells the size too
             return _sent(level.contexts, [sizes, gains], n_buckets, False)
 
         return ask_contexts
 
     def test_contexts(_, given: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
         sizes, (keys, counts, gains) = _received(given, 2, False)
-        distinct, first, where = np.unique(keys, return_index=True, return_inverse=True)
-        n = counts[first].astype(float)
+        distinct, where = np.unique(keys, return_inverse=True)
+        n, told = np.ones(len(distinct)), counts > 0
+        n[where[told]] = counts[told]
         retained = np.bincount(where, gains.astype(float), len(distinct)) > n * np.log(n)
         yield from _back(given, sizes, [retained[where].astype(np.uint64)])
 
