@@ -1,6 +1,7 @@
 """Steps that move ids instead of rows, and passes that are not repeated."""
 
-from tidemark.operators import lookup, nulls
+from tidemark import session
+from tidemark.operators import dedup, lookup, nulls
 from tidemark.operators.key_index import KeyIndex
 from tidemark.plans import gold, silver
 from tidemark.sinks import files
@@ -82,3 +83,30 @@ def test_no_sieve_for_a_batch_as_large_as_the_index(spark, tmp_path):
     found = {r["id"]: (r["key"], r["load"]) for r in index.keyed(batch, 0).collect()}
     assert {k: v[0] for k, v in found.items() if int(k) < 20} == {str(i): i + 1 for i in range(10, 20)}
     assert sorted(v[0] for k, v in found.items() if int(k) >= 20) == [21, 22, 23, 24, 25] and all(v[1] == int(k) for k, v in found.items())
+
+
+def test_layers_are_written_with_small_tasks(spark, tmp_path):
+    first = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    before, parallel = spark.conf.getAll.get(session.TASK_BYTES), spark.conf.get(first)
+    rows = spark.range(400_000).selectExpr("id % 300000 AS id", "concat(sha2(CAST(id AS string), 512), sha2(CAST(-id AS string), 512)) AS text")
+    try:
+        spark.conf.set(first, "false")
+        kept = files.layer_store(str(tmp_path), "silver")("t", dedup.remove_duplicates(rows, ["id"], order_by=["text"]))
+    finally:
+        spark.conf.set(first, parallel)
+    assert kept.count() == 300_000 and len(kept.inputFiles()) > 2  # 53 MB: one or two tasks by the default
+    assert spark.conf.getAll.get(session.TASK_BYTES) == before
+
+
+def test_a_session_that_asks_for_smaller_tasks_has_them(spark):
+    before = spark.conf.getAll.get(session.TASK_BYTES)
+    try:
+        for asked, used in (("1m", 1 << 20), ("256m", session.LAYER_TASK_BYTES)):
+            spark.conf.set(session.TASK_BYTES, asked)
+            with session.small_tasks(spark):
+                assert int(spark.conf.get(session.TASK_BYTES)) == used
+            assert spark.conf.get(session.TASK_BYTES) == asked
+    finally:
+        spark.conf.unset(session.TASK_BYTES)
+        if before is not None:
+            spark.conf.set(session.TASK_BYTES, before)

@@ -61,15 +61,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Bytes that adaptive execution gathers into one task, and what layers are written with. A task sorts the rows it reads several times over
+#: (both sides of a join, what is to be deduplicated), each some ten times as large as in the shuffle: 64 MB, the default, spill.
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+LAYER_TASK_BYTES = 16 * 1024 * 1024
+
+
+def _given(spark: SparkSession, key: str) -> str | None:
+    """What a setting was set to; nothing where Spark goes by its default."""
+    return spark.conf.getAll.get(key)
+
+
 @contextlib.contextmanager
-def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Queries that run in this block leave no shuffle files. For those whose result is written: nothing reads their shuffles again."""
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    spark.conf.set(DROP_SHUFFLES, "true")
+def _set(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = _given(spark, key)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(DROP_SHUFFLES)
+            spark.conf.unset(key)
         else:
-            spark.conf.set(DROP_SHUFFLES, before)
+            spark.conf.set(key, before)
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block leave no shuffle files. For those whose result is written: nothing reads their shuffles again."""
+    with _set(spark, DROP_SHUFFLES, "true"):
+        yield
+
+
+@contextlib.contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block gather no more than ``LAYER_TASK_BYTES`` into a task, less where the session asks for less."""
+    asked = _given(spark, TASK_BYTES)
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(asked) if asked else LAYER_TASK_BYTES
+    with _set(spark, TASK_BYTES, str(min(size, LAYER_TASK_BYTES))):
+        yield

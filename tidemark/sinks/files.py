@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import small_tasks
 from tidemark.sources.layers import POINTER, current_path, read_table, table_path
 
 log = logging.getLogger(__name__)
@@ -117,7 +118,8 @@ def _write_counted(df: DataFrame, path: str, data_format: str) -> int:
         writer = writer.option("compression", "snappy")
     else:
         writer = writer.options(**CSV_OPTIONS)
-    writer.save(place)
+    with small_tasks(spark):
+        writer.save(place)
     counted, before = _counted(spark, seen, place, data_format), current_path(spark, path)
     rows = counted["rows"]
     if rows == 0 and before != path:
