@@ -169,3 +169,21 @@ def test_shards_hold_the_slots_that_drew_them(spark, monkeypatch, rows):
         summed[r["doc_id"]] += r["taken"]
         assert (r["n_shards"] > 0) == (r["taken"] > 0) == (r["digest"] != 0)
     assert +summed == taken
+
+
+def test_pieces_travel_in_one_number(spark):
+    top = mixing.BLOCK_WORDS
+    rows = [(low, turn, n) for low in (0, 1, 12345, 1 << 40) for turn in range(mixing.MOST_PASSES) for n in (1, 7, top)]
+    df = spark.createDataFrame(rows, "low bigint, turn bigint, n bigint")
+    back = df.select(mixing.packed(F.col("low"), F.col("turn"), F.col("n")).alias("piece")).select(*mixing.unpacked(F.col("piece")))
+    assert [tuple(r) for r in back.collect()] == rows
+
+
+def test_a_text_cut_between_blocks_is_whole_in_the_shards(spark):
+    long = " ".join(f"w{i}" for i in range(3 * mixing.BLOCK_WORDS + 5))
+    got = collections.defaultdict(dict)
+    for r in mixing.mixed_shards(table(spark, [(1, long, "a"), (2, "x y z", "b")])).collect():
+        got[r["doc_id"], r["turn"]][r["low"]] = r["text"]
+        assert len(r["text"].split()) == r["n_words"] <= mixing.BLOCK_WORDS
+    first = got[1, 0]
+    assert "".join(first[low] for low in sorted(first)) == long

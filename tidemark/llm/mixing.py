@@ -191,22 +191,34 @@ def pieces(placed: DataFrame, mix: DataFrame) -> DataFrame:
     return joined.select("doc_id", "key", "text_hash", "size", "start", "turn", "slot", "shard", (low - F.col("start")).alias("low"), (high - low).alias("n")).where("n > 0")
 
 
+def packed(low: Column, turn: Column, n: Column) -> Column:
+    """A piece's first word, pass and number of words in one number; a shuffle moves every piece twice, and three numbers take more."""
+    return (low * MOST_PASSES + turn) * (BLOCK_WORDS + 1) + n
+
+
+def unpacked(piece: Column) -> list[Column]:
+    """``low``, ``turn`` and ``n`` of a packed piece."""
+    rest = F.call_function("div", piece, F.lit(BLOCK_WORDS + 1))
+    return [F.call_function("div", rest, F.lit(MOST_PASSES)).alias("low"), (rest % MOST_PASSES).alias("turn"), (piece % (BLOCK_WORDS + 1)).alias("n")]
+
+
 def _shard_rows(docs: DataFrame, placed: DataFrame, mix: DataFrame) -> DataFrame:
-    """The rows of the output shards of ``mix``: ``doc_id``, ``key``, ``start``, ``shard``, ``slot``, ``turn``, ``low``, ``n`` and ``text`` of each piece.
+    """The rows of the output shards of ``mix``: ``doc_id``, ``key``, ``start``, ``shard``, ``slot``, ``piece`` (packed) and ``text`` of each piece.
 
     A document's words are found once, however many slots take of them. One column identifies a document on both sides, so that
     its grouping is the join's too and texts are shuffled once for both.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()  # one type for both, also in what may be null
     who = F.struct("doc_id", "key", "text_hash").cast(f"struct<doc_id:{kind},key:string,text_hash:bigint>").alias("who")
-    taken = pieces(placed, mix).select(who, "start", "turn", "slot", "shard", "low", "n").repartition("who")
-    runs = taken.groupBy("who", "start").agg(F.collect_list(F.struct("shard", "slot", "turn", "low", "n")).alias("runs"))
+    taken = pieces(placed, mix).select(who, "start", "slot", "shard", packed(*(F.col(c) for c in ("low", "turn", "n"))).alias("piece")).repartition("who")
+    runs = taken.groupBy("who", "start").agg(F.collect_list(F.struct("shard", "slot", "piece")).alias("runs"))
     texts = docs.select(*identity(), "text").select(who, "text").groupBy("who").agg(F.min("text").alias("text"))
     words = F.array(F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
 
     def cut(w: Column, r: Column) -> Column:
-        text = F.array_join(F.slice(w, (r["low"] + 1).cast("int"), r["n"].cast("int")), "")
-        return F.struct(r["shard"].alias("shard"), r["slot"].alias("slot"), r["turn"].alias("turn"), r["low"].alias("low"), r["n"].alias("n"), text.alias("text"))
+        low, _, n = unpacked(r["piece"])
+        text = F.array_join(F.slice(w, (low + 1).cast("int"), n.cast("int")), "")
+        return F.struct(r["shard"].alias("shard"), r["slot"].alias("slot"), r["piece"].alias("piece"), text.alias("text"))
 
     parts = F.flatten(F.transform(words, lambda w: F.transform("runs", lambda r: cut(w, r))))
     joined = texts.hint("merge").join(runs, "who").select("who.doc_id", "who.key", "start", F.explode(parts).alias("part"))
@@ -217,7 +229,8 @@ def _in_shards(docs: DataFrame, placed: DataFrame, targets: DataFrame) -> DataFr
     """Each shard whole in one partition, its slots in random order, the pieces of a slot as in their block."""
     sources, n_slots = _sources_to_fill(targets)
     rows = _shard_rows(docs, placed, _slots(sources, n_slots))
-    return rows.repartition(n_shards(n_slots), "shard").sortWithinPartitions("shard", F.xxhash64("slot", "key"), "slot", "key", F.col("start") + F.col("low"))
+    rows = rows.repartition(n_shards(n_slots), "shard").select("doc_id", "key", "start", "shard", "slot", *unpacked(F.col("piece")), "text")
+    return rows.sortWithinPartitions("shard", F.xxhash64("slot", "key"), "slot", "key", F.col("start") + F.col("low"))
 
 
 def mixed_shards(docs: DataFrame) -> DataFrame:
