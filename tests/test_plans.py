@@ -181,3 +181,16 @@ def test_the_gate_stops_before_gold(spark, bronze, tmp_path):
     with pytest.raises(QualityGateError, match="customers.uniqueness_email"):
         medallion.run_medallion(spark, bronze, str(tmp_path), ORDER_BY, NOW)
     assert not (tmp_path / "gold").exists()
+
+
+def test_rows_that_go_take_only_their_keys_to_their_duplicates(spark):
+    rows = [("a", 2, 1, "2030-01-01 00:00:00", "late"), ("a", 3, 1, "2024-01-01 00:00:00", "kept not, as the first one is late"), ("b", 1, 0, "soon", "none"),
+            ("c", 1, None, None, "null"), ("d", 1, 2, "soon", "undated"), (None, 1, 4, None, "no id"), (None, 2, 4, None, "no id, second")]
+    orders = spark.createDataFrame(rows, "order_id string, seq int, quantity int, order_date string, status string")
+    orders = orders.selectExpr("*", "status AS payment_method", "1.0D AS unit_price", "0.0D AS discount_percent", "0.0D AS shipping_cost")
+    kept = silver.silver_orders(orders, ["seq"], NOW)
+    assert sorted((r["payment_method"], r["order_date"]) for r in kept.collect()) == [("no id", None), ("undated", None)]
+    slim = {r["seq"]: r["status"] for r in silver._slimmed(orders.filter("order_id = 'a'"), ["order_id", "seq"], NOW).collect()}
+    assert slim == {2: None, 3: "kept not, as the first one is late"}
+    by_quantity = silver.silver_orders(orders, ["quantity"], NOW)
+    assert {r["payment_method"] for r in by_quantity.collect()} <= {"undated", "no id", "no id, second", "kept not, as the first one is late"}
