@@ -110,3 +110,13 @@ def test_a_session_that_asks_for_smaller_tasks_has_them(spark):
         spark.conf.unset(session.TASK_BYTES)
         if before is not None:
             spark.conf.set(session.TASK_BYTES, before)
+
+
+def test_known_ids_are_measured_in_one_pass(spark, tmp_path, monkeypatch):
+    index = KeyIndex(spark, str(tmp_path / "index"), "id", "key", ("part",))
+    index.record(spark.range(100).selectExpr("CAST(id AS string) AS id", "id AS key", "id % 3 AS part"))
+    passes, ids = [], spark.createDataFrame([("1",), ("99",), ("100",), ("1",), (None,)], "id string")
+    count = type(ids).count
+    monkeypatch.setattr(type(ids), "count", lambda df: passes.append(df.columns) or count(df))
+    found = KeyIndex(spark, str(tmp_path / "index"), "id", "key", ("part",), buckets=3).known(ids, broadcast_bytes=0)
+    assert passes == [index.entries().columns] and sorted((r["id"], r["key"]) for r in found.collect()) == [("1", 1), ("99", 99)]

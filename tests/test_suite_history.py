@@ -46,3 +46,15 @@ def test_suites_without_uniqueness(spark, tmp_path, checks):
     kept.add(table, 0)
     now = "2024-01-01 00:00:00"
     assert kept.results(table, now).collect() == run_suite(table, suite, now).collect()
+
+
+def test_small_states_are_written_by_spark_alone(spark, tmp_path, monkeypatch):
+    table = spark.createDataFrame(ROWS, "id int, v double, kind string, day string, code string").withColumn("day", F.col("day").cast("timestamp")).localCheckpoint()
+    kept = SuiteHistory(spark, str(tmp_path / "states"), SUITE, F.date_format("day", "yyyy-MM"))
+    made = []
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **k: made.append(a))
+    kept.add(table.filter("id < 4"), 0)
+    kept.add(table.filter("id >= 4 OR id IS NULL"), 1)
+    assert not made and kept._values("id").last_key() == 1
+    counted = spark.read.parquet(f"{kept.path}/unique").groupBy("column_name").agg(F.sum("total_rows"), F.sum("filled"), F.sum("different"))
+    assert sorted(map(tuple, counted.collect())) == [("code", 9, 7, 5), ("id", 9, 8, 6)]

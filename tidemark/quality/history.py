@@ -81,8 +81,9 @@ class SuiteHistory:
             states = states.join(self._first_bad(batch, column, bad), F.col("period").eqNullSafe(F.col("_of")), "left").drop("_of")
         states.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/states/batch={number}")
         if counted:
-            kinds = "column_name string, total_rows bigint, filled bigint, different bigint"
-            self.spark.createDataFrame(counted, kinds).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/unique/batch={number}")
+            kinds = {"column_name": "string", "total_rows": "bigint", "filled": "bigint", "different": "bigint"}
+            rows = [F.struct(*[F.lit(v).cast(k).alias(c) for v, (c, k) in zip(values, kinds.items(), strict=True)]) for values in counted]
+            self.spark.range(1, numPartitions=1).select(F.inline(F.array(*rows))).write.mode("overwrite").parquet(f"{self.path}/unique/batch={number}")
 
     def _first_bad(self, batch: DataFrame, column: str, bad: Column) -> DataFrame:
         """The first few distinct invalid values of each period."""
