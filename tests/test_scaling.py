@@ -1,5 +1,6 @@
 """Steps that move ids instead of rows, and passes that are not repeated."""
 
+from tests.conftest import NOW, ORDER_BY
 from tidemark import session
 from tidemark.operators import dedup, lookup, nulls
 from tidemark.operators.key_index import KeyIndex
@@ -120,3 +121,27 @@ def test_known_ids_are_measured_in_one_pass(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(type(ids), "count", lambda df: passes.append(df.columns) or count(df))
     found = KeyIndex(spark, str(tmp_path / "index"), "id", "key", ("part",), buckets=3).known(ids, broadcast_bytes=0)
     assert passes == [index.entries().columns] and sorted((r["id"], r["key"]) for r in found.collect()) == [("1", 1), ("99", 99)]
+
+
+def test_reference_beyond_the_driver_is_not_broadcast(spark):
+    reference = spark.range(600_000).selectExpr("id AS pk", "id * 2 AS value")  # 19 MB as measured, some 70 MB as a hash table
+    facts = spark.createDataFrame([(1, 7), (2, None), (3, -1)], "n int, key bigint")
+    found = lookup.left_lookup(facts, reference, "key", "pk", spread_by=["n"])
+    assert "_salt" in _plan(found)
+    assert {r["n"]: r["value"] for r in found.collect()} == {1: 14, 2: None, 3: None}
+
+
+def test_missing_parents_are_found_once_for_stored_layers(spark, bronze, tmp_path, monkeypatch):
+    write, names = files.layer_store(str(tmp_path), "silver"), []
+
+    def store(name, df):
+        names.append(name)
+        return write(name, df)
+
+    rows = {}
+    for limit in (lookup.BROADCAST_BYTES, 30):  # 30 bytes: one unknown id, neither all customers nor all products
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", limit)
+        kept = silver.build_silver(bronze, ORDER_BY, NOW, store=store)["orders"]
+        rows[limit] = sorted(map(str, kept.collect()))
+    assert len(set(map(tuple, rows.values()))) == 1 and rows[30]
+    assert names == ["customers", "products", "orders", "customers", "products", "missing_parents", "orders"]
