@@ -1,11 +1,15 @@
 """Steps that move ids instead of rows, and passes that are not repeated."""
 
+import glob
+import os
+import time
+
 from tests.conftest import NOW, ORDER_BY
 from tidemark import session
-from tidemark.operators import dedup, lookup, nulls
+from tidemark.operators import dedup, lookup, merge, nulls
 from tidemark.operators.key_index import KeyIndex
-from tidemark.plans import gold, silver
-from tidemark.sinks import files
+from tidemark.plans import gold, medallion, silver
+from tidemark.sinks import files, warehouse
 from tidemark.sources import layers
 
 
@@ -145,3 +149,64 @@ def test_missing_parents_are_found_once_for_stored_layers(spark, bronze, tmp_pat
         rows[limit] = sorted(map(str, kept.collect()))
     assert len(set(map(tuple, rows.values()))) == 1 and rows[30]
     assert names == ["customers", "products", "orders", "customers", "products", "missing_parents", "orders"]
+
+
+def _shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*")}
+
+
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr("id % 150000 AS id", "id AS v", "CAST(id % 3 AS int) AS p")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS unshuffled LOCATION '{tmp_path}/db'")
+    spark.sql(f"CREATE TABLE unshuffled.t (id BIGINT, v BIGINT, p INT) USING parquet PARTITIONED BY (p) LOCATION '{tmp_path}/db/t/version-0'")
+    first = dedup.remove_duplicates(rows, ["id"], order_by=["v"])
+    writes = (
+        lambda: files.write_layer({"t": first}, str(tmp_path), "silver"),
+        lambda: warehouse.load_table(first, "unshuffled.whole", str(tmp_path), "replace"),
+        lambda: warehouse.upsert_table_partitions(layers.read_table(spark, f"{tmp_path}/silver/t"), "unshuffled.t", ["id"], ["p"], str(tmp_path)),
+        lambda: warehouse.upsert_table_partitions(layers.read_table(spark, f"{tmp_path}/silver/t"), "unshuffled.t", ["id"], ["p"], str(tmp_path)),
+        lambda: KeyIndex(spark, f"{tmp_path}/index", "id", "v", ("p",)).record(layers.read_table(spark, f"{tmp_path}/silver/t")),
+    )
+    for k, write in enumerate(writes):
+        before = _shuffle_files(spark)
+        write()
+        for _ in range(50):
+            left = {f for f in _shuffle_files(spark) - before if os.path.getsize(f) > 10_000}  # not those of small collects
+            if not left:
+                break
+            time.sleep(0.2)
+        assert not left, k
+    assert spark.table("unshuffled.t").count() == 150_000
+    spark.sql("DROP DATABASE unshuffled CASCADE")
+
+
+def test_touched_rows_are_not_shuffled(spark, tmp_path):
+    path, key = str(tmp_path / "out"), "spark.sql.autoBroadcastJoinThreshold"
+    files.write_partitioned(spark.sql("SELECT id, IF(id % 10 = 9, NULL, id % 10) AS p FROM range(100)"), path, ["p"])
+    source = spark.createDataFrame([(3, 3), (9, None)], "id bigint, p bigint")
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        touched = warehouse.touched_rows(spark.read.parquet(path), source, ["p"])
+        assert "SortMergeJoin" not in _plan(touched) and sorted(r["id"] for r in touched.collect()) == sorted([*range(3, 100, 10), *range(9, 100, 10)])
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_replaced_rows_are_not_shuffled(spark):
+    target = spark.createDataFrame([(1, "x", 1), (1, "x", 2), (2, "x", 3), (2, None, 4), (None, "x", 5), (3, "x", 6), (4, "x", 7)], "a int, b string, v int")
+    source = spark.createDataFrame([(2, "x", 9), (2, None, 9), (None, "x", 9), (3, "x", 9), (5, "x", 9)], "a int, b string, v int")
+    for limit, shuffled in ((None, False), (0, True)):
+        stay = merge.untouched_rows(target, source, ["a", "b"], limit)
+        assert sorted(r["v"] for r in stay.collect()) == [1, 2, 4, 5, 7] and stay.columns == ["a", "b", "v"]
+        assert ("_stays" in _plan(stay)) != shuffled
+        assert sorted(map(str, merge.upsert_rows(target, source, ["a", "b"], stay).collect())) == sorted(map(str, merge.upsert_rows(target, source, ["a", "b"]).collect()))
+
+
+def test_a_later_batch_leaves_no_tables_of_its_steps(spark, bronze, tmp_path):
+    for k in range(2):
+        medallion.run_medallion(spark, bronze, str(tmp_path / str(k)), ORDER_BY, NOW, {}, "run_steps", effective="2024-06-01")
+    assert spark.table("run_steps.fact_orders").count() == layers.read_table(spark, f"{tmp_path}/1/silver/orders").count() > 0
+    assert "fact_orders" in os.listdir(f"{tmp_path}/1/gold") and "orders_keyed" not in os.listdir(f"{tmp_path}/1/gold")
+    spark.sql("DROP DATABASE run_steps CASCADE")
